@@ -7,6 +7,7 @@ import struct
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WGS84 = 4326
 NAD83 = 4269
@@ -17,7 +18,7 @@ def point(lon: Column, lat: Column) -> Column:
     return F.when(lon.isNotNull() & lat.isNotNull(), F.struct(lon.alias("lon"), lat.alias("lat")))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def point_wkb(lon: pd.Series, lat: pd.Series) -> pd.Series:
     """Point as well-known binary, for sinks that take nothing else."""
     return pd.Series(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rosterflow import schemas as S
 from rosterflow.functions import numbers, text
@@ -130,7 +129,7 @@ def specialty_table(provider_counts: DataFrame, facility_counts: DataFrame) -> D
     return conform(union_distinct(parts), S.SPECIALTY_TYPE)
 
 
-_TD_WITH_PATH = T.StructType.fromDDL(
+_TD_WITH_PATH = S.table_schema(
     "path string, ssacd string, specialty_code string, source_year int, max_time_minutes bigint, max_distance_miles bigint"
 )
 

@@ -179,64 +179,79 @@ FILE_STATUSES = ["PENDING", "PROCESSING", "COMPLETED", "FAILED"]
 # ---------------------------------------------------------------------------
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "binary": T.BinaryType(),
+    "strings": T.ArrayType(T.StringType()),
+    "properties": T.MapType(T.StringType(), T.StringType()),
+}
+
+
+def table_schema(columns: str) -> T.StructType:
+    """Schema from ``name type`` pairs; needs no session, unlike Spark's own parser."""
+    pairs = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-SHEET_ROWS = _schema("path string, source_year int, sheet string, row_idx int, cells array<string>")
+SHEET_ROWS = table_schema("path string, source_year int, sheet string, row_idx bigint, cells strings")
 
-COUNTY = _schema(
+COUNTY = table_schema(
     "ssa_county_code string, contract_year int, county_name string, state_code string, county_type string,"
     " total_medicare_beneficiaries bigint, con_state boolean"
 )
-SPECIALTY_TYPE = _schema(
+SPECIALTY_TYPE = table_schema(
     "specialty_code string, contract_year int, specialty_name string, category string, telehealth_eligible boolean"
 )
-TIME_DISTANCE_STANDARD = _schema(
+TIME_DISTANCE_STANDARD = table_schema(
     "ssa_county_code string, specialty_code string, contract_year int, max_time_minutes bigint,"
     " max_distance_miles bigint, pct_beneficiaries_required int, is_customized boolean"
 )
-MINIMUM_NUMBER_STANDARD = _schema(
+MINIMUM_NUMBER_STANDARD = table_schema(
     "ssa_county_code string, specialty_code string, contract_year int, min_providers_required bigint,"
     " min_beds_required bigint, provider_ratio double, base_population_ratio_95th_pct double"
 )
-CON_CREDIT = _schema("ssa_county_code string, specialty_code string, contract_year int")
+CON_CREDIT = table_schema("ssa_county_code string, specialty_code string, contract_year int")
 
 _PROVIDER_TYPES = {"accepts_new_patients": "boolean", "uses_cms_ma_contract_amendment": "boolean"}
-PROVIDER_HSD = _schema(
+PROVIDER_HSD = table_schema(
     ", ".join(f"{c} {_PROVIDER_TYPES.get(c, 'string')}" for c in PROVIDER_COLUMNS) + ", source_year int"
 )
-FACILITY_HSD = _schema(
+FACILITY_HSD = table_schema(
     ", ".join(f"{c} {'bigint' if c == 'number_of_beds' else 'string'}" for c in FACILITY_COLUMNS) + ", source_year int"
 )
-ORG_PROVIDERS = _schema(
+ORG_PROVIDERS = table_schema(
     "id string, organization_id string, source_file_id string, ssa_state_county_code string, provider_name string,"
     " npi string, provider_specialty_code string, contract_type string, street_address string, city string,"
     " state_code string, zip_code string, latitude double, longitude double, medical_group_affiliation string,"
     " specialty string, accepts_new_patients boolean, uses_cms_ma_contract_amendment boolean,"
     " letter_of_intent boolean, accuracy_confidence string"
 )
-ORG_FACILITIES = _schema(
+ORG_FACILITIES = table_schema(
     "id string, organization_id string, source_file_id string, ssa_state_county_code string, specialty string,"
     " facility_specialty_code string, npi string, number_of_beds bigint, facility_name string, street_address string,"
     " city string, state_code string, zip_code string, letter_of_intent boolean, accuracy_confidence string,"
     " latitude double, longitude double"
 )
-ZCTA_GAZETTEER = _schema(
+ZCTA_GAZETTEER = table_schema(
     "geoid string, name string, intptlat double, intptlong double, aland_sqmeters bigint, awater_sqmeters bigint,"
     " aland_sqmi double, awater_sqmi double, source_year int"
 )
-BOUNDARY_FEATURES = _schema("path string, properties map<string,string>, srid int, geom binary")
-COUNTY_BOUNDARIES = _schema("geoid string, name string, source_year int, geom binary")
-ORG_FILES = _schema(
+BOUNDARY_FEATURES = table_schema("path string, properties properties, srid int, geom binary")
+COUNTY_BOUNDARIES = table_schema("geoid string, name string, source_year int, geom binary")
+ORG_FILES = table_schema(
     "id string, file_type string, organization_id string, uploaded_by_id string, original_name string,"
     " mime_type string, size_bytes bigint, s3_bucket string, s3_key string, status string, error_message string,"
     " created_at timestamp, updated_at timestamp"
 )
-STATUS_LOG = _schema(
+STATUS_LOG = table_schema(
     "file_id string, status string, error_message string, updated_at timestamp, batch_id bigint, seq bigint"
 )
-ISSUES = _schema(
+ISSUES = table_schema(
     "source_file string, row_index bigint, severity string, field string, message string, check_no int"
 )
 

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterflow import schemas as S
 from rosterflow.functions.geo import NAD83, WGS84
@@ -20,7 +21,7 @@ _GEOJSON = (
 _RINGS = "array<array<array<double>>>"
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def multipolygon_wkb(polygons: pd.Series) -> pd.Series:
     """Multipolygon WKB from nested coordinate lists."""
     return pd.Series([None if p is None else _encode(p) for p in polygons], dtype=object)
@@ -42,9 +43,10 @@ def crs_srid(name: Column) -> Column:
     return F.when(name.isNull() | name.endswith("CRS84"), WGS84).otherwise(code.try_cast("int"))
 
 
-def read_geojson(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Polygon and multipolygon features of GeoJSON files."""
-    files = spark.read.schema(_GEOJSON).option("multiLine", True).json(list(paths))
+def read_geojson(spark: SparkSession, paths: Sequence[str], *, one_per_line: bool = False) -> DataFrame:
+    """Polygon and multipolygon features of GeoJSON files. Files with one collection
+    per line are split among tasks."""
+    files = spark.read.schema(_GEOJSON).option("multiLine", not one_per_line).json(list(paths))
     features = files.select(
         F.col("_metadata.file_path").alias("path"),
         crs_srid(F.col("crs.properties.name")).alias("srid"),

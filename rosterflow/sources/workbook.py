@@ -24,7 +24,7 @@ from rosterflow.session import materialise
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 _BATCH = 4096
-_DECODED = "path string, sheet_no int, sheet string, row_idx int, cells array<string>, error string"
+_DECODED = "path string, sheet_no int, sheet string, row_idx bigint, cells array<string>, error string"
 
 
 def _text_of(element) -> str:
@@ -111,14 +111,16 @@ def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(rows, columns=columns)
 
 
+def decode_contents(files: DataFrame) -> DataFrame:
+    """Sheet rows of workbooks given as ``path, content``; an unreadable one yields a
+    row with its error."""
+    return files.select("path", "content").mapInPandas(_decode_batches, _DECODED)
+
+
 def decode_workbooks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Sheet rows of all workbooks; an unreadable one yields a row with its error."""
-    files = (
-        spark.read.format("binaryFile")
-        .load(list(paths))
-        .select(F.col("_metadata.file_path").alias("path"), "content")
-    )
-    return files.mapInPandas(_decode_batches, _DECODED)
+    """Sheet rows of all workbook files."""
+    files = spark.read.format("binaryFile").load(list(paths))
+    return decode_contents(files.select(F.col("_metadata.file_path").alias("path"), "content"))
 
 
 def _readable(rows: DataFrame) -> DataFrame:
