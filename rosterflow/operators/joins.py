@@ -17,7 +17,7 @@ HOT_KEY_ROWS = 1_000_000
 
 def _planned_bytes(df: DataFrame) -> int | None:
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # a session without the classic plan handle
         return None
 

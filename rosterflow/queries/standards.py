@@ -14,6 +14,7 @@ from rosterflow import schemas as S
 from rosterflow.plans import standards
 from rosterflow.queries.registry import Tables, query
 from rosterflow.queries.reshape import sheet_frame
+from rosterflow.session import materialise
 
 _WORKBOOKS = """
 books AS (SELECT n_nationkey, 'wb' || CAST(n_nationkey AS VARCHAR) AS path, 2020 + n_regionkey AS contract_year, r_name
@@ -43,7 +44,11 @@ con AS (SELECT path, r_name, ssacd, contract_year, CASE WHEN s_suppkey % 2 = 0 T
 
 
 def workbook_rows(t: Tables) -> DataFrame:
-    """Sheet rows of all workbooks."""
+    """Sheet rows of all workbooks, staged by sheet as the standards job does."""
+    return materialise(_sheets(t), "sheet-rows", ("sheet",))
+
+
+def _sheets(t: Tables) -> DataFrame:
     books = F.broadcast(  # one row per nation
         t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
             "n_nationkey",

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from rosterflow import schemas as S
 from rosterflow.functions.geo import NAD83, WGS84
+from rosterflow.sources.paths import file_address
 
 _GEOJSON = (
     "crs struct<properties:struct<name:string>>,"
@@ -48,7 +49,7 @@ def read_geojson(spark: SparkSession, paths: Sequence[str], *, one_per_line: boo
     per line are split among tasks."""
     files = spark.read.schema(_GEOJSON).option("multiLine", not one_per_line).json(list(paths))
     features = files.select(
-        F.col("_metadata.file_path").alias("path"),
+        file_address().alias("path"),
         crs_srid(F.col("crs.properties.name")).alias("srid"),
         F.explode("features").alias("f"),
     )

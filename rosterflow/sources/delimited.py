@@ -14,7 +14,7 @@ from rosterflow.functions import text
 from rosterflow.operators.dedupe import number_rows
 from rosterflow.operators.joins import small_side
 from rosterflow.operators.shape import normalised_headers
-from rosterflow.sources.paths import read_path
+from rosterflow.sources.paths import file_address, plain_address, read_path
 from rosterflow.session import materialise
 
 _PIPE, _TAB = "|", "\t"
@@ -50,7 +50,7 @@ def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], multi
         .csv(list(paths))
         .select(
             *names,
-            F.col("_metadata.file_path").alias("source_file"),
+            file_address().alias("source_file"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.monotonically_increasing_id().alias("position"),
         )
@@ -59,7 +59,7 @@ def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], multi
 
 def files_with_broken_lines(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """Files in which some line leaves a quote open, so a quoted field may run on."""
-    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("source_file"))
+    lines = spark.read.text(list(paths)).select("value", file_address().alias("source_file"))
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
     return [r.source_file for r in lines.filter(quotes % 2 == 1).select("source_file").distinct().collect()]
 
@@ -75,7 +75,8 @@ def stage_csv(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame
     names = S.SUBMISSION_COLUMNS[kind]
     broken = set(files_with_broken_lines(spark, paths))
     if broken:
-        whole = [f for f in spark.read.text(list(paths)).inputFiles() if f not in broken]
+        files = [plain_address(f) for f in spark.read.text(list(paths)).inputFiles()]
+        whole = [f for f in files if f not in broken]
         scans = [_scan(spark, [read_path(f) for f in sorted(broken)], names, True)]
         if whole:
             scans.append(_scan(spark, [read_path(f) for f in whole], names, False))
@@ -134,7 +135,7 @@ def data_rows(staged: DataFrame) -> DataFrame:
 def header_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """First line of every file: ``source_file, line``."""
     lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("source_file"),
+        file_address().alias("source_file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("position"),
         "value",
@@ -169,7 +170,7 @@ def read_gazetteer(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         names = normalised_headers(layout.line.lstrip("\ufeff").split(layout.sep))
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         scan = spark.read.schema(schema).options(header=True, sep=layout.sep).csv([read_path(f) for f in layout.files])
-        scans.append(scan.select(*names, F.col("_metadata.file_path").alias("source_file")))
+        scans.append(scan.select(*names, file_address().alias("source_file")))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
@@ -198,7 +199,7 @@ def read_by_header(
                     (F.col(f"`{found[n]}`") if n in found else F.lit(None).cast("string")).alias(n)
                     for n in names
                 ],
-                F.col("_metadata.file_path").alias("source_file"),
+                file_address().alias("source_file"),
             )
         )
     return reduce(DataFrame.unionByName, scans)

@@ -15,11 +15,16 @@ def read_path(uri: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(uri))
 
 
-def plain_uri(c: Column) -> Column:
+def plain_address(uri: str) -> str:
     """Local addresses come with one or three slashes; use three."""
-    return F.regexp_replace(c, "^file:/+", "file:///")
+    return re.sub("^file:/+", "file:///", uri)
 
 
-def object_uri(bucket: Column, key: Column, scheme: str = "s3a") -> Column:
+def file_address() -> Column:
+    """Address of the file a row was read from."""
+    return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
+
+
+def object_uri(bucket: Column, key: Column, store: str = "s3a://") -> Column:
     """Address of an object recorded as bucket and key."""
-    return F.concat(F.lit(f"{scheme}://"), bucket, F.lit("/"), key)
+    return F.concat(F.lit(store), bucket, F.lit("/"), key)

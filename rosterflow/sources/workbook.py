@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from rosterflow import schemas as S
 from rosterflow.operators.reshape import cell
 from rosterflow.session import materialise
+from rosterflow.sources.paths import file_address
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -120,7 +121,7 @@ def decode_contents(files: DataFrame) -> DataFrame:
 def decode_workbooks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Sheet rows of all workbook files."""
     files = spark.read.format("binaryFile").load(list(paths))
-    return decode_contents(files.select(F.col("_metadata.file_path").alias("path"), "content"))
+    return decode_contents(files.select(file_address().alias("path"), "content"))
 
 
 def _readable(rows: DataFrame) -> DataFrame:

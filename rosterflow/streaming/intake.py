@@ -20,7 +20,7 @@ from rosterflow import schemas as S
 from rosterflow.plans.jobs import load_uploads
 from rosterflow.session import materialise
 from rosterflow.sources.delimited import suffix_of
-from rosterflow.sources.paths import plain_uri, read_path
+from rosterflow.sources.paths import file_address, object_uri, plain_address, read_path
 from rosterflow.streaming import route
 from rosterflow.streaming.status import CLAIM_STEP, OUTCOME_STEP, append_log, claim, log_entries, read_log
 
@@ -81,7 +81,7 @@ def _file_problem(uri: str, size: int) -> str | None:
 def _load_kind(spark: SparkSession, claimed: DataFrame, kind: str, tables: IntakeTables) -> DataFrame:
     """Load the claimed files of one kind; returns ``file_id, error``. Files that are
     missing stay in processing, so the sweep sends them again."""
-    uri = F.concat(F.lit(tables.objects), F.col("s3_bucket"), F.lit("/"), F.col("s3_key"))
+    uri = object_uri(F.col("s3_bucket"), F.col("s3_key"), tables.objects)
     files = claimed.filter(route.handler(F.col("file_type")) == kind).select("id", "organization_id", uri.alias("uri"))
     listed = files.collect()  # one address per message of the batch
     found = probe_objects(spark, [r.uri for r in listed])
@@ -91,11 +91,11 @@ def _load_kind(spark: SparkSession, claimed: DataFrame, kind: str, tables: Intak
             [(r.id, problems[r.uri]) for r in listed if problems.get(r.uri)], "file_id string, error string"
         )
     ]
-    readable = [(r.id, r.organization_id, found[r.uri][0]) for r in listed if r.uri in found and not problems[r.uri]]
+    readable = [(r.id, r.organization_id, plain_address(found[r.uri][0])) for r in listed if r.uri in found and not problems[r.uri]]
     if readable:
         manifest = spark.createDataFrame(
             readable, "source_file_id string, organization_id string, source_file string"
-        ).withColumn("source_file", plain_uri(F.col("source_file")))
+        )
         loaded = load_uploads(spark, manifest, kind, getattr(tables, kind), [read_path(u) for _, _, u in readable])
         outcomes.append(
             loaded.select(F.col("source_file_id").alias("file_id"), route.unexpected(F.col("error")).alias("error"))
@@ -139,4 +139,4 @@ def stream_rows(spark: SparkSession, folder: str, kind: str, shape: Callable[[Da
     names = S.SUBMISSION_COLUMNS[kind]
     schema = ", ".join(f"{n} string" for n in names)
     lines = spark.readStream.schema(schema).option("header", True).csv(folder)
-    return shape(lines.select(*names, F.col("_metadata.file_path").alias("source_file")))
+    return shape(lines.select(*names, file_address().alias("source_file")))
