@@ -123,6 +123,8 @@ _SHEET = '<?xml version="1.0"?><worksheet xmlns="http://schemas.openxmlformats.o
 def _cell_xml(value) -> str:
     if value is None:
         return "<c/>"
+    if isinstance(value, bool):
+        return f'<c t="b"><v>{int(value)}</v></c>'
     if isinstance(value, (int, float)):
         return f"<c><v>{value}</v></c>"
     return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>'

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.functions.geo import point
-from rosterflow.operators.joins import non_members, small_side
+from rosterflow.operators.joins import non_members
+from rosterflow.session import materialise
 
 
 def write_table(df: DataFrame, table: str, *, append: bool = False, partition_by: Sequence[str] = ()) -> None:
@@ -65,13 +66,17 @@ def replace_files(
     ``file_ids`` (one ``key`` column) names every file of the load, also those that
     now have no rows: their old rows go too. Loading the same files again gives the
     same table. Rows carry the load time in ``updated_at``; returns ``key, rows``.
+    Only the partitions of the load are touched, and the table is never listed.
 
     ``scattered`` rows are gathered by file first, where adaptive execution spreads
     a heavy file over tasks; turn it off when tasks already hold whole files.
     """
-    spark = df.sparkSession
-    stamp = datetime.now(timezone.utc)
-    rows = df.withColumn("updated_at", F.lit(stamp))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    result = materialise(
+        file_ids.select(key).distinct().join(counts, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("rows")),
+        "file-counts",
+    )
+    rows = df.withColumn("updated_at", F.lit(datetime.now(timezone.utc)))
     (
         (rows.hint("rebalance", F.col(key)) if scattered else rows)
         .write.mode("overwrite")
@@ -79,15 +84,6 @@ def replace_files(
         .partitionBy(key)
         .parquet(path)
     )
-    ids = file_ids.select(key).distinct()
-    table = spark.read.schema(rows.schema).parquet(path)
-    counts = (
-        table.join(small_side(ids), key, "left_semi")
-        .filter(F.col("updated_at") == F.lit(stamp))
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    result = ids.join(counts, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("rows"))
     nothing = rows.limit(0).drop(key)
     for emptied in result.filter("rows = 0").collect():
         nothing.write.mode("overwrite").parquet(f"{path}/{_partition_folder(key, emptied[0])}")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rosterflow import schemas as S
+from rosterflow.operators.joins import small_side
 from rosterflow.operators.reshape import cell
 from rosterflow.session import materialise
 from rosterflow.sources.paths import file_address
@@ -95,7 +96,10 @@ def decode_workbook(content: bytes) -> Iterator[tuple[int, str, int, list[str |
                 yield number, sheet.get("name"), row_no, cells
 
 
-def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_UNREADABLE = (zipfile.BadZipFile, ElementTree.ParseError, KeyError, ValueError)
+
+
+def _decode_batches(batches: Iterator[pd.DataFrame], keep_unreadable: bool) -> Iterator[pd.DataFrame]:
     columns = ["path", "sheet_no", "sheet", "row_idx", "cells", "error"]
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
@@ -106,32 +110,34 @@ def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if len(rows) == _BATCH:
                         yield pd.DataFrame(rows, columns=columns)
                         rows = []
-            except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, ValueError) as problem:
+            except _UNREADABLE as problem:
+                if not keep_unreadable:
+                    raise ValueError(f"unreadable workbook {path}: {problem}") from problem
                 rows.append((path, None, None, None, None, f"unreadable workbook: {problem}"))
             if rows:
                 yield pd.DataFrame(rows, columns=columns)
 
 
-def decode_contents(files: DataFrame) -> DataFrame:
-    """Sheet rows of workbooks given as ``path, content``; an unreadable one yields a
-    row with its error."""
-    return files.select("path", "content").mapInPandas(_decode_batches, _DECODED)
+def decode_contents(files: DataFrame, *, keep_unreadable: bool = False) -> DataFrame:
+    """Sheet rows of workbooks given as ``path, content``. An unreadable one fails the
+    job, or, when kept, yields a row with its error after the rows read so far."""
+    return files.select("path", "content").mapInPandas(
+        lambda batches: _decode_batches(batches, keep_unreadable), _DECODED
+    )
 
 
-def decode_workbooks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def decode_workbooks(spark: SparkSession, paths: Sequence[str], *, keep_unreadable: bool = False) -> DataFrame:
     """Sheet rows of all workbook files."""
     files = spark.read.format("binaryFile").load(list(paths))
-    return decode_contents(files.select(file_address().alias("path"), "content"))
-
-
-def _readable(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.when(F.col("error").isNull(), True).otherwise(F.raise_error(F.col("error")).cast("boolean")))
+    return decode_contents(
+        files.select(file_address().alias("path"), "content"), keep_unreadable=keep_unreadable
+    )
 
 
 def read_workbooks(spark: SparkSession, paths: Sequence[str], year: int | Column) -> DataFrame:
     """All sheets of all workbooks; ``year`` is one value or an expression on ``path``."""
     source_year = year if isinstance(year, Column) else F.lit(year)
-    rows = _readable(decode_workbooks(spark, paths)).withColumn("source_year", source_year.cast("int"))
+    rows = decode_workbooks(spark, paths).withColumn("source_year", source_year.cast("int"))
     return rows.select(*S.SHEET_ROWS.fieldNames())
 
 
@@ -148,7 +154,7 @@ def read_sheet(spark: SparkSession, path: str, sheet: int = 0) -> DataFrame:
     """One sheet of one workbook as text columns named by its first row."""
     if path.lower().endswith(".xls"):
         raise ValueError(S.MSG_UNSUPPORTED + ".xls")
-    rows = first_sheet_rows(_readable(decode_workbooks(spark, [path])), sheet)
+    rows = first_sheet_rows(decode_workbooks(spark, [path]), sheet)
     header = rows.filter("row_index = 0").select("cells").first()
     names = [c or f"col_{i}" for i, c in enumerate(header.cells)] if header else []
     return rows.filter("row_index > 0").select(*[cell(i).alias(n) for i, n in enumerate(names)])
@@ -160,11 +166,12 @@ def stage_workbooks(
     """First sheets of submission workbooks under positional names, shaped like the
     staged CSV rows, and the unreadable workbooks as ``source_file, error``, which
     fail the read unless they are kept."""
-    decoded = decode_workbooks(spark, paths)
-    staged = materialise(decoded if keep_unreadable else _readable(decoded), "staged-sheets")
+    staged = materialise(decode_workbooks(spark, paths, keep_unreadable=keep_unreadable), "staged-sheets")
+    unreadable = staged.filter(F.col("error").isNotNull()).select(F.col("path").alias("source_file"), "error")
     names = S.SUBMISSION_COLUMNS[kind]
-    rows = first_sheet_rows(staged).select(
-        *[cell(i).alias(n) for i, n in enumerate(names)], F.col("path").alias("source_file"), "row_index"
+    rows = (
+        first_sheet_rows(staged)
+        .select(*[cell(i).alias(n) for i, n in enumerate(names)], F.col("path").alias("source_file"), "row_index")
+        .join(small_side(unreadable.select("source_file")), "source_file", "left_anti")
     )
-    unreadable = staged.filter(F.col("error").isNotNull()).select(F.col("path").alias("source_file"), "error")
     return rows, unreadable
