@@ -13,8 +13,8 @@ from rosterflow.functions import numbers, text
 from rosterflow.operators.joins import small_side
 
 SHEET_KEY = ["path", "sheet"]
-COUNT_CODE_ROW, COUNT_FIRST_DATA_ROW = 2, 3
-PAIR_CODE_ROW, PAIR_FIRST_DATA_ROW = 2, 4
+HEAD_ROW, CODE_ROW = 0, 2
+COUNT_FIRST_DATA_ROW, PAIR_FIRST_DATA_ROW = 3, 4
 
 
 def cell(i: Column | int) -> Column:
@@ -22,17 +22,24 @@ def cell(i: Column | int) -> Column:
     return F.get(F.col("cells"), i if isinstance(i, Column) else F.lit(i))
 
 
-def sheet_layout(rows: DataFrame, code_row: int) -> DataFrame:
-    """One row per sheet: its width (widest row) and the cells of its code row."""
+def sheet_layout(rows: DataFrame) -> DataFrame:
+    """One row per sheet: its width (widest row), first row and code row.
+
+    Stage it once for all operators of a job: the planner then knows its size."""
+
+    def row(number: int, name: str) -> DataFrame:
+        return rows.filter(F.col("row_idx") == number).select(*SHEET_KEY, F.col("cells").alias(name))
+
     width = rows.groupBy(*SHEET_KEY).agg(F.max(F.size("cells")).alias("width"))
-    codes = rows.filter(F.col("row_idx") == code_row).select(*SHEET_KEY, F.col("cells").alias("codes"))
-    return width.join(codes, SHEET_KEY, "left")
+    return width.join(row(CODE_ROW, "codes"), SHEET_KEY, "left").join(row(HEAD_ROW, "head"), SHEET_KEY, "left")
 
 
-def _data_with_layout(rows: DataFrame, sheet: str, code_row: int, first_data_row: int) -> DataFrame:
+def rows_with_layout(rows: DataFrame, sheet: str, first_row: int, layout: DataFrame | None = None) -> DataFrame:
+    """Rows of a sheet from ``first_row`` on, each with its sheet's layout. Data rows
+    stay where they are while the layout is small."""
     rows = rows.filter(F.col("sheet") == sheet)
-    layout = small_side(sheet_layout(rows, code_row))
-    return rows.filter(F.col("row_idx") >= first_data_row).join(layout, SHEET_KEY)
+    layout = sheet_layout(rows) if layout is None else layout.filter(F.col("sheet") == sheet)
+    return rows.filter(F.col("row_idx") >= first_row).join(small_side(layout), SHEET_KEY)
 
 
 def _columns_from(start: int, count: Column) -> Column:
@@ -44,14 +51,13 @@ def _id_columns(names: list[str]) -> list[Column]:
     return [cell(i).alias(n) for i, n in enumerate(names)]
 
 
-def unpivot_counts(rows: DataFrame, sheet: str, source_table: str) -> DataFrame:
+def unpivot_counts(rows: DataFrame, sheet: str, source_table: str, layout: DataFrame | None = None) -> DataFrame:
     """One row per data row and specialty column; null counts are kept.
 
-    The code row rides along as one array per sheet, so data rows never shuffle
-    while the layout stays small.
+    The code row rides along as one array per sheet.
     """
     start = len(S.MIN_COUNT_ID_COLUMNS)
-    data = _data_with_layout(rows, sheet, COUNT_CODE_ROW, COUNT_FIRST_DATA_ROW)
+    data = rows_with_layout(rows, sheet, COUNT_FIRST_DATA_ROW, layout)
     return data.select(
         "path",
         "source_year",
@@ -77,14 +83,14 @@ def count_code(code: Column, position: Column) -> Column:
     return F.when(F.coalesce(code, F.lit("")) == "", position.cast("string")).otherwise(text.strip(code))
 
 
-def unpivot_pairs(rows: DataFrame, sheet: str, source_table: str) -> DataFrame:
+def unpivot_pairs(rows: DataFrame, sheet: str, source_table: str, layout: DataFrame | None = None) -> DataFrame:
     """One row per data row and (time, distance) column pair.
 
     Pairs without a code and pairs where both values are missing are dropped; an
     odd last column is ignored.
     """
     start = len(S.TIME_DISTANCE_ID_COLUMNS)
-    data = _data_with_layout(rows, sheet, PAIR_CODE_ROW, PAIR_FIRST_DATA_ROW)
+    data = rows_with_layout(rows, sheet, PAIR_FIRST_DATA_ROW, layout)
     pairs = F.floor((F.col("width") - start) / 2).cast("int")
     return (
         data.select(
@@ -123,7 +129,7 @@ def header_names(cells: Column) -> Column:
 
 def header_layout(rows: DataFrame) -> DataFrame:
     """One row per sheet: the normalised names of its first row."""
-    return rows.filter(F.col("row_idx") == 0).select(*SHEET_KEY, header_names(F.col("cells")).alias("names"))
+    return rows.filter(F.col("row_idx") == HEAD_ROW).select(*SHEET_KEY, header_names(F.col("cells")).alias("names"))
 
 
 def named_cell(name: str) -> Column:
@@ -132,10 +138,9 @@ def named_cell(name: str) -> Column:
     return F.when(position > 0, F.get(F.col("cells"), position - 1))
 
 
-def rows_with_names(rows: DataFrame, sheet: str) -> DataFrame:
+def rows_with_names(rows: DataFrame, sheet: str, layout: DataFrame | None = None) -> DataFrame:
     """Data rows of a sheet with a header row, each with its sheet's header names."""
-    rows = rows.filter(F.col("sheet") == sheet)
-    return rows.filter(F.col("row_idx") > 0).join(small_side(header_layout(rows)), SHEET_KEY)
+    return rows_with_layout(rows, sheet, HEAD_ROW + 1, layout).withColumn("names", header_names(F.col("head")))
 
 
 def promote_header(rows: DataFrame, sheet: str) -> DataFrame:

@@ -7,8 +7,6 @@ sets are joined as small sides; duplicates are the only shuffle.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,6 +65,36 @@ def _known_codes(df: DataFrame, code: str, codes: DataFrame, marker: str, year_o
     return mark_members(df, keyed, ["source_year", code], marker)
 
 
+def _checked_rows(df: DataFrame, kind: str, applicant: bool) -> DataFrame:
+    """Codes and failed checks of every row. Wide text columns end here: only codes,
+    raw codes for the messages, and flags go on to the joins."""
+    have = set(df.columns)
+    address = text.strip_or_blank(F.col(S.ADDRESS_COLUMN[kind]))
+    narrow = {
+        "_s": text.strip_or_blank(F.col("ssa_state_county_code")),
+        "_p": text.strip_or_blank(F.col("specialty_code")),
+        "_address": address,
+        "_npi_bad": ~text.is_npi(F.col("npi")),
+    }
+    if kind == "facility" and "number_of_beds" in have:
+        beds = F.coalesce(numbers.truncated_long(F.col("number_of_beds").cast("string")), F.lit(0))
+        narrow["_no_beds"] = (F.col("_has_beds") & (beds <= 0)) if "_has_beds" in have else beds <= 0
+    if not applicant and "letter_of_intent" in have:
+        narrow["_loi_bad"] = ~text.is_blank(F.col("letter_of_intent"))
+    if "accuracy_confidence" in have:
+        narrow["_accuracy_bad"] = ~text.is_accuracy_value(F.col("accuracy_confidence"))
+    kept = ["source_file", "row_index", "source_year", "ssa_state_county_code", "specialty_code"]
+    rows = df.select(*kept, *[c.alias(n) for n, c in narrow.items()])
+    return rows.withColumns(
+        {
+            "_ssa": text.zero_fill(F.col("_s"), 5),
+            "_spec": text.zero_fill(F.col("_p"), 3),
+            "_address_blank": F.col("_address") == "",
+            "_address_bad": (F.col("_address") == "") | text.is_po_box(F.col("_address")),
+        }
+    ).drop("_s", "_p", "_address")
+
+
 def row_issues(
     df: DataFrame,
     kind: str,
@@ -80,51 +108,38 @@ def row_issues(
 
     Code sets are frames ``code`` or ``contract_year, code``. A yearly specialty
     set falls back to the fixed codes for years it does not cover; an SSA set does
-    not.
+    not. Every check is evaluated once per row, in generated code; the array of a
+    row's checks is exploded and its empty places dropped.
     """
-    raw_ssa, raw_specialty = F.col("ssa_state_county_code"), F.col("specialty_code")
-    rows = df.withColumn("_ssa", text.check_code(raw_ssa, 5)).withColumn("_spec", text.check_code(raw_specialty, 3))
+    rows = _checked_rows(df, kind, applicant)
     rows = _known_codes(rows, "_ssa", ssa_codes.filter(F.col("code").rlike("^[0-9]{5}$")), "_ssa_ok", ssa_year_offset)
     rows = _known_codes(rows, "_spec", specialty_codes, "_spec_ok")
     spec_ok = F.col("_spec_ok")
-    fixed = F.col("_spec").isin(S.FALLBACK_SPECIALTY_CODES[kind])
     if "contract_year" in specialty_codes.columns:
         years = specialty_codes.select(F.col("contract_year").cast("int").alias("source_year"))
         rows = mark_members(rows, years, ["source_year"], "_year_has_codes")
+        fixed = F.col("_spec").isin(S.FALLBACK_SPECIALTY_CODES[kind])
         spec_ok = spec_ok | (~F.col("_year_has_codes") & fixed)
 
     address = S.ADDRESS_COLUMN[kind]
-    have = set(df.columns)
+    address_message = F.when(F.col("_address_blank"), S.MSG_ADDRESS_BLANK).otherwise(S.MSG_ADDRESS_PO_BOX)
+    raw_ssa, raw_specialty = text.shown(F.col("ssa_state_county_code")), text.shown(F.col("specialty_code"))
     checks: list[tuple[Column, str, Column | str]] = [
-        (
-            ~F.col("_ssa_ok"),
-            "ssa_state_county_code",
-            F.concat(F.lit(S.MSG_SSA), text.shown(raw_ssa)),
-        ),
-        (~text.is_npi(F.col("npi")), "npi", S.MSG_NPI),
-        (~spec_ok, "specialty_code", F.concat(F.lit(S.MSG_SPECIALTY[kind]), text.shown(raw_specialty))),
-        (
-            text.is_blank(F.col(address)) | text.is_po_box(F.col(address)),
-            address,
-            F.when(text.is_blank(F.col(address)), S.MSG_ADDRESS_BLANK).otherwise(S.MSG_ADDRESS_PO_BOX),
-        ),
+        (~F.col("_ssa_ok"), "ssa_state_county_code", F.concat(F.lit(S.MSG_SSA), raw_ssa)),
+        (F.col("_npi_bad"), "npi", S.MSG_NPI),
+        (~spec_ok, "specialty_code", F.concat(F.lit(S.MSG_SPECIALTY[kind]), raw_specialty)),
+        (F.col("_address_bad"), address, address_message),
     ]
-    if kind == "facility" and "number_of_beds" in have:
-        beds = F.coalesce(numbers.truncated_long(F.col("number_of_beds").cast("string")), F.lit(0))
-        counted = F.col("_has_beds") if "_has_beds" in have else F.lit(True)
-        checks.append(
-            (counted & (F.col("_spec") == S.ACUTE_INPATIENT_CODE) & (beds <= 0), "number_of_beds", S.MSG_BEDS)
-        )
-    if not applicant and "letter_of_intent" in have:
-        checks.append((~text.is_blank(F.col("letter_of_intent")), "letter_of_intent", S.MSG_LOI))
-    if "accuracy_confidence" in have:
-        checks.append((~text.is_accuracy_value(F.col("accuracy_confidence")), "accuracy_confidence", S.MSG_ACCURACY))
-
-    any_bad = reduce(lambda a, b: a | b, [bad for bad, _, _ in checks])
+    if "_no_beds" in rows.columns:
+        acute = F.col("_spec") == S.ACUTE_INPATIENT_CODE
+        checks.append((acute & F.col("_no_beds"), "number_of_beds", S.MSG_BEDS))
+    if "_loi_bad" in rows.columns:
+        checks.append((F.col("_loi_bad"), "letter_of_intent", S.MSG_LOI))
+    if "_accuracy_bad" in rows.columns:
+        checks.append((F.col("_accuracy_bad"), "accuracy_confidence", S.MSG_ACCURACY))
     issues = F.array(*[_issue(n, bad, field, message) for n, (bad, field, message) in enumerate(checks, start=1)])
     return (
-        rows.filter(any_bad)
-        .select("source_file", "row_index", F.explode(issues).alias("i"))
+        rows.select("source_file", "row_index", F.explode(issues).alias("i"))
         .filter("i is not null")
         .select("source_file", "row_index", "i.severity", "i.field", "i.message", "i.check_no")
     )

@@ -8,15 +8,13 @@ from pyspark.sql import functions as F
 from rosterflow import schemas as S
 from rosterflow.functions import numbers, text
 from rosterflow.operators.dedupe import keep_first
-from rosterflow.operators.joins import full_join_coalesce, left_join_flag, small_side
+from rosterflow.operators.joins import full_join_coalesce, left_join_flag
 from rosterflow.operators.reshape import (
-    COUNT_CODE_ROW,
     COUNT_FIRST_DATA_ROW,
-    PAIR_CODE_ROW,
     PAIR_FIRST_DATA_ROW,
-    SHEET_KEY,
     cell,
     named_cell,
+    rows_with_layout,
     rows_with_names,
     sheet_layout,
     unpivot_counts,
@@ -24,19 +22,20 @@ from rosterflow.operators.reshape import (
 )
 from rosterflow.operators.sets import prefer_source, union_all_as, union_distinct
 from rosterflow.operators.shape import conform
+from rosterflow.session import materialise
 
 
-def min_counts(rows: DataFrame, category: str) -> DataFrame:
+def min_counts(rows: DataFrame, category: str, layout: DataFrame | None = None) -> DataFrame:
     sheet = S.SHEET_MIN_PROVIDER if category == "provider" else S.SHEET_MIN_FACILITY
-    return unpivot_counts(rows, sheet, category)
+    return unpivot_counts(rows, sheet, category, layout)
 
 
-def time_distances(rows: DataFrame, category: str) -> DataFrame:
+def time_distances(rows: DataFrame, category: str, layout: DataFrame | None = None) -> DataFrame:
     sheet = S.SHEET_TD_PROVIDER if category == "provider" else S.SHEET_TD_FACILITY
-    return unpivot_pairs(rows, sheet, category)
+    return unpivot_pairs(rows, sheet, category, layout)
 
 
-def con_rows(rows: DataFrame) -> DataFrame:
+def con_rows(rows: DataFrame, layout: DataFrame | None = None) -> DataFrame:
     """Certificate-of-need rows with the county code under both lookups.
 
     The time-distance lookup reads ``ssa`` or else the first column; the credit
@@ -45,7 +44,7 @@ def con_rows(rows: DataFrame) -> DataFrame:
     """
     first_with_ssa = F.array_position(F.transform("names", lambda n: n.contains("ssa")), True).cast("int")
     has_ssa = F.array_contains("names", "ssa")
-    return rows_with_names(rows, S.SHEET_CON).select(
+    return rows_with_names(rows, S.SHEET_CON, layout).select(
         "path",
         F.col("source_year").alias("contract_year"),
         F.when(has_ssa, named_cell("ssa")).otherwise(cell(0)).alias("lookup_ssa"),
@@ -59,24 +58,19 @@ def con_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def _count_sheet_counties(rows: DataFrame) -> DataFrame:
+def _count_sheet_counties(rows: DataFrame, layout: DataFrame | None) -> DataFrame:
     """County rows of the provider counts sheets. Dedupe happens on the wide rows,
     before any unpivot; a sheet without a specialty column defines none."""
-    start = len(S.MIN_COUNT_ID_COLUMNS)
-    sheets = rows.filter(F.col("sheet") == S.SHEET_MIN_PROVIDER)
-    layout = small_side(sheet_layout(sheets, COUNT_CODE_ROW).filter(F.col("width") > start).select(*SHEET_KEY))
     return (
-        sheets.filter(F.col("row_idx") >= COUNT_FIRST_DATA_ROW)
-        .join(layout, SHEET_KEY, "left_semi")
+        rows_with_layout(rows, S.SHEET_MIN_PROVIDER, COUNT_FIRST_DATA_ROW, layout)
+        .filter(F.col("width") > len(S.MIN_COUNT_ID_COLUMNS))
         .select("path", "source_year", "row_idx", *[cell(i).alias(n) for i, n in enumerate(S.MIN_COUNT_ID_COLUMNS)])
     )
 
 
-def _pair_sheet_counties(rows: DataFrame) -> DataFrame:
+def _pair_sheet_counties(rows: DataFrame, layout: DataFrame | None) -> DataFrame:
     """County rows of the provider time-distance sheets that have a usable pair."""
     start = len(S.TIME_DISTANCE_ID_COLUMNS)
-    sheets = rows.filter(F.col("sheet") == S.SHEET_TD_PROVIDER)
-    layout = small_side(sheet_layout(sheets, PAIR_CODE_ROW))
     pairs = F.floor((F.col("width") - start) / 2).cast("int")
     positions = F.when(pairs > 0, F.sequence(F.lit(0), pairs - 1)).otherwise(F.array().cast("array<int>"))
 
@@ -87,8 +81,7 @@ def _pair_sheet_counties(rows: DataFrame) -> DataFrame:
         ).isNotNull()
 
     return (
-        sheets.filter(F.col("row_idx") >= PAIR_FIRST_DATA_ROW)
-        .join(layout, SHEET_KEY)
+        rows_with_layout(rows, S.SHEET_TD_PROVIDER, PAIR_FIRST_DATA_ROW, layout)
         .filter(F.exists(positions, usable))
         .select(
             "path",
@@ -102,10 +95,10 @@ def _pair_sheet_counties(rows: DataFrame) -> DataFrame:
     )
 
 
-def county_table(rows: DataFrame) -> DataFrame:
+def county_table(rows: DataFrame, layout: DataFrame | None = None) -> DataFrame:
     """One row per county and year of a workbook: first provider-counts row, or first
     time-distance row where the workbook has no provider counts."""
-    base = prefer_source(_count_sheet_counties(rows), _pair_sheet_counties(rows), ["path"])
+    base = prefer_source(_count_sheet_counties(rows, layout), _pair_sheet_counties(rows, layout), ["path"])
     first = keep_first(base, ["path", "ssacd", "source_year"], ["row_idx"])
     return conform(
         first.select(
@@ -185,14 +178,15 @@ def con_credit_table(con: DataFrame) -> DataFrame:
 
 def standards_tables(rows: DataFrame) -> dict[str, DataFrame]:
     """All five tables; sheets are found by name and may be absent. Pass a staged
-    ``rows`` table, since every builder scans it."""
-    providers, facilities = min_counts(rows, "provider"), min_counts(rows, "facility")
-    con = con_rows(rows)
+    ``rows`` table, since every builder scans its sheets; the layouts are staged here."""
+    layout = materialise(sheet_layout(rows), "sheet-layouts")
+    providers, facilities = min_counts(rows, "provider", layout), min_counts(rows, "facility", layout)
+    con = con_rows(rows, layout)
     return {
-        "county": county_table(rows),
+        "county": county_table(rows, layout),
         "specialty_type": specialty_table(providers, facilities),
         "time_distance_standard": time_distance_table(
-            time_distances(rows, "provider"), time_distances(rows, "facility"), con
+            time_distances(rows, "provider", layout), time_distances(rows, "facility", layout), con
         ),
         "minimum_number_standard": minimum_number_table(providers, facilities),
         "con_credit": con_credit_table(con),

@@ -1,5 +1,7 @@
 """Unpivots and sheet rows."""
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +14,8 @@ def sheet_frame(paths: DataFrame, sheet: str, heads: list[list[str | None]], dat
     """Sheet rows: the head rows once per workbook path, then the data rows.
 
     ``paths`` has ``path, source_year``; ``data`` has ``path, source_year, row_idx, cells``."""
-    head = F.array(
-        *[
-            F.struct(F.lit(i).cast("bigint").alias("row_idx"), F.array(*[F.lit(c).cast("string") for c in cells]).alias("cells"))
-            for i, cells in enumerate(heads)
-        ]
-    )
+    text = json.dumps([{"row_idx": i, "cells": cells} for i, cells in enumerate(heads)])
+    head = F.from_json(F.lit(text), "array<struct<row_idx:bigint,cells:array<string>>>")
     top = paths.select("path", "source_year", F.explode(head).alias("h")).select("path", "source_year", "h.*")
     columns = ["path", "source_year", "sheet", "row_idx", "cells"]
     return (

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow import schemas as S
+from rosterflow.operators.reshape import sheet_layout
 from rosterflow.plans import standards
 from rosterflow.queries.registry import Tables, query
 from rosterflow.queries.reshape import sheet_frame
@@ -43,9 +44,10 @@ con AS (SELECT path, r_name, ssacd, contract_year, CASE WHEN s_suppkey % 2 = 0 T
 """
 
 
-def workbook_rows(t: Tables) -> DataFrame:
-    """Sheet rows of all workbooks, staged by sheet as the standards job does."""
-    return materialise(_sheets(t), "sheet-rows", ("sheet",))
+def workbooks(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Sheet rows and layouts of all workbooks, staged as the standards job does."""
+    rows = materialise(_sheets(t), "sheet-rows", ("sheet",))
+    return rows, materialise(sheet_layout(rows), "sheet-layouts")
 
 
 def _sheets(t: Tables) -> DataFrame:
@@ -158,7 +160,8 @@ SELECT ssacd AS ssa_county_code, contract_year, c_name AS county_name, r_name AS
 FROM base QUALIFY row_number() OVER (PARTITION BY path, ssacd ORDER BY k) = 1
 """)
 def county_table(t):
-    return standards.county_table(workbook_rows(t))
+    rows, layout = workbooks(t)
+    return standards.county_table(rows, layout)
 
 
 @query(f"""
@@ -168,8 +171,10 @@ FROM (SELECT specialty_code, contract_year, 'provider' AS category FROM provider
       UNION SELECT specialty_code, contract_year, 'facility' FROM facility_counts)
 """)
 def specialty_table(t):
-    rows = workbook_rows(t)
-    return standards.specialty_table(standards.min_counts(rows, "provider"), standards.min_counts(rows, "facility"))
+    rows, layout = workbooks(t)
+    return standards.specialty_table(
+        standards.min_counts(rows, "provider", layout), standards.min_counts(rows, "facility", layout)
+    )
 
 
 @query(f"""
@@ -182,9 +187,11 @@ SELECT ssacd AS ssa_county_code, specialty_code, contract_year, minutes AS max_t
 FROM td LEFT JOIN lookup USING (path, ssacd, specialty_code)
 """)
 def td_standard_table(t):
-    rows = workbook_rows(t)
+    rows, layout = workbooks(t)
     return standards.time_distance_table(
-        standards.time_distances(rows, "provider"), standards.time_distances(rows, "facility"), standards.con_rows(rows)
+        standards.time_distances(rows, "provider", layout),
+        standards.time_distances(rows, "facility", layout),
+        standards.con_rows(rows, layout),
     )
 
 
@@ -198,8 +205,10 @@ SELECT ssacd AS ssa_county_code, specialty_code, contract_year, p.min_count AS m
 FROM p FULL JOIN f USING (path, ssacd, specialty_code, contract_year)
 """)
 def min_standard_table(t):
-    rows = workbook_rows(t)
-    return standards.minimum_number_table(standards.min_counts(rows, "provider"), standards.min_counts(rows, "facility"))
+    rows, layout = workbooks(t)
+    return standards.minimum_number_table(
+        standards.min_counts(rows, "provider", layout), standards.min_counts(rows, "facility", layout)
+    )
 
 
 @query(f"""
@@ -207,4 +216,5 @@ WITH {_WORKBOOKS}
 SELECT DISTINCT ssacd AS ssa_county_code, specialty_code, contract_year FROM con
 """)
 def con_credit_table(t):
-    return standards.con_credit_table(standards.con_rows(workbook_rows(t)))
+    rows, layout = workbooks(t)
+    return standards.con_credit_table(standards.con_rows(rows, layout))
