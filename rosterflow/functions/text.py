@@ -15,9 +15,16 @@ WHITESPACE = (
 )
 
 
+def _plain_end(end: Column) -> Column:
+    """First character is in the range that holds no whitespace."""
+    return F.ascii(end).between(0x21, 0x84)
+
+
 def strip(c: Column) -> Column:
-    """Without whitespace at either end; Spark's own ``trim`` only takes blanks."""
-    return F.trim(c, F.lit(WHITESPACE))
+    """Without whitespace at either end; Spark's own ``trim`` only takes blanks. Texts
+    with plain characters at both ends skip the costlier trim by character set."""
+    plain = _plain_end(c) & _plain_end(F.substring(c, -1, 1))
+    return F.when(plain, c).otherwise(F.trim(c, F.lit(WHITESPACE)))
 
 
 def strip_or_blank(c: Column) -> Column:
@@ -76,17 +83,19 @@ def clip_message(c: Column, length: int = S.ERROR_MESSAGE_LENGTH) -> Column:
 
 
 def is_npi(c: Column) -> Column:
-    return strip_or_blank(c).rlike(r"^[0-9]{10}\z")
+    """Ten digits, whitespace around them aside."""
+    return F.coalesce(c, F.lit("")).rlike(rf"^[{WHITESPACE}]*[0-9]{{10}}[{WHITESPACE}]*\z")
 
 
 def is_po_box(c: Column) -> Column:
-    return strip_or_blank(c).rlike("(?iU)" + S.PO_BOX_PATTERN)
+    """The pattern is only tried on texts with a box in them."""
+    address = F.coalesce(c, F.lit(""))
+    return F.lower(address).contains("box") & address.rlike("(?iU)" + S.PO_BOX_PATTERN)
 
 
 def is_accuracy_value(c: Column) -> Column:
     """One of the accuracy words in any case, or blank."""
-    s = F.lower(strip_or_blank(c))
-    return (s == "") | s.isin(S.ACCURACY_VALUES)
+    return F.lower(strip_or_blank(c)).isin("", *S.ACCURACY_VALUES)
 
 
 def is_yes_flag(c: Column) -> Column:

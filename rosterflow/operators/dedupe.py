@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterflow.operators.joins import small_side
+from rosterflow.session import materialise
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -24,19 +25,22 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 
 def later_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Every row but the first of its key; null keys count as equal.
+    """Every row but the first of its key; null keys count as equal. ``order`` must
+    not repeat within a key.
 
-    The first position per key is an aggregate with map-side combine. Only keys
-    seen more than once come back to the rows, in an inner join that adaptive
-    execution can split, so no task ever holds one key's rows.
+    The first position per key is an aggregate with map-side combine, and only keys
+    seen more than once are kept, in a staged table. When they are few, as they
+    should be, they are broadcast and the rows never shuffle again; otherwise an
+    inner join follows, which adaptive execution splits. No task holds one key's rows.
     """
     position = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    firsts = (
+    repeated = (
         df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
         .agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_n"))
         .filter("_n > 1")
         .drop("_n")
     )
+    firsts = small_side(materialise(repeated, "repeated-keys"))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
     return df.join(firsts, same).filter(position > F.col("_first")).select(*df.columns)
 

@@ -69,12 +69,13 @@ def _checked_rows(df: DataFrame, kind: str, applicant: bool) -> DataFrame:
     """Codes and failed checks of every row. Wide text columns end here: only codes,
     raw codes for the messages, and flags go on to the joins."""
     have = set(df.columns)
-    address = text.strip_or_blank(F.col(S.ADDRESS_COLUMN[kind]))
+    address = F.col(S.ADDRESS_COLUMN[kind])
     narrow = {
         "_s": text.strip_or_blank(F.col("ssa_state_county_code")),
         "_p": text.strip_or_blank(F.col("specialty_code")),
-        "_address": address,
         "_npi_bad": ~text.is_npi(F.col("npi")),
+        "_address_blank": text.is_blank(address),
+        "_address_box": text.is_po_box(address),
     }
     if kind == "facility" and "number_of_beds" in have:
         beds = F.coalesce(numbers.truncated_long(F.col("number_of_beds").cast("string")), F.lit(0))
@@ -86,13 +87,8 @@ def _checked_rows(df: DataFrame, kind: str, applicant: bool) -> DataFrame:
     kept = ["source_file", "row_index", "source_year", "ssa_state_county_code", "specialty_code"]
     rows = df.select(*kept, *[c.alias(n) for n, c in narrow.items()])
     return rows.withColumns(
-        {
-            "_ssa": text.zero_fill(F.col("_s"), 5),
-            "_spec": text.zero_fill(F.col("_p"), 3),
-            "_address_blank": F.col("_address") == "",
-            "_address_bad": (F.col("_address") == "") | text.is_po_box(F.col("_address")),
-        }
-    ).drop("_s", "_p", "_address")
+        {"_ssa": text.zero_fill(F.col("_s"), 5), "_spec": text.zero_fill(F.col("_p"), 3)}
+    ).drop("_s", "_p")
 
 
 def row_issues(
@@ -128,7 +124,7 @@ def row_issues(
         (~F.col("_ssa_ok"), "ssa_state_county_code", F.concat(F.lit(S.MSG_SSA), raw_ssa)),
         (F.col("_npi_bad"), "npi", S.MSG_NPI),
         (~spec_ok, "specialty_code", F.concat(F.lit(S.MSG_SPECIALTY[kind]), raw_specialty)),
-        (F.col("_address_bad"), address, address_message),
+        (F.col("_address_blank") | F.col("_address_box"), address, address_message),
     ]
     if "_no_beds" in rows.columns:
         acute = F.col("_spec") == S.ACUTE_INPATIENT_CODE

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow import schemas as S
+from rosterflow.operators.quality import declared_checks
 from rosterflow.operators.shape import conform
 from rosterflow.queries.files import customer_upload
 from rosterflow.queries.registry import Tables, query
@@ -42,6 +41,22 @@ def registry_of(t: Tables) -> DataFrame:
     )
 
 
+_REGISTRY_NULLS = ["organization_id", "uploaded_by_id", "original_name", "s3_bucket", "s3_key", "created_at", "updated_at"]
+
+
+@query(
+    "SELECT 'not null' AS rule, 'id' AS subject, count(*) - count(c_custkey) AS violations FROM customer"
+    + " UNION ALL SELECT 'not null', 'file_type', count(*) - count(c_mktsegment) FROM customer"
+    + " UNION ALL SELECT 'not null', 'status', count(*) * 0 FROM customer"
+    + "".join(f" UNION ALL SELECT 'not null', '{c}', count(*) FROM customer" for c in _REGISTRY_NULLS)
+    + " UNION ALL SELECT 'domain', 'file_type', count(*) FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'FURNITURE')"
+    + " UNION ALL SELECT 'domain', 'status', count(*) * 0 FROM customer"
+    + " UNION ALL SELECT 'key', 'id', count(*) FROM (SELECT c_custkey FROM customer GROUP BY ALL HAVING count(*) > 1)"
+)
+def quality_declared(t):
+    return declared_checks(registry_of(t), "org_files")
+
+
 def log_of(t: Tables) -> DataFrame:
     """Orders as transitions of their customer's file."""
     state = F.when(F.col("o_orderstatus") == "F", "FAILED").when(F.col("o_orderstatus") == "O", "PROCESSING").otherwise("PENDING")
@@ -128,9 +143,8 @@ WITH {_STATE_SQL}
 SELECT id FROM files WHERE status = 'PROCESSING' AND o_orderdate < TIMESTAMP '2000-01-01 00:10:00' - INTERVAL 15 MINUTE
 """)
 def stuck_sweep(t):
-    now = datetime(2000, 1, 1, 0, 10)
-    files = status.current_files(registry_of(t), log_of(t).withColumn("updated_at", F.to_timestamp_ntz(F.col("updated_at").cast("string"))))
-    return status.stuck_files(files, now).select("id")
+    now = F.lit("2000-01-01 00:10:00").cast("timestamp")
+    return status.stuck_files(status.current_files(registry_of(t), log_of(t)), now).select("id")
 
 
 @query("""

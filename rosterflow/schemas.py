@@ -265,3 +265,25 @@ DECLARED_KEYS = {
     "county_boundaries": ["geoid", "source_year"],
     "org_files": ["id"],
 }
+
+DECLARED_NOT_NULL = {
+    **DECLARED_KEYS,
+    "provider_hsd": REQUIRED_COLUMNS["provider"],
+    "facility_hsd": REQUIRED_COLUMNS["facility"],
+    "zcta_gazetteer": ["geoid", "source_year", "intptlat", "intptlong"],
+    "org_providers": ["id", "organization_id", "source_file_id"],
+    "org_facilities": ["id", "organization_id", "source_file_id"],
+    "org_files": [
+        "id",
+        "file_type",
+        "organization_id",
+        "uploaded_by_id",
+        "original_name",
+        "s3_bucket",
+        "s3_key",
+        "status",
+        "created_at",
+        "updated_at",
+    ],
+}
+DECLARED_DOMAINS = {"org_files": {"file_type": FILE_TYPES, "status": FILE_STATUSES}}

@@ -86,7 +86,9 @@ def read_log(spark, path: str) -> DataFrame:
     return spark.read.schema(S.STATUS_LOG).parquet(path)
 
 
-def stuck_files(files: DataFrame, now: datetime | None = None, minutes: int = S.STUCK_AFTER_MINUTES) -> DataFrame:
+def stuck_files(
+    files: DataFrame, now: datetime | Column | None = None, minutes: int = S.STUCK_AFTER_MINUTES
+) -> DataFrame:
     """Files in processing since before the limit."""
     clock = F.current_timestamp() if now is None else F.lit(now)
     limit = clock - F.make_dt_interval(mins=F.lit(minutes))

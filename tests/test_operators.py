@@ -147,3 +147,13 @@ def test_quality_reports(spark):
     assert rows_of(quality.repeated_keys(df, ["k"])) == [("a", 2)]
     assert rows_of(quality.null_counts(df, ["k", "v"])) == [("k", 0), ("v", 1)]
     assert rows_of(quality.outside_domain(df, "k", ["a"])) == [("b", 3)]
+
+
+def test_declared_checks(spark):
+    county = spark.createDataFrame([("1", 2025), ("1", 2025), (None, 2025)], "ssa_county_code string, contract_year int")
+    found = {(r.rule, r.subject): r.violations for r in quality.declared_checks(county, "county").collect()}
+    assert found == {("not null", "ssa_county_code"): 1, ("not null", "contract_year"): 0, ("key", "ssa_county_code, contract_year"): 1}
+    files = spark.createDataFrame([("a", "PROVIDER", "PENDING"), ("b", "X", None)], "id string, file_type string, status string")
+    found = {(r.rule, r.subject): r.violations for r in quality.declared_checks(files, "org_files").collect()}
+    assert found[("domain", "file_type")] == 1 and found[("domain", "status")] == 0 and found[("not null", "status")] == 1
+    assert quality.declared_checks(files.selectExpr("id as npi"), "provider_hsd").count() == 1

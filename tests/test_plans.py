@@ -84,13 +84,18 @@ SKEW = {
 }
 
 
-def test_heavy_key_is_split_in_duplicates(spark):
+def test_heavy_key_is_split_in_duplicates(spark, monkeypatch):
+    monkeypatch.setattr(dedupe, "small_side", lambda df: df)  # too many repeated keys to broadcast
     with settings(spark, **SKEW):
         out = dedupe.later_duplicates(skewed(spark), ["k"], ["i"])
-        text = final_plan(out)
-        assert "skew=true" in text
-    rows = out.count()
-    assert rows == len(range(0, 40000, 3)) - 1
+        assert "skew=true" in final_plan(out)
+    assert out.count() == len(range(0, 40000, 3)) - 1
+
+
+def test_rows_do_not_shuffle_when_few_keys_repeat(spark):
+    out = dedupe.later_duplicates(skewed(spark), ["k"], ["i"])
+    text = final_plan(out)
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
 
 
 def test_heavy_key_is_split_in_membership(spark, monkeypatch):
