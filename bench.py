@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR`` names the table folder, ``BENCH_CPUS`` the local cores. Each query
-runs twice against a sink that discards rows; the better time counts, so that the
+runs a few times against a sink that discards rows; the best time counts, so that the
 first compilation in the process does not.
 """
 
@@ -32,7 +32,7 @@ HEADLINE = [
     "io_roundtrip_csv",
     "stream_intake",
 ]
-RUNS = 2
+RUNS = 3
 
 
 def seconds(spark, name: str, folder: str) -> float:

@@ -50,13 +50,14 @@ def number_rows(staged: DataFrame, file: str, block: str, position: str, out: st
 
     ``position`` ascends inside one ``block`` of a file. Each block's row count and
     first position are aggregated, the running totals run over blocks (one row
-    each), and every row adds its place in the block: no task sees a whole file.
+    each) and are staged, and every row adds its place in the block: no task sees a
+    whole file.
     """
     blocks = staged.groupBy(file, block).agg(F.min(position).alias("_start"), F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
     return (
-        staged.join(small_side(offsets), [file, block])
+        staged.join(small_side(materialise(offsets, "block-offsets")), [file, block])
         .withColumn(out, F.col("_before") + F.col(position) - F.col("_start") + 1)
         .drop("_start", "_rows", "_before")
     )

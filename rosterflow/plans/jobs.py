@@ -85,7 +85,7 @@ def submission_issues(
 ) -> DataFrame:
     """Issues of staged submissions of any number of files; input carries
     ``source_year``. A file that lacks required columns has that one issue only."""
-    headers = file_headers(staged, kind)
+    headers = materialise(file_headers(staged, kind), "file-headers")
     complete = small_side(headers.filter((F.size("missing") == 0) & F.col("has_rows")).select("source_file", "width"))
     rows = data_rows(staged).join(complete, "source_file")
     if kind == "facility":
