@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterflow.session import materialise
 
@@ -31,6 +32,19 @@ def _auto_broadcast_bytes(df: DataFrame) -> int:
     return int(digits)
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: text and binary by length, numbers flat, nested values as JSON."""
+
+    def size(field: T.StructField) -> Column:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(field.name), F.lit(0))
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.octet_length(F.to_json(F.struct(field.name)))
+        return F.lit(8)
+
+    return reduce(lambda a, b: a + b, [size(f) for f in df.schema.fields])
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast once its size is known to be bounded.
 
@@ -43,7 +57,7 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = B
         return df
     size = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("b"),
+        F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b"),
     ).first()
     return F.broadcast(df) if size.n <= max_rows and size.b <= max_bytes else df
 
@@ -101,22 +115,22 @@ def full_join_coalesce(
     tagged = left.filter(keyed).select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
         right.filter(keyed).select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
     )
-    hot = (
+    hot = materialise(
         tagged.groupBy(*keys)
         .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
-        .filter((F.col("_l") > hot_key_rows) | (F.col("_r") > hot_key_rows))
+        .filter((F.col("_l") > hot_key_rows) | (F.col("_r") > hot_key_rows)),
+        "heavy-keys",
     )
-    sides = hot.agg(F.count(F.lit(1)).alias("n")).first()
 
     def merged(joined: DataFrame) -> DataFrame:
         return joined.select(*keys, *[F.coalesce(F.col(f"l.{v}"), F.col(f"r.{v}")).alias(v) for v in values])
 
     unmatched = left.filter(~keyed).unionByName(right.filter(~keyed))
-    if sides.n == 0:
+    if hot.isEmpty():
         return merged(left.filter(keyed).alias("l").join(right.filter(keyed).alias("r"), keys, "full")).unionByName(
             unmatched
         )
-    hot = small_side(materialise(hot, "hot-keys"))
+    hot = small_side(hot)
     cold_l, cold_r = left.filter(keyed).join(hot, keys, "left_anti"), right.filter(keyed).join(hot, keys, "left_anti")
     both = hot.filter((F.col("_l") > 0) & (F.col("_r") > 0))
     one_sided = hot.filter((F.col("_l") == 0) | (F.col("_r") == 0))
