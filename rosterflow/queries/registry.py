@@ -16,6 +16,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def sql(self, text: str, table: str) -> DataFrame:
+        """SQL that reads one of the tables; no view stays behind in the session."""
+        return self.spark.sql(text.replace(f"FROM {table}", f"FROM {{{table}}}"), **{table: getattr(self, table)})
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
