@@ -18,7 +18,11 @@ from rosterflow.operators.sets import missing_columns
 
 
 class ValidationFailed(Exception):
-    """A submission holds at least one error."""
+    """A submission holds at least one error; ``issues`` has them all."""
+
+    def __init__(self, message: str, issues: DataFrame):
+        super().__init__(message)
+        self.issues = issues
 
 
 def _issue(check_no: int, bad: Column, field: str, message: Column | str) -> Column:
@@ -196,7 +200,7 @@ def passing_rows(df: DataFrame, issues: DataFrame, group: str = "source_file") -
 def require_valid(issues: DataFrame) -> None:
     """Raise when there is any error; warnings pass."""
     if not issues.filter(F.col("severity") == "error").isEmpty():
-        raise ValidationFailed("submission holds errors")
+        raise ValidationFailed("submission holds errors", issues)
 
 
 def report_line() -> Column:

@@ -12,10 +12,10 @@ from rosterflow import schemas as S
 from rosterflow.operators.joins import small_side
 from rosterflow.operators.shape import stable_id
 from rosterflow.operators.validate import (
-    ValidationFailed,
     duplicate_issues,
     header_issues,
     passing_rows,
+    require_valid,
     row_issues,
 )
 from rosterflow.plans.geography import boundary_table, gazetteer_table
@@ -119,7 +119,7 @@ def load_submissions(
 
     Returns the issues, written once as a table and read back: the gate needs them
     after the report does. ``strict`` raises on any error instead of loading the
-    files that pass.
+    files that pass; when none passes, the table stays as it was.
     """
     typed, table = _TYPED[kind]
     staged = stage_submissions(spark, paths, kind).withColumn(
@@ -128,9 +128,9 @@ def load_submissions(
     issues = materialise(
         submission_issues(staged, kind, ssa_codes, specialty_codes, applicant=applicant), "issues"
     )
-    if strict and not issues.filter("severity = 'error'").isEmpty():
-        raise ValidationFailed(f"{kind} submission holds errors")
-    write_table(typed(passing_rows(data_rows(staged), issues)), location + table, append=append)
+    if strict:
+        require_valid(issues)
+    write_tables({table: typed(passing_rows(data_rows(staged), issues))}, [table], location, append=append)
     return issues
 
 

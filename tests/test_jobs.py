@@ -55,8 +55,11 @@ def test_submissions_are_gated_per_file(spark, folder):
     assert rows_of(loaded, "npi", "ssa_state_county_code", "specialty_code", "source_year") == [
         ("1234567890", "01001", "001", 2025), ("1234567890", "01001", "001", 2025), ("3234567890", "01001", "001", 2025),
     ]
-    with pytest.raises(ValidationFailed):
+    with pytest.raises(ValidationFailed) as failed:
         jobs.load_submissions(spark, [bad], 2025, "provider", *codes(spark), location=out, strict=True)
+    assert rows_of(failed.value.issues, "row_index", "field") == [(1, "npi")]
+    jobs.load_submissions(spark, [bad], 2025, "provider", *codes(spark), location=out)
+    assert spark.read.parquet(out + "provider_hsd").count() == 3  # nothing passed, so nothing was replaced
     with pytest.raises(ValueError, match="Unsupported file type"):
         jobs.stage_submissions(spark, ["x.pdf"], "provider")
 
