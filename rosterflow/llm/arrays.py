@@ -8,12 +8,15 @@ bytes are bounds between characters.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Text bytes handled at a time in a task; a longer text is handled alone.
 BLOCK_BYTES = 1_000_000
@@ -222,3 +225,30 @@ def spread(first: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarra
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.arange(total) + np.repeat(first[picked] - ends + lengths, lengths), lengths
+
+
+def with_columns(
+    frame: DataFrame,
+    compute: Callable[[pa.Array], list[pa.Array]],
+    added: dict[str, str],
+    column: str = "text",
+    keep: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """``frame`` with the columns that ``compute`` makes of a text column, in one pass without a shuffle.
+
+    ``added`` has their names and types; they replace columns of the same names. ``keep``
+    names the columns to go on with, all of them if it is not given.
+    """
+    given = frame.drop(*(name for name in added if name != column)).withColumn(column, F.col(column).cast("string"))
+    names = [c for c in given.columns if (keep is None or c in keep) and c not in added]
+    at = given.columns.index(column)
+    places = [given.columns.index(c) for c in names]
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, at):
+                columns = [*(piece.column(i) for i in places), *compute(piece.column(at))]
+                yield pa.RecordBatch.from_arrays(columns, [*names, *added])
+
+    new = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in added.items()))
+    return given.mapInArrow(part, StructType([*given.select(*names).schema, *new]))

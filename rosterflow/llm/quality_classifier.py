@@ -13,13 +13,11 @@ columns replace columns of the same name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rosterflow.llm import arrays
 from rosterflow.llm.learning import sample_texts
@@ -130,14 +128,7 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings | None = Non
     return train(*sample_texts(documents, labels, "quality", settings.sample_rows, settings.sample_bytes), settings)
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``documents`` and ``score``, in one pass without a shuffle."""
-    kept = documents.drop("score").withColumn("text", F.col("text").cast("string"))
-    at, shared = kept.columns.index("text"), documents.sparkSession.sparkContext.broadcast(model)
-
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in arrays.slices(batch, at):
-                yield piece.append_column("score", pa.array(scores(piece.column(at), shared.value)))
-
-    return kept.mapInArrow(part, kept.withColumn("score", F.lit(0.0).cast("double")).schema)
+def score(documents: DataFrame, model: Model, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """The columns of ``documents`` (or those in ``keep``) and ``score``, in one pass without a shuffle."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    return arrays.with_columns(documents, lambda column: [pa.array(scores(column, shared.value))], {"score": "double"}, keep=keep)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import quality_classifier, toxicity
+from rosterflow.llm import piece_codec, quality_classifier, quality_rules, toxicity
 from rosterflow.llm.learning import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,7 +32,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document by supervised subword embeddings."""
     documents = table(spark, sf_dir, "documents")
     model = quality_classifier.fit(documents, table(spark, sf_dir, "labels"))
-    scored = quality_classifier.score(documents.select("doc_id", "text"), model)
+    scored = quality_classifier.score(documents.select("doc_id", "text"), model, keep=("doc_id",))
     return scored.select("doc_id", held_out(5), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
@@ -41,5 +41,36 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document by a naive Bayes scaled linear classifier."""
     documents = table(spark, sf_dir, "documents")
     model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(documents.select("doc_id", "text"), model)
+    scored = toxicity.score(documents.select("doc_id", "text"), model, keep=("doc_id",))
     return scored.select("doc_id", held_out(5), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, base rule and verdict of boosted trees for every document."""
+    documents = table(spark, sf_dir, "documents")
+    trees = quality_rules.fit(documents, table(spark, sf_dir, "labels"))
+    judged = quality_rules.judge(documents.select("doc_id", "text"), trees, keep=("doc_id",))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
+def piece_model() -> piece_codec.PieceModel:
+    import public_tokenizers
+
+    return piece_codec.load(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, their digest, and the digest of the decoded text."""
+    encoded = piece_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(), keep=("doc_id",))
+    return encoded.select("doc_id", *piece_digests())
+
+
+def piece_digests() -> list[Column]:
+    """Columns of the pieces' count and digest and of the decoded text's digest."""
+    return [
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    ]
