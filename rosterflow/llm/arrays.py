@@ -233,11 +233,13 @@ def with_columns(
     added: dict[str, str],
     column: str = "text",
     keep: tuple[str, ...] | None = None,
+    limit: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``frame`` with the columns that ``compute`` makes of a text column, in one pass without a shuffle.
 
     ``added`` has their names and types; they replace columns of the same names. ``keep``
-    names the columns to go on with, all of them if it is not given.
+    names the columns to go on with, all of them if it is not given. ``limit`` is about the
+    number of text bytes that ``compute`` is given at a time.
     """
     given = frame.drop(*(name for name in added if name != column)).withColumn(column, F.col(column).cast("string"))
     names = [c for c in given.columns if (keep is None or c in keep) and c not in added]
@@ -246,7 +248,7 @@ def with_columns(
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, at):
+            for piece in slices(batch, at, limit):
                 columns = [*(piece.column(i) for i in places), *compute(piece.column(at))]
                 yield pa.RecordBatch.from_arrays(columns, [*names, *added])
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import piece_codec, quality_classifier, quality_rules, toxicity
+from rosterflow.llm import decontaminate, piece_codec, quality_classifier, quality_rules, toxicity
 from rosterflow.llm.learning import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,35 @@ def piece_digests() -> list[Column]:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     ]
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows, and the items they come from."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = decontaminate.judge(decontaminate.match(documents, table(spark, sf_dir, "benchmark"), keep=("doc_id",)))
+    return judged.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_ALPHANUMERIC_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_UPPER, _LOWER)
+
+SQL["op4_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, {_ALPHANUMERIC_WORDS} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_ALPHANUMERIC_WORDS} AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[p:p + least(len(w), 13) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS p FROM i WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT size FROM iw),
+dw AS (
+  SELECT doc_id, p, size, array_to_string(w[p:p + size - 1], ' ') AS win
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM d, sizes WHERE len(w) >= size)
+),
+hits AS (SELECT doc_id, p, dw.size, item_id FROM dw JOIN iw ON dw.win = iw.win AND dw.size = iw.size),
+covered AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
