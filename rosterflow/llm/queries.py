@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import decontaminate, piece_codec, quality_classifier, quality_rules, toxicity
+from rosterflow.llm import decontaminate, near_dedup, piece_codec, quality_classifier, quality_rules, toxicity
 from rosterflow.llm.learning import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,32 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@query
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's set of 2-word shingles and its group of near-duplicates."""
+    linked = near_dedup.link(table(spark, sf_dir, "documents"), width=2)
+    return linked.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+SQL["op1_near_dedup"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS grams FROM d
+),
+g AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS shared
+  FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY 1, 2
+),
+links AS (SELECT x, y FROM pairs WHERE 100 * shared >= 80 * (nx + ny - shared)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT x AS node, x AS seen FROM both_ways UNION SELECT b.y, r.seen FROM reach r JOIN both_ways b ON r.node = b.x),
+least_seen AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id, doc_id = coalesce(component, doc_id) AS kept
+FROM s LEFT JOIN least_seen ON s.doc_id = least_seen.node
+"""
