@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import decontaminate, near_dedup, piece_codec, quality_classifier, quality_rules, toxicity
+from rosterflow.llm import decontaminate, near_dedup, ngram_automaton, piece_codec, quality_classifier, quality_rules, toxicity
 from rosterflow.llm.learning import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,11 @@ least_seen AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
 SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id, doc_id = coalesce(component, doc_id) AS kept
 FROM s LEFT JOIN least_seen ON s.doc_id = least_seen.node
 """
+
+
+@query
+def op6_ngram_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base score and backoff automaton score of every document, learnt from nine tenths of them."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = ngram_automaton.score(documents, remainder(F.col("doc_id"), 10) != 0)
+    return scored.select("doc_id", held_out(10), *ngram_automaton.SCORES)
