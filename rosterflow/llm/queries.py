@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import decontaminate, near_dedup, ngram_automaton, piece_codec, quality_classifier, quality_rules, toxicity
+from rosterflow.llm import decontaminate, near_dedup, ngram_automaton, piece_codec, quality_classifier, quality_rules, toxicity, url_filter
 from rosterflow.llm.learning import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,61 @@ def op6_ngram_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = ngram_automaton.score(documents, remainder(F.col("doc_id"), 10) != 0)
     return scored.select("doc_id", held_out(10), *ngram_automaton.SCORES)
+
+
+URL_RULES = [
+    url_filter.Rule("block", "net/"),
+    url_filter.Rule("allow", "example.net/en/"),
+    url_filter.Rule("block", "example.com/de/"),
+    url_filter.Rule("allow", "org/fr/"),
+]
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _fits(rule: url_filter.Rule) -> str:
+    return f"WHEN (host = '{rule.host}' OR host LIKE '%.{rule.host}') AND starts_with(path, '{rule.path}') THEN '{rule.site}'"
+
+
+_BY_LENGTH = sorted(URL_RULES, key=lambda r: -len(r.site))
+_RULE = "CASE " + " ".join(map(_fits, _BY_LENGTH)) + " END"
+_VERDICT = "CASE rule " + " ".join(f"WHEN '{r.site}' THEN '{r.verdict}'" for r in URL_RULES) + " END"
+
+
+def _url_parts(url: str) -> str:
+    pattern = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
+    host = f"translate(regexp_extract({url}, '{pattern}', 1), '{_UPPER}', '{_LOWER}')"
+    return f"coalesce({host}, '') AS host, coalesce(regexp_extract({url}, '{pattern}', 2), '') AS path, coalesce(regexp_extract({url}, '{pattern}', 3), '') AS query"
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+SQL["op9_url_filter"] = f"""
+WITH RECURSIVE p AS (SELECT page_id, url, html, {_url_parts('url')} FROM pages),
+r AS (SELECT *, CASE WHEN host <> '' THEN host || path || query END AS resource, {_RULE} AS rule FROM p),
+tags AS (
+  SELECT resource, host, regexp_extract(t, {_quoted(url_filter.CANONICAL_TARGET)}, 1) AS target
+  FROM (SELECT resource, host, unnest(regexp_extract_all(html, {_quoted(url_filter.CANONICAL_TAG)})) AS t FROM r)
+  UNION ALL
+  SELECT resource, host, regexp_extract(t, {_quoted(url_filter.REFRESH_TARGET)}, 1)
+  FROM (SELECT resource, host, unnest(regexp_extract_all(html, {_quoted(url_filter.REFRESH_TAG)})) AS t FROM r)
+),
+full_target AS (
+  SELECT resource AS src, CASE WHEN starts_with(target, '//') THEN 'x:' || target WHEN starts_with(target, '/') THEN 'x://' || host || target ELSE target END AS url FROM tags
+),
+links AS (
+  SELECT DISTINCT src, host || path || query AS dst FROM (SELECT src, {_url_parts('url')} FROM full_target) WHERE host <> '' AND src IS NOT NULL AND src <> host || path || query
+),
+both_ways AS (SELECT src, dst FROM links UNION SELECT dst, src FROM links),
+reach AS (SELECT src AS node, src AS seen FROM both_ways UNION SELECT b.dst, reach.seen FROM reach JOIN both_ways b ON reach.node = b.src),
+nodes AS (SELECT seen, {_VERDICT} AS verdict FROM (SELECT seen, {_RULE} AS rule FROM (SELECT DISTINCT seen, {_url_parts("'x://' || seen")} FROM reach))),
+carried AS (SELECT node, CASE WHEN bool_or(verdict = 'allow') THEN 'allow' WHEN bool_or(verdict = 'block') THEN 'block' END AS carried FROM reach JOIN nodes USING (seen) GROUP BY node)
+SELECT page_id, host, path, rule, coalesce({_VERDICT}, carried, 'allow') AS verdict FROM r LEFT JOIN carried ON r.resource = carried.node
+"""
