@@ -153,7 +153,8 @@ def scores(column: pa.Array, model: Model) -> np.ndarray:
 
 def fit(documents: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:
     settings = settings or Settings()
-    labelled = documents.select("doc_id", "text").filter(F.col("text").isNotNull()).join(training_labels(labels, "toxic"), "doc_id")
+    # labels grow with the documents, so they are never broadcast
+    labelled = documents.select("doc_id", "text").filter(F.col("text").isNotNull()).join(training_labels(labels, "toxic").hint("merge"), "doc_id")
     negative, positive, _ = document_counts(labelled, settings)
     texts, marks = sample_texts(documents, labels, "toxic", settings.sample_rows, settings.sample_bytes, by_label=True)
     return train(texts, marks, ratios(negative, positive, settings), settings)
