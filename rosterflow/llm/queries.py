@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import decontaminate, near_dedup, ngram_automaton, piece_codec, quality_classifier, quality_rules, toxicity, url_filter
+from rosterflow.llm import decontaminate, html_extract, near_dedup, ngram_automaton, piece_codec, quality_classifier, quality_rules, toxicity, url_filter
 from rosterflow.llm.learning import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +201,9 @@ nodes AS (SELECT seen, {_VERDICT} AS verdict FROM (SELECT seen, {_RULE} AS rule
 carried AS (SELECT node, CASE WHEN bool_or(verdict = 'allow') THEN 'allow' WHEN bool_or(verdict = 'block') THEN 'block' END AS carried FROM reach JOIN nodes USING (seen) GROUP BY node)
 SELECT page_id, host, path, rule, coalesce({_VERDICT}, carried, 'allow') AS verdict FROM r LEFT JOIN carried ON r.resource = carried.node
 """
+
+
+@query
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
