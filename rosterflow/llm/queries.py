@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import decontaminate, html_extract, near_dedup, ngram_automaton, piece_codec, quality_classifier, quality_rules, toxicity, url_filter
+from rosterflow.llm import decontaminate, html_extract, license_scan, near_dedup, ngram_automaton, piece_codec, quality_classifier, quality_rules, toxicity, url_filter
 from rosterflow.llm.learning import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +207,12 @@ SELECT page_id, host, path, rule, coalesce({_VERDICT}, carried, 'allow') AS verd
 def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses whose notices every document holds, and the words that they were found in."""
+    matched = license_scan.match(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=("doc_id",))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
+    spans = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["word"], m["length"]))
+    return matched.select("doc_id", F.size("matches").cast("long").alias("n_matches"), F.array_join(names, ",").alias("licenses"), F.array_join(spans, ";").alias("spans"))
