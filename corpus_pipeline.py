@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import decontaminate, near_dedup, piece_codec, quality_classifier, quality_rules
+from rosterflow.llm import arrays, decontaminate, near_dedup, piece_codec, quality_classifier, quality_rules
 from rosterflow.llm.queries import QUERIES, SQL, piece_digests, piece_model, table
 from rosterflow.session import materialise
 
@@ -30,10 +30,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier gives at least ``LEAST_QUALITY``."""
     model = quality_classifier.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    given = docs.columns
-    scored = quality_classifier.score(docs.withColumnsRenamed({c: f"given_{i}" for i, c in enumerate(given) if c != "text"}), model)
-    named = [F.col("text" if c == "text" else f"given_{i}").alias(c) for i, c in enumerate(given)]
-    return scored.filter(F.col("score") >= LEAST_QUALITY).select(*named)
+    return arrays.where(docs, lambda frame: quality_classifier.score(frame, model), F.col("score") >= LEAST_QUALITY)
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,10 +40,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     what they must tell apart.
     """
     trees = quality_rules.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    given = docs.columns
-    judged = quality_rules.judge(docs.withColumnsRenamed({c: f"given_{i}" for i, c in enumerate(given) if c != "text"}), trees)
-    named = [F.col("text" if c == "text" else f"given_{i}").alias(c) for i, c in enumerate(given)]
-    return judged.filter("kept").select(*named)
+    return arrays.where(docs, lambda frame: quality_rules.judge(frame, trees), F.col("kept"))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

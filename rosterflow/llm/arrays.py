@@ -14,7 +14,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -254,3 +254,13 @@ def with_columns(
 
     new = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in added.items()))
     return given.mapInArrow(part, StructType([*given.select(*names).schema, *new]))
+
+
+def where(documents: DataFrame, judge: Callable[[DataFrame], DataFrame], condition: Column) -> DataFrame:
+    """The rows for which ``condition`` holds over what ``judge`` adds, with the given columns whatever their names.
+
+    ``judge`` is given the text and nothing else by its name.
+    """
+    names = {c: "text" if c == "text" else f"given_{i}" for i, c in enumerate(documents.columns)}
+    judged = judge(documents.withColumnsRenamed(names)).filter(condition)
+    return judged.select(*(F.col(held).alias(c) for c, held in names.items()))

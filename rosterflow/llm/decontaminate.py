@@ -209,4 +209,4 @@ def judge(matched: DataFrame) -> DataFrame:
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    return judge(match(documents, benchmark)).filter(~F.col("contaminated")).select(*documents.columns)
+    return arrays.where(documents, lambda frame: judge(match(frame, benchmark)), ~F.col("contaminated"))

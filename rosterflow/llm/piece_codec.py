@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rosterflow.llm import arrays
 
@@ -458,4 +459,4 @@ def decode(frame: DataFrame, model: PieceModel) -> DataFrame:
                 ids = np.array([i for v in lists for i in v], np.int32)
                 yield piece.append_column("decoded", pa.array(codec.decode(ids, first), pa.string()))
 
-    return kept.mapInArrow(part, kept.schema.add("decoded", "string"))
+    return kept.mapInArrow(part, StructType([*kept.schema, StructField("decoded", StringType())]))
