@@ -58,6 +58,18 @@ def header_issues(files: DataFrame) -> DataFrame:
     )
 
 
+def damaged_issues(df: DataFrame) -> DataFrame:
+    """An error for every row whose quotes do not close."""
+    return df.filter("damaged").select(
+        "source_file",
+        "row_index",
+        F.lit("error").alias("severity"),
+        F.lit("schema").alias("field"),
+        F.lit(S.MSG_DAMAGED).alias("message"),
+        F.lit(0).alias("check_no"),
+    )
+
+
 def _known_codes(df: DataFrame, code: str, codes: DataFrame, marker: str, year_offset: int = 0) -> DataFrame:
     """Mark rows whose code is valid; code sets with a ``contract_year`` are matched
     on the row's year plus the offset."""
@@ -95,6 +107,18 @@ def _checked_rows(df: DataFrame, kind: str, applicant: bool) -> DataFrame:
     ).drop("_s", "_p")
 
 
+def with_fallback_codes(codes: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
+    """Yearly codes, and the fixed ones for every year of the rows that has none; a set
+    without years stays as it is."""
+    if "contract_year" not in codes.columns:
+        return codes
+    codes = codes.select(F.col("contract_year").cast("int").alias("contract_year"), "code")
+    years = rows.select(F.col("source_year").cast("int").alias("contract_year")).distinct()
+    fixed = F.array(*[F.lit(c) for c in S.FALLBACK_SPECIALTY_CODES[kind]])
+    uncovered = years.join(codes.select("contract_year").distinct(), "contract_year", "left_anti")
+    return codes.unionByName(uncovered.select("contract_year", F.explode(fixed).alias("code")))
+
+
 def row_issues(
     df: DataFrame,
     kind: str,
@@ -113,13 +137,8 @@ def row_issues(
     """
     rows = _checked_rows(df, kind, applicant)
     rows = _known_codes(rows, "_ssa", ssa_codes.filter(F.col("code").rlike("^[0-9]{5}$")), "_ssa_ok", ssa_year_offset)
-    rows = _known_codes(rows, "_spec", specialty_codes, "_spec_ok")
+    rows = _known_codes(rows, "_spec", with_fallback_codes(specialty_codes, rows, kind), "_spec_ok")
     spec_ok = F.col("_spec_ok")
-    if "contract_year" in specialty_codes.columns:
-        years = specialty_codes.select(F.col("contract_year").cast("int").alias("source_year"))
-        rows = mark_members(rows, years, ["source_year"], "_year_has_codes")
-        fixed = F.col("_spec").isin(S.FALLBACK_SPECIALTY_CODES[kind])
-        spec_ok = spec_ok | (~F.col("_year_has_codes") & fixed)
 
     address = S.ADDRESS_COLUMN[kind]
     address_message = F.when(F.col("_address_blank"), S.MSG_ADDRESS_BLANK).otherwise(S.MSG_ADDRESS_PO_BOX)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +12,7 @@ from rosterflow import schemas as S
 from rosterflow.operators.joins import small_side
 from rosterflow.operators.shape import stable_id
 from rosterflow.operators.validate import (
+    damaged_issues,
     duplicate_issues,
     header_issues,
     passing_rows,
@@ -27,6 +28,7 @@ from rosterflow.sources.boundaries import read_boundaries
 from rosterflow.sources.delimited import (
     data_rows,
     file_headers,
+    files_without_rows,
     read_any,
     read_gazetteer,
     stage_csv,
@@ -53,11 +55,12 @@ def load_file(
 
 
 def load_standards(
-    spark: SparkSession, paths: Sequence[str], year: int | Column, location: str = "", *, append: bool = False
+    spark: SparkSession, paths: Sequence[str], year: int | Column, location: str = "", *, append: bool = False, options: Mapping[str, str] | None = None
 ) -> list[str]:
-    """Standards workbooks into the five tables; returns the tables written."""
+    """Standards workbooks into the five tables; returns the tables written. ``location``
+    is a folder, a catalog prefix or a JDBC address, with the connection's ``options``."""
     rows = materialise(read_workbooks(spark, paths, year), "sheet-rows", ("sheet",))
-    return write_tables(standards_tables(rows), S.REFERENCE_TABLES, location, append=append)
+    return write_tables(standards_tables(rows), S.REFERENCE_TABLES, location, append=append, options=options)
 
 
 def stage_submissions(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
@@ -82,10 +85,12 @@ def submission_issues(
     *,
     applicant: bool = False,
     ssa_year_offset: int = -1,
+    empty_files: DataFrame | None = None,
 ) -> DataFrame:
     """Issues of staged submissions of any number of files; input carries
-    ``source_year``. A file that lacks required columns has that one issue only."""
-    headers = materialise(file_headers(staged, kind), "file-headers")
+    ``source_year``. A file that lacks required columns has that one issue only, and so
+    has each of ``empty_files`` (``source_file``)."""
+    headers = materialise(file_headers(staged, kind, empty_files), "file-headers")
     complete = small_side(headers.filter((F.size("missing") == 0) & F.col("has_rows")).select("source_file", "width"))
     rows = data_rows(staged).join(complete, "source_file")
     if kind == "facility":
@@ -93,6 +98,7 @@ def submission_issues(
         rows = rows.withColumn("_has_beds", F.col("width") > beds_at)
     return (
         header_issues(headers)
+        .unionByName(damaged_issues(rows))
         .unionByName(
             row_issues(
                 rows, kind, ssa_codes, specialty_codes, applicant=applicant, ssa_year_offset=ssa_year_offset
@@ -114,6 +120,7 @@ def load_submissions(
     append: bool = False,
     applicant: bool = False,
     strict: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Validate submissions and load the files without errors.
 
@@ -126,11 +133,19 @@ def load_submissions(
         "source_year", (year if isinstance(year, Column) else F.lit(year)).cast("int")
     )
     issues = materialise(
-        submission_issues(staged, kind, ssa_codes, specialty_codes, applicant=applicant), "issues"
+        submission_issues(
+            staged,
+            kind,
+            ssa_codes,
+            specialty_codes,
+            applicant=applicant,
+            empty_files=files_without_rows(spark, paths, staged),
+        ),
+        "issues",
     )
     if strict:
         require_valid(issues)
-    write_tables({table: typed(passing_rows(data_rows(staged), issues))}, [table], location, append=append)
+    write_tables({table: typed(passing_rows(data_rows(staged), issues))}, [table], location, append=append, options=options)
     return issues
 
 
@@ -141,8 +156,8 @@ def load_uploads(
 
     ``manifest`` holds ``source_file, organization_id, source_file_id`` per file.
     Ids derive from file and row, so a retried load writes the same ones. Returns
-    ``source_file_id, rows, error``: an unreadable workbook has an error, keeps the
-    rows it had, and does not hold up the others.
+    ``source_file_id, rows, error``: an unreadable workbook or a CSV file with an
+    unclosed quote has an error, keeps the rows it had, and does not hold up the others.
     """
     csv = [p for p in paths if suffix_of(p) == ".csv"]
     books = [p for p in paths if suffix_of(p) == ".xlsx"]
@@ -152,9 +167,12 @@ def load_uploads(
     if books:
         rows, unreadable = stage_workbooks(spark, books, kind, keep_unreadable=True)
         staged.append(rows)
-    context = with_manifest(
-        data_rows(reduce(DataFrame.unionByName, staged)), manifest, ["organization_id", "source_file_id"]
-    )
+    rows = reduce(DataFrame.unionByName, staged)
+    spoiled = rows.filter("damaged").groupBy("source_file").agg(F.min("row_index").alias("row"))
+    spoiled = spoiled.select("source_file", F.concat(F.lit("unclosed quote in row "), F.col("row").cast("string")).alias("error"))
+    unreadable = materialise(unreadable.unionByName(spoiled), "unreadable-files")
+    rows = rows.join(small_side(unreadable.select("source_file")), "source_file", "left_anti")
+    context = with_manifest(data_rows(rows), manifest, ["organization_id", "source_file_id"])
     out = _ORG_ROWS[kind](context, stable_id(F.col("source_file_id"), F.col("row_index")))
     failed = with_manifest(unreadable, manifest, ["source_file_id"]).select("source_file_id", "error")
     readable = manifest.select("source_file_id").join(failed, "source_file_id", "left_anti")

@@ -134,6 +134,7 @@ MSG_BEDS = "Number of Beds is required and must be > 0 for Acute Inpatient Hospi
 MSG_LOI = "Letter of Intent must be blank for non-applicant submissions"
 MSG_ACCURACY = "Accuracy Confidence must be High, Medium, Low, or blank"
 MSG_DUPLICATE = "Duplicate row (NPI + SSA code + specialty code)"
+MSG_DAMAGED = "Quoted value is not closed"
 MSG_BENEFICIARY = "BENEFICIARY file processing is not yet implemented"
 MSG_UNKNOWN_TYPE = "Unknown file_type: "
 MSG_UNEXPECTED = "Unexpected processing error: "

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+import re
 import struct
 from collections.abc import Iterator, Sequence
 
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 
 from rosterflow import schemas as S
 from rosterflow.functions.geo import NAD83, WGS84
+from rosterflow.session import ship
 from rosterflow.sources.paths import file_address
 
 _GEOJSON = (
@@ -47,6 +50,7 @@ def crs_srid(name: Column) -> Column:
 def read_geojson(spark: SparkSession, paths: Sequence[str], *, one_per_line: bool = False) -> DataFrame:
     """Polygon and multipolygon features of GeoJSON files. Files with one collection
     per line are split among tasks."""
+    ship(spark)
     files = spark.read.schema(_GEOJSON).option("multiLine", not one_per_line).json(list(paths))
     features = files.select(
         file_address().alias("path"),
@@ -60,7 +64,19 @@ def read_geojson(spark: SparkSession, paths: Sequence[str], *, one_per_line: boo
     return features.select("path", F.col("f.properties").alias("properties"), "srid", multipolygon_wkb(polygons).alias("geom"))
 
 
-def _dbf_records(content: bytes) -> Iterator[dict[str, str]]:
+def _encoding(code_page: bytes | None) -> str:
+    """Python's name of the encoding that a code page file names; without one UTF-8."""
+    named = (code_page or b"").decode("ascii", "replace").strip() or "utf-8"
+    for name in (named, f"cp{named}", named.replace("ISO ", "iso"), named.replace("ANSI ", "cp")):
+        try:
+            return codecs.lookup(name).name
+        except LookupError:
+            continue
+    raise ValueError(f"unknown code page {named}")
+
+
+def _dbf_records(content: bytes, encoding: str) -> Iterator[dict[str, str] | None]:
+    """Attributes of every record; None for one marked as deleted."""
     count, header, width = struct.unpack("<IHH", content[4:12])
     fields, at = [], 32
     while content[at] != 0x0D:
@@ -68,11 +84,13 @@ def _dbf_records(content: bytes) -> Iterator[dict[str, str]]:
         at += 32
     for i in range(count):
         record = content[header + i * width : header + (i + 1) * width]
+        if len(record) < width:
+            raise ValueError(f"record {i + 1} of {count} is cut off")
         at, values = 1, {}
         for name, size in fields:
-            values[name] = record[at : at + size].decode("utf-8", "replace").strip()
+            values[name] = record[at : at + size].decode(encoding).strip(" \0")
             at += size
-        yield values
+        yield None if record[:1] == b"*" else values
 
 
 def _signed_area(ring: np.ndarray) -> float:
@@ -112,11 +130,15 @@ def _shp_polygons(content: bytes) -> Iterator[list[list[np.ndarray]] | None]:
 
 def _decode_shapefiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for path, shp, dbf, srid in zip(batch["path"], batch["shp"], batch["dbf"], batch["srid"]):
-            rows = [
-                (path, values, srid, None if shape is None else _encode(shape))
-                for values, shape in zip(_dbf_records(dbf), _shp_polygons(shp))
-            ]
+        for path, shp, dbf, cpg, srid in zip(batch["path"], batch["shp"], batch["dbf"], batch["cpg"], batch["srid"]):
+            try:
+                rows = [
+                    (path, values, srid, None if shape is None else _encode(shape))
+                    for values, shape in zip(_dbf_records(dbf, _encoding(cpg)), _shp_polygons(shp), strict=True)
+                    if values is not None
+                ]
+            except ValueError as problem:
+                raise ValueError(f"unreadable shapefile {path}: {problem}") from problem
             yield pd.DataFrame(rows, columns=["path", "properties", "srid", "geom"])
 
 
@@ -129,34 +151,51 @@ def prj_srid(text: Column) -> Column:
     )
 
 
-def read_shapefiles(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-    """Polygon features of shapefile folders; the parts of one layer share a stem."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.{shp,dbf,prj}")
-        .option("recursiveFileLookup", True)
-        .load(list(folders))
-        .select(F.regexp_replace("path", r"\.[^.]+$", "").alias("stem"), F.lower(F.substring_index("path", ".", -1)).alias("part"), "content")
-    )
+_PARTS = ("shp", "dbf", "prj", "cpg")
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.lower()}{c.upper()}]" for c in word)
 
-    def part(name: str) -> DataFrame:
-        return files.filter(F.col("part") == name).select("stem", F.col("content").alias(name))
 
-    layers = part("shp").join(part("dbf"), "stem").join(part("prj"), "stem", "left")
+def _layers(files: DataFrame) -> DataFrame:
+    """Features of the layers among binary files; the parts of one layer share a stem."""
+    stem, part = F.regexp_replace(file_address(), r"\.[^.]+$", ""), F.lower(F.substring_index("path", ".", -1))
+    found = files.select(stem.alias("stem"), part.alias("part"), "content")
+    parts = [found.filter(F.col("part") == p).select("stem", F.col("content").alias(p)) for p in _PARTS]
+    layers = parts[0].join(parts[1], "stem").join(parts[2], "stem", "left").join(parts[3], "stem", "left")
     return layers.select(
-        F.concat("stem", F.lit(".shp")).alias("path"), "shp", "dbf", prj_srid(F.col("prj").cast("string")).alias("srid")
+        F.concat("stem", F.lit(".shp")).alias("path"), "shp", "dbf", "cpg", prj_srid(F.col("prj").cast("string")).alias("srid")
     ).mapInPandas(_decode_shapefiles, S.BOUNDARY_FEATURES)
 
 
+def read_shapefiles(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """Polygon features of all shapefiles below folders.
+
+    A layer whose numbers of records and shapes differ is an error; deleted records are
+    left out; attributes are read in the encoding of the code page file.
+    """
+    ship(spark)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return _layers(files.option("pathGlobFilter", "*.{" + ",".join(map(_any_case, _PARTS)) + "}").load(list(folders)))
+
+
+def read_shapefile(spark: SparkSession, path: str) -> DataFrame:
+    """Polygon features of exactly one shapefile, with the parts beside it."""
+    ship(spark)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    stem = re.sub(r"([\\\[\]{}*?])", r"\\\1", name[:-4])
+    files = spark.read.format("binaryFile").option("pathGlobFilter", stem + ".{" + ",".join(map(_any_case, _PARTS)) + "}")
+    return _layers(files.load(folder or "."))
+
+
 def read_boundaries(spark: SparkSession, path: str) -> DataFrame:
     """Boundary file or folder by suffix."""
     lower = path.lower().rstrip("/")
     if lower.endswith((".geojson", ".json")):
         return read_geojson(spark, [path])
     if lower.endswith(".shp"):
-        return read_shapefiles(spark, [path.rstrip("/").rsplit("/", 1)[0]]).filter(
-            F.col("path").endswith(path.rsplit("/", 1)[-1])
-        )
+        return read_shapefile(spark, path)
     if lower.endswith(".gpkg"):
         raise ValueError(S.MSG_UNSUPPORTED + ".gpkg")
     return read_shapefiles(spark, [path])

@@ -5,16 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rosterflow import schemas as S
-from rosterflow.functions import text
 from rosterflow.operators.dedupe import number_rows
 from rosterflow.operators.joins import small_side
 from rosterflow.operators.shape import normalised_headers
-from rosterflow.sources.paths import file_address, plain_address, read_path
+from rosterflow.sources.paths import file_address, plain_address
 from rosterflow.session import materialise
 
 _PIPE, _TAB = "|", "\t"
@@ -42,65 +40,146 @@ def read_any(spark: SparkSession, path: str, sheet: int = 0) -> DataFrame:
     raise ValueError(S.MSG_UNSUPPORTED + suffix)
 
 
-def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], multi_line: bool) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return (
-        spark.read.schema(schema)
-        .options(header=False, enforceSchema=True, multiLine=multi_line, escape='"')
-        .csv(list(paths))
-        .select(
-            *names,
-            file_address().alias("source_file"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("position"),
-        )
-    )
+def files_without_rows(spark: SparkSession, paths: Sequence[str], staged: DataFrame) -> DataFrame:
+    """``source_file`` of the files that gave no row at all, such as files without a byte.
+
+    Readers leave such files out, so their number is compared first; only if some are
+    missing do names come to the driver.
+    """
+    names = spark.read.text(list(paths))._jdf.inputFiles()
+    seen = staged.select("source_file").distinct()
+    listed = [] if len(names) == seen.count() else [(plain_address(n),) for n in names]
+    return spark.createDataFrame(listed, "source_file string").join(seen, "source_file", "left_anti")
 
 
-def files_with_broken_lines(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """Files in which some line leaves a quote open, so a quoted field may run on."""
-    lines = spark.read.text(list(paths)).select("value", file_address().alias("source_file"))
+def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Lines with text, staged in one pass. ``line`` counts all lines of a block,
+    ``place`` only those staged, so both ascend within a block without gaps of their own."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
-    return [r.source_file for r in lines.filter(quotes % 2 == 1).select("source_file").distinct().collect()]
+    lines = spark.read.text(list(paths)).select(
+        F.col("value").alias("raw"),
+        file_address().alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("line"),
+        (quotes % 2 == 1).alias("odd"),
+    )
+    filled = lines.filter(F.trim("raw") != "")
+    return materialise(filled.withColumn("place", F.monotonically_increasing_id()), "staged-lines")
+
+
+def _open_lines(lines: DataFrame) -> DataFrame:
+    """Lines whose last field opens a quote that the line does not close, with the line
+    that closes it: ``end_block, end_line``, or null where none does.
+
+    Only lines with an odd number of quotes can open or close one. An opening line goes
+    on to the next odd line if that one, read inside quotes, closes the field right
+    before a comma or its end; else the quote is a stray one and costs its own line
+    only. In a run of lines that could do both, first, third and so on open.
+    """
+    bare = F.replace("raw", F.lit('""'))
+    opens = F.regexp_replace(bare, '"[^"]*"', "q").rlike('(^|,)"[^"]*$')
+    closes = bare.rlike('^[^"]*"(,|$)')
+    odd = lines.filter("odd").select("source_file", "block_start", "line", opens.alias("opens"), closes.alias("closes"))
+    in_file = Window.partitionBy("source_file").orderBy("block_start", "line")
+    ahead = F.struct("closes", "block_start", "line")
+    paired = odd.withColumn("next", F.lead(ahead).over(in_file))
+    paired = paired.withColumn("pairs", F.coalesce(F.col("opens") & F.col("next.closes"), F.lit(False)))
+    run = F.sum(F.when(F.col("pairs"), 0).otherwise(1)).over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    paired = paired.withColumn("run", F.coalesce(run, F.lit(0)))
+    in_run = Window.partitionBy("source_file", "run").orderBy("block_start", "line")
+    paired = paired.withColumn("starts", F.col("pairs") & (F.row_number().over(in_run) % 2 == 1))
+    closing = F.coalesce(F.lag("starts").over(in_file), F.lit(False))
+    paired = paired.withColumn("closing", closing).filter(F.col("opens") & ~F.col("closing"))
+    return paired.select(
+        "source_file",
+        "block_start",
+        "line",
+        F.when(F.col("starts"), F.col("next.block_start")).alias("end_block"),
+        F.when(F.col("starts"), F.col("next.line")).alias("end_line"),
+    )
+
+
+def _stitched(lines: DataFrame, spans: DataFrame) -> DataFrame:
+    """Lines with those of a span joined to one record, which stands at its first line.
+
+    The span that a line is in starts in its own block, or before it; at most one span
+    runs over the start of a block, so no task needs a whole file.
+    """
+    span = F.struct("end_block", "end_line")
+    started = spans.select("source_file", "block_start", "line", F.struct("block_start", "line", span.alias("end")).alias("span"))
+    blocks = lines.select("source_file", F.col("block_start").alias("block")).distinct()
+    over = started.filter(F.col("span.end.end_block") > F.col("block_start")).select("source_file", F.col("span").alias("over"))
+    over = blocks.join(over, "source_file").filter((F.col("block") > F.col("over.block_start")) & (F.col("block") <= F.col("over.end.end_block")))
+    over = over.select("source_file", F.col("block").alias("block_start"), "over")
+    in_block = Window.partitionBy("source_file", "block_start").orderBy("line")
+    seen = F.last("span", ignorenulls=True).over(in_block)
+    # blank lines are not staged: a gap in the line numbers of a block says how many there were
+    gap = F.coalesce(F.col("line") - F.lag("line").over(in_block), F.lit(1)).cast("int")
+    marked = lines.join(started, ["source_file", "block_start", "line"], "left").join(over, ["source_file", "block_start"], "left")
+    marked = marked.withColumns({"seen": F.coalesce(seen, F.col("over")), "gap": gap})
+    inside = F.struct("block_start", "line") <= F.struct(F.col("seen.end.end_block"), F.col("seen.end.end_line"))
+    marked = marked.withColumn("seen", F.when(inside, F.col("seen")))
+    parts = marked.filter(F.col("seen").isNotNull())
+    piece = F.struct("block_start", "line", F.concat(F.when(F.col("span").isNull(), F.repeat(F.lit("\n"), F.col("gap"))).otherwise(""), F.col("raw")).alias("text"))
+    joined = parts.groupBy("source_file", "seen.block_start", "seen.line").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
+    columns = ["source_file", "block_start", "line", "raw"]
+    return marked.filter(F.col("seen").isNull()).select(*columns).unionByName(
+        joined.select("source_file", "block_start", "line", F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("raw"))
+    )
 
 
 def stage_csv(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
-    """Parse CSV files once into a staged table with a stable row order.
+    """Rows of CSV files under positional names, numbered per file.
 
-    Columns are named by position; longer lines are cut to the known columns,
-    shorter ones filled with null. The header line stays in as row 0, since its
-    width tells which columns a file delivers. Files are split among tasks, except
-    those where a quoted field may hold a line break: they are read in one piece.
+    The text is read once, in splits, and staged as lines. Longer lines are cut to the
+    known columns, shorter ones filled with null; blank lines are no rows. The header
+    line stays in as row 0, and its number of ``cells`` tells which columns a file
+    delivers. Quoted fields may run over line ends: only files that have such fields are
+    stitched. A quote that is never closed makes its own row ``damaged`` and no other.
     """
     names = S.SUBMISSION_COLUMNS[kind]
-    broken = set(files_with_broken_lines(spark, paths))
-    if broken:
-        files = [plain_address(f) for f in spark.read.text(list(paths)).inputFiles()]
-        whole = [f for f in files if f not in broken]
-        scans = [_scan(spark, [read_path(f) for f in sorted(broken)], names, True)]
-        if whole:
-            scans.append(_scan(spark, [read_path(f) for f in whole], names, False))
-    else:
-        scans = [_scan(spark, paths, names, False)]
-    staged = materialise(reduce(DataFrame.unionByName, scans), "staged-csv")
-    numbered = number_rows(staged, "source_file", "block_start", "position", "_n")
-    return numbered.withColumn("row_index", F.col("_n") - 1).drop("block_start", "position", "_n")
-
-
-def delivered_width(names: Sequence[str]) -> Column:
-    """Position of the last filled header cell."""
-    return F.greatest(*[F.when(F.col(n).isNotNull(), i).otherwise(0) for i, n in enumerate(names, start=1)])
-
-
-def file_headers(staged: DataFrame, kind: str) -> DataFrame:
+    lines = _lines(spark, paths)
+    opened = materialise(_open_lines(lines), "open-quotes")
+    spans, damaged = opened.filter(F.col("end_line").isNotNull()), opened.filter(F.col("end_line").isNull())
+    plain = lines
+    parts = []
+    if not spans.isEmpty():
+        touched = small_side(spans.select("source_file").distinct())
+        plain = lines.join(touched, "source_file", "left_anti")
+        stitched = materialise(_stitched(lines.join(touched, "source_file", "left_semi"), spans), "stitched-lines")
+        in_block = Window.partitionBy("source_file", "block_start").orderBy("line")
+        parts.append(stitched.withColumn("place", F.row_number().over(in_block).cast("bigint")))
+    columns = ["source_file", "block_start", "line", "raw", "place"]
+    parts = [number_rows(p.select(*columns), "source_file", "block_start", "place", "_n") for p in [plain, *parts]]
+    records = reduce(DataFrame.unionByName, parts).withColumn("row_index", F.col("_n") - 1)
+    stray = small_side(damaged.select("source_file", "block_start", "line", F.lit(True).alias("damaged")))
+    records = records.join(stray, ["source_file", "block_start", "line"], "left")
+    schema = ", ".join(f"{n} string" for n in names)
+    parsed = F.from_csv(F.regexp_replace("raw", "^\ufeff", ""), schema, {"escape": '"', "quote": '"', "sep": ","})
+    unquoted = F.regexp_replace(F.replace("raw", F.lit('""')), '"[^"]*"', "q")
+    cells = F.when(F.col("row_index") == 0, F.size(F.split(unquoted, ",")))
+    return records.select(
+        parsed.alias("r"), "source_file", "row_index", cells.alias("cells"), F.coalesce("damaged", F.lit(False)).alias("damaged")
+    ).select(*[f"r.{n}" for n in names], "source_file", "row_index", "cells", "damaged")
+
+
+def file_headers(staged: DataFrame, kind: str, empty_files: DataFrame | None = None) -> DataFrame:
     """One row per file: delivered width, header cells, and the required columns it
-    lacks. A file without data rows keeps its own header texts as names."""
+    lacks. A file without data rows keeps its own header texts as names, and one of
+    ``empty_files`` has no column."""
     names = S.SUBMISSION_COLUMNS[kind]
     required = S.REQUIRED_COLUMNS.get(kind, [])
     headers = staged.filter("row_index = 0").select(
-        "source_file", delivered_width(names).alias("width"), F.array(*names).alias("header")
+        "source_file", F.least(F.col("cells"), F.lit(len(names))).alias("width"), F.array(*names).alias("header")
     )
     filled = staged.groupBy("source_file").agg((F.max("row_index") > 0).alias("has_rows"))
+    found = headers.join(filled, "source_file")
+    if empty_files is not None:
+        found = found.unionByName(
+            empty_files.select(
+                "source_file", F.lit(0).alias("width"), F.array().cast("array<string>").alias("header"), F.lit(False).alias("has_rows")
+            )
+        )
     positions = F.array(*[F.lit(c) for c in required]).cast("array<string>")
     lacking = F.filter(
         positions,
@@ -108,24 +187,7 @@ def file_headers(staged: DataFrame, kind: str) -> DataFrame:
             F.col("has_rows"), F.array_position(F.array(*[F.lit(n) for n in names]), c) > F.col("width")
         ).otherwise(~F.coalesce(F.array_contains("header", c), F.lit(False))),
     )
-    return headers.join(filled, "source_file").select(
-        "source_file", "width", "header", "has_rows", lacking.alias("missing")
-    )
-
-
-def header_mismatches(headers: DataFrame, kind: str) -> DataFrame:
-    """Positions where a delivered header, normalised, is not the name assigned to it;
-    positional reading accepts them, this report makes them visible."""
-    names = S.SUBMISSION_COLUMNS[kind]
-    return (
-        headers.select("source_file", F.posexplode("header").alias("position", "delivered"))
-        .withColumn("assigned", F.get(F.array(*[F.lit(n) for n in names]), F.col("position")))
-        .filter(F.col("delivered").isNotNull())
-        .filter(
-            F.regexp_replace(text.underscore_name(F.regexp_replace("delivered", "[/-]", " ")), "[^a-z0-9_]", "")
-            != F.col("assigned")
-        )
-    )
+    return found.select("source_file", "width", "header", "has_rows", lacking.alias("missing"))
 
 
 def data_rows(staged: DataFrame) -> DataFrame:
@@ -155,54 +217,30 @@ def separator_of(line: Column) -> Column:
 def read_gazetteer(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Gazetteer files as text columns under normalised headers.
 
-    Files are grouped by separator and header line, which are few; each group is
-    one scan.
-    """
-    layouts = (
-        header_lines(spark, paths)
-        .withColumn("sep", separator_of(F.col("line")))
-        .groupBy("sep", "line")
-        .agg(F.collect_list("source_file").alias("files"))
-        .collect()
-    )
-    scans = []
-    for layout in layouts:
-        names = normalised_headers(layout.line.lstrip("\ufeff").split(layout.sep))
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        scan = spark.read.schema(schema).options(header=True, sep=layout.sep).csv([read_path(f) for f in layout.files])
-        scans.append(scan.select(*names, file_address().alias("source_file")))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-
-
-def read_by_header(
-    spark: SparkSession, paths: Sequence[str], kind: str, header_names: dict[str, str] | None = None
-) -> DataFrame:
-    """Submission CSVs matched by header text instead of position.
-
-    ``header_names`` maps normalised header texts to canonical names, beside the
-    canonical names themselves. Files are grouped by header line.
+    One scan: every line meets its file's header by a join and is split by that header's
+    separator. Only the distinct headers, which are few layouts, come to the driver, to
+    name the columns. Files without a line have no rows.
     """
-    names = S.SUBMISSION_COLUMNS[kind]
-    known = {n: n for n in names} | (header_names or {})
-    layouts = (
-        header_lines(spark, paths).groupBy("line").agg(F.collect_list("source_file").alias("files")).collect()
-    )
-    scans = []
-    for layout in layouts:
-        scan = spark.read.options(header=True, multiLine=True, escape='"').csv(
-            [read_path(f) for f in layout.files]
-        )
-        found = {known[h]: c for c, h in zip(scan.columns, normalised_headers(scan.columns)) if h in known}
-        scans.append(
-            scan.select(
-                *[
-                    (F.col(f"`{found[n]}`") if n in found else F.lit(None).cast("string")).alias(n)
-                    for n in names
-                ],
-                file_address().alias("source_file"),
-            )
-        )
-    return reduce(DataFrame.unionByName, scans)
+    headers = materialise(header_lines(spark, paths).withColumn("sep", separator_of(F.col("line"))), "gazetteer-headers")
+    layouts = headers.select("sep", "line").distinct().collect()
+    named = [normalised_headers(h.line.lstrip("\ufeff").split(h.sep)) for h in layouts]
+    lines = spark.read.text(list(paths)).select("value", file_address().alias("source_file")).filter(F.trim("value") != "")
+    rows = lines.join(small_side(headers), "source_file").filter(F.col("value") != F.col("line"))
+    width = max((len(n) for n in named), default=0)
+    schema = ", ".join(f"c{i} string" for i in range(max(width, 1)))
+    cells = F.when(F.col("sep") == _PIPE, F.from_csv("value", schema, {"sep": _PIPE})).otherwise(F.from_csv("value", schema, {"sep": _TAB}))
+    split = rows.select(cells.alias("c"), "sep", "line", "source_file")
+    columns = list(dict.fromkeys(n for names in named for n in names)) or [name for name, _ in S.GAZETTEER_COLUMN_MAP]
+
+    def value(column: str) -> Column:
+        out = F.lit(None).cast("string")
+        for layout, names in zip(layouts, named):
+            if column in names:
+                same = (F.col("sep") == layout.sep) & (F.col("line") == layout.line)
+                out = F.when(same, F.col(f"c.c{names.index(column)}")).otherwise(out)
+        return out
+
+    return split.select(*[value(c).alias(c) for c in columns], "source_file")
 
 
 def with_manifest(rows: DataFrame, manifest: DataFrame, columns: Sequence[str]) -> DataFrame:

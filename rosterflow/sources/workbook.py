@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from rosterflow import schemas as S
 from rosterflow.operators.joins import small_side
 from rosterflow.operators.reshape import cell
-from rosterflow.session import materialise
+from rosterflow.session import materialise, ship
 from rosterflow.sources.paths import file_address
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -69,7 +69,10 @@ def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator
         for _, row in ElementTree.iterparse(stream):
             if row.tag != f"{_MAIN}row":
                 continue
-            row_no = int(row.get("r", row_no + 2)) - 1
+            given = int(row.get("r", row_no + 2)) - 1
+            for absent in range(row_no + 1, given):  # rows without a cell may be left out of the file
+                yield absent, []
+            row_no = given
             cells: list[str | None] = []
             for element in row.findall(f"{_MAIN}c"):
                 column = _column_no(element.get("r")) if element.get("r") else len(cells)
@@ -96,9 +99,6 @@ def decode_workbook(content: bytes) -> Iterator[tuple[int, str, int, list[str |
                 yield number, sheet.get("name"), row_no, cells
 
 
-_UNREADABLE = (zipfile.BadZipFile, ElementTree.ParseError, KeyError, ValueError)
-
-
 def _decode_batches(batches: Iterator[pd.DataFrame], keep_unreadable: bool) -> Iterator[pd.DataFrame]:
     columns = ["path", "sheet_no", "sheet", "row_idx", "cells", "error"]
     for batch in batches:
@@ -110,10 +110,10 @@ def _decode_batches(batches: Iterator[pd.DataFrame], keep_unreadable: bool) -> I
                     if len(rows) == _BATCH:
                         yield pd.DataFrame(rows, columns=columns)
                         rows = []
-            except _UNREADABLE as problem:
+            except Exception as problem:  # whatever a damaged file makes the decoder raise is that file's problem
                 if not keep_unreadable:
                     raise ValueError(f"unreadable workbook {path}: {problem}") from problem
-                rows.append((path, None, None, None, None, f"unreadable workbook: {problem}"))
+                rows.append((path, None, None, None, None, f"unreadable workbook: {problem or type(problem).__name__}"))
             if rows:
                 yield pd.DataFrame(rows, columns=columns)
 
@@ -121,6 +121,7 @@ def _decode_batches(batches: Iterator[pd.DataFrame], keep_unreadable: bool) -> I
 def decode_contents(files: DataFrame, *, keep_unreadable: bool = False) -> DataFrame:
     """Sheet rows of workbooks given as ``path, content``. An unreadable one fails the
     job, or, when kept, yields a row with its error after the rows read so far."""
+    ship(files.sparkSession)
     return files.select("path", "content").mapInPandas(
         lambda batches: _decode_batches(batches, keep_unreadable), _DECODED
     )
@@ -171,7 +172,13 @@ def stage_workbooks(
     names = S.SUBMISSION_COLUMNS[kind]
     rows = (
         first_sheet_rows(staged)
-        .select(*[cell(i).alias(n) for i, n in enumerate(names)], F.col("path").alias("source_file"), "row_index")
+        .select(
+            *[cell(i).alias(n) for i, n in enumerate(names)],
+            F.col("path").alias("source_file"),
+            "row_index",
+            F.when(F.col("row_index") == 0, F.size("cells")).alias("cells"),
+            F.lit(False).alias("damaged"),
+        )
         .join(small_side(unreadable.select("source_file")), "source_file", "left_anti")
     )
     return rows, unreadable

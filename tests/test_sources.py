@@ -9,6 +9,7 @@ from rosterflow.plans import jobs
 from rosterflow.plans.geography import boundary_columns, boundary_table, boundaries_with_county, gazetteer_table
 from rosterflow.queries.files import workbook_bytes
 from rosterflow.sources import boundaries, delimited, workbook
+from rosterflow.sources.paths import read_path
 
 HEADER = (
     "SSA State/County Code,Name of Physician or Mid-Level Practitioner,NPI,Specialty,Specialty Code,Contract Type,"
@@ -41,7 +42,7 @@ def test_positional_rows_ragged_short_and_numbered(spark, folder):
         ",,,,,,,,,,,,,,",
     ]
     path = put(folder, "p file [1].csv", "\n".join([HEADER, *lines]) + "\n")
-    staged = delimited.stage_csv(spark, [delimited.read_path("file://" + path.replace(" ", "%20"))], "provider")
+    staged = delimited.stage_csv(spark, [read_path("file://" + path.replace(" ", "%20"))], "provider")
     rows = delimited.data_rows(staged).orderBy("row_index").collect()
     assert [r.row_index for r in rows] == [1, 2, 3]
     assert rows[0].accuracy_confidence.strip() == "high" and rows[1].provider_city is None
@@ -60,6 +61,54 @@ def test_quoted_line_breaks_are_one_row(spark, folder):
     assert delimited.data_rows(staged).count() == 7
 
 
+def staged_rows(spark, folder, *columns):
+    staged = delimited.stage_csv(spark, [folder], "org_provider")
+    name = F.substring_index("source_file", "/", -1).alias("file")
+    return rows_of(delimited.data_rows(staged), name, "row_index", "damaged", *columns)
+
+
+def test_an_unclosed_quote_costs_its_own_row(spark, folder):
+    put(folder, "one.csv", 'a,b,c\n1,"open\n2,x,y\n3,x,y\n')
+    put(folder, "two.csv", 'a,b,c\n1,"open\n2,x,y\n3,x,"open too\n4,x,"z"\n5,5 "inch,x\n')
+    put(folder, "ends.csv", 'a,b\n1,"fine\nline"\n2,x\n3,"open\n\n4,y\n')
+    got = staged_rows(spark, folder, "ssa_state_county_code", "npi")
+    assert [r[:4] for r in got] == [
+        ("ends.csv", 1, False, "1"), ("ends.csv", 2, False, "2"), ("ends.csv", 3, True, "3"), ("ends.csv", 4, False, "4"),
+        ("one.csv", 1, True, "1"), ("one.csv", 2, False, "2"), ("one.csv", 3, False, "3"),
+        ("two.csv", 1, True, "1"), ("two.csv", 2, False, "2"), ("two.csv", 3, True, "3"), ("two.csv", 4, False, "4"), ("two.csv", 5, False, "5"),
+    ]
+    assert {r[1]: r[4] for r in got if r[0] == "two.csv"}[4] == "z"
+
+
+def test_stitched_records_over_many_splits(spark, folder):
+    rows = [(i, f"name {i}" if i % 3 else f"two\nlines, {i}\n\nand \"\"more\"\"") for i in range(1, 400)]
+    put(folder, "a.csv", "a,b\n" + "".join(f'{i},"{t}"\n' for i, t in rows))
+    put(folder, "b.csv", "a,b\r\n1,x\r\n  \r\n2,y\r\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = staged_rows(spark, folder, "ssa_state_county_code", "provider_name")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    mine = {r[1]: (r[3], r[4]) for r in got if r[0] == "a.csv"}
+    # blank lines that fall on a split bound inside a field are not kept
+    plain = {i: (str(i), t.replace('""', '"')) for i, t in rows}
+    assert set(mine) == set(plain) and all(mine[i][0] == plain[i][0] and mine[i][1].replace("\n\n", "\n") == plain[i][1].replace("\n\n", "\n") for i in plain)
+    assert [r[1:4] for r in got if r[0] == "b.csv"] == [(1, False, "1"), (2, False, "2")]
+
+
+def test_blank_headers_and_files_without_a_byte(spark, folder):
+    nine = ",".join(["h"] * 8 + [""])
+    put(folder, "nine.csv", f"{nine}\n01001,F,1234567890,Acute,040,1 Main,Salem,MA,01970\n")
+    put(folder, "zero.csv", "")
+    codes, specialties = spark.createDataFrame([("01001",)], "code string"), spark.createDataFrame([("040",)], "code string")
+    issues = jobs.load_submissions(spark, [f"{folder}/nine.csv", f"{folder}/zero.csv"], 2025, "facility", codes, specialties, f"{folder}/out")
+    name = F.substring_index("source_file", "/", -1)
+    found = rows_of(issues.select(name, "row_index", "field", "message"))
+    assert found == [("zero.csv", 0, "schema", S.MSG_MISSING_COLUMNS + ", ".join(S.REQUIRED_COLUMNS["facility"]))]
+
+
 def test_row_numbers_across_splits(spark, folder):
     for name, n in (("a.csv", 3000), ("b.csv", 10)):
         put(folder, name, HEADER + "\n" + "".join(f"{i},N,{i:010d}\n" for i in range(1, n + 1)))
@@ -91,20 +140,6 @@ def test_narrow_and_empty_files(spark, folder):
     ]
 
 
-def test_header_mismatches_are_reported(spark, folder):
-    put(folder, "f.csv", "SSA State/County Code,Provider Name,NPI\n1,2,3\n")
-    staged = delimited.stage_csv(spark, [folder], "provider")
-    out = delimited.header_mismatches(delimited.file_headers(staged, "provider"), "provider")
-    assert rows_of(out, "position", "delivered", "assigned") == [(1, "Provider Name", "name_of_physician_or_mid_level_practitioner")]
-
-
-def test_match_by_header(spark, folder):
-    put(folder, "a.csv", "NPI,SSA_State_County_Code,Extra\n123,01001,x\n")
-    put(folder, "b.csv", "Provider Name,npi\nJane,456\n")
-    out = delimited.read_by_header(spark, [folder], "org_provider", {"provider_name": "provider_name"})
-    assert rows_of(out, "npi", "ssa_state_county_code", "provider_name") == [("123", "01001", None), ("456", None, "Jane")]
-
-
 def test_workbook_cells(spark, folder):
     path = put(folder, "w.xlsx", workbook_bytes({"S1": [["a", None, 12, 12.0, 0.25, " x "], [], ["z"]], "empty": []}))
     out = workbook.read_workbooks(spark, [path], 2025)
@@ -139,8 +174,9 @@ def test_workbook_shared_strings_and_gaps(spark, folder):
         for n, c in parts.items():
             book.writestr(n, c)
     rows = list(workbook.decode_workbook(final.getvalue()))
-    assert rows[0] == (0, "S", 1, [None, "rich", None, "True"])
-    assert rows[1][2] == 4 and rows[1][3][0] == "plain" and rows[1][3][27:] == ["two", "#N/A"]
+    assert rows[1] == (0, "S", 1, [None, "rich", None, "True"])
+    assert rows[4][2] == 4 and rows[4][3][0] == "plain" and rows[4][3][27:] == ["two", "#N/A"]
+    assert [r[2:] for r in rows[:1] + rows[2:4]] == [(0, []), (2, []), (3, [])]  # rows without cells count
 
 
 def test_unreadable_workbook(spark, folder):
@@ -228,6 +264,45 @@ def test_shapefile(spark, folder):
     assert boundaries_with_county(boundary_table(boundaries.read_boundaries(spark, f"{folder}/cb.shp"), 2025), county).count() == 1
 
 
+def test_only_the_named_shapefile_is_read(spark, folder):
+    import os
+
+    os.makedirs(f"{folder}/old")
+    for place, stem in ((folder, "county"), (folder, "subcounty"), (f"{folder}/old", "county")):
+        shapefile(place, stem, [[SQUARE]], [{"GEOID": stem + place[-3:]}])
+    read = boundaries.read_boundaries(spark, f"{folder}/county.shp")
+    assert rows_of(read.select(F.col("properties")["GEOID"])) == [("county" + folder[-3:],)]
+    assert boundaries.read_boundaries(spark, folder).count() == 3
+
+
+def test_code_pages_deleted_records_and_unequal_parts(spark, folder):
+    shapefile(folder, "a", [[SQUARE], [SQUARE], [SQUARE]], [{"GEOID": "1"}, {"GEOID": "2"}, {"GEOID": "3"}])
+    content = open(f"{folder}/a.dbf", "rb").read()
+    start = len(content) - 3 * 21
+    accented = "Doña Ana".encode("latin-1").ljust(20)
+    put(folder, "a.DBF", content[:start] + b" " + accented + b"*" + content[start + 22 :])
+    os_remove = __import__("os").remove
+    os_remove(f"{folder}/a.dbf")
+    put(folder, "a.cpg", "ISO-8859-1")
+    assert rows_of(boundaries.read_boundaries(spark, f"{folder}/a.shp").select(F.col("properties")["GEOID"])) == [("3",), ("Doña Ana",)]
+    shapefile(folder, "b", [[SQUARE]], [{"GEOID": "1"}, {"GEOID": "2"}])
+    with pytest.raises(Exception, match="unreadable shapefile"):
+        boundaries.read_boundaries(spark, f"{folder}/b.shp").collect()
+
+
+def test_any_damage_of_a_workbook_is_its_own(spark, folder):
+    good = workbook_bytes({"S": [["a", "b"]]})
+    bad_reference = good.replace(b"PK", b"PK")
+    damaged = bytearray(good)
+    at = good.index(b"worksheets/sheet1.xml") + 25
+    damaged[at : at + 8] = b"\xff" * 8
+    for name, content in (("good.xlsx", bad_reference), ("flate.xlsx", bytes(damaged)), ("cut.xlsx", good[: len(good) // 2])):
+        put(folder, name, content)
+    out = workbook.decode_workbooks(spark, [folder], keep_unreadable=True)
+    name = F.substring_index("path", "/", -1)
+    assert rows_of(out.select(name, F.col("error").isNull())) == [("cut.xlsx", False), ("flate.xlsx", False), ("good.xlsx", True)]
+
+
 def test_projected_shapefile_is_an_error(spark, folder):
     shapefile(folder, "cb", [[SQUARE]], [{"GEOID": "01001"}], 'PROJCS["x",GEOGCS["GCS_North_American_1983"]]')
     with pytest.raises(Exception, match="unsupported srid"):
