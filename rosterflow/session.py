@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -25,6 +27,23 @@ def local_session(cores: str = "8", app: str = "rosterflow", shuffle_partitions:
     )
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers once per application, for functions that run there.
+
+    Not needed where the package is installed on every node, and harmless there.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="rosterflow-code-"), "rosterflow"), "zip", os.path.dirname(root), os.path.basename(root))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can read, named by ``spark.checkpoint.dir``.
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.functions.geo import point
@@ -14,9 +13,21 @@ from rosterflow.operators.joins import non_members
 from rosterflow.session import materialise
 
 
-def write_table(df: DataFrame, table: str, *, append: bool = False, partition_by: Sequence[str] = ()) -> None:
-    """Write a catalog table, or a parquet folder when ``table`` is a path. Replacing
-    drops every year the table held."""
+def target(location: str, name: str) -> str:
+    """Address of a table: joined to a folder by one slash, to a catalog prefix that ends in a dot as it is."""
+    return location + name if not location or location.endswith(".") else f"{location.rstrip('/')}/{name}"
+
+
+def write_table(
+    df: DataFrame, table: str, *, append: bool = False, partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None
+) -> None:
+    """Write a catalog table, a parquet folder when ``table`` is a path, or a database
+    table when it is a JDBC address with the table's name after its last slash. Replacing
+    drops every year the table held. ``options`` go to the database connection."""
+    if table.startswith("jdbc:"):
+        url, _, name = table.rpartition("/")
+        write_jdbc(df, url, name, append=append, **(options or {}))
+        return
     writer = df.write.mode("append" if append else "overwrite").partitionBy(*partition_by)
     if "/" in table:
         writer.parquet(table)
@@ -30,14 +41,19 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, append: bool = False, bat
 
 
 def write_tables(
-    tables: Mapping[str, DataFrame], order: Sequence[str], location: str = "", *, append: bool = False
+    tables: Mapping[str, DataFrame],
+    order: Sequence[str],
+    location: str = "",
+    *,
+    append: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> list[str]:
     """Load tables in order and return the names written. An empty table is skipped,
-    so what it held before stays."""
+    so what it held before stays. ``location`` is a folder, a catalog prefix or a JDBC address."""
     written = []
     for name in order:
         if name in tables and not tables[name].isEmpty():
-            write_table(tables[name], location + name, append=append)
+            write_table(tables[name], target(location, name), append=append, options=options)
             written.append(name)
     return written
 
@@ -48,25 +64,22 @@ def with_point(df: DataFrame, lon: str, lat: str, out: str) -> DataFrame:
 
 
 def with_write_times(df: DataFrame) -> DataFrame:
-    now = F.current_timestamp()
+    """Rows with the time of their load; rows that replace others are new ones."""
+    now = F.lit(datetime.now(timezone.utc))
     return df.withColumns({"created_at": now, "updated_at": now})
 
 
-def _partition_folder(key: str, value: str) -> str:
-    """Folder name of a partition value, special characters as percent codes."""
-    special = r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]"""
-    return f"{key}=" + re.sub(special, lambda m: f"%{ord(m.group()):02X}", value)
-
-
 def replace_files(
     df: DataFrame, path: str, file_ids: DataFrame, key: str = "source_file_id", *, scattered: bool = True
 ) -> DataFrame:
     """Replace all rows of the given files in a table partitioned by file.
 
     ``file_ids`` (one ``key`` column) names every file of the load, also those that
-    now have no rows: their old rows go too. Loading the same files again gives the
-    same table. Rows carry the load time in ``updated_at``; returns ``key, rows``.
-    Only the partitions of the load are touched, and the table is never listed.
+    now have no rows: their old rows go too, by one row without write times in place of
+    them, which ``stored_files`` leaves out. So all partitions of the load, and no others,
+    are replaced by one distributed write, and a crash leaves old rows or new ones of a
+    file. Loading the same files again gives the same table. Rows carry the load time in
+    ``created_at`` and ``updated_at``; returns ``key, rows``.
 
     ``scattered`` rows are gathered by file first, where adaptive execution spreads
     a heavy file over tasks; turn it off when tasks already hold whole files.
@@ -76,20 +89,24 @@ def replace_files(
         file_ids.select(key).distinct().join(counts, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("rows")),
         "file-counts",
     )
-    rows = df.withColumn("updated_at", F.lit(datetime.now(timezone.utc)))
+    rows = with_write_times(df)
+    nothing = [F.col(key) if f.name == key else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema]
+    rows = rows.hint("rebalance", F.col(key)) if scattered else rows
     (
-        (rows.hint("rebalance", F.col(key)) if scattered else rows)
+        rows.unionByName(result.filter("rows = 0").select(*nothing))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)
         .parquet(path)
     )
-    nothing = rows.limit(0).drop(key)
-    for emptied in result.filter("rows = 0").collect():
-        nothing.write.mode("overwrite").parquet(f"{path}/{_partition_folder(key, emptied[0])}")
     return result
 
 
+def stored_files(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a table that is replaced by file."""
+    return spark.read.parquet(path).filter(F.col("updated_at").isNotNull())
+
+
 def replaced_rows(old: DataFrame, new: DataFrame, file_ids: DataFrame, key: str) -> DataFrame:
     """What a table holds after the replacement, as a frame."""
     return non_members(old, file_ids, [key]).unionByName(new)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -42,10 +42,14 @@ def read_messages(spark: SparkSession, folder: str, files_per_trigger: int = 100
     return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(folder)
 
 
+def message_file_id(line: Column) -> Column:
+    """File id of a message line; null if it has none."""
+    return F.from_json(line, "fileId string")["fileId"]
+
+
 def parse_messages(lines: DataFrame, column: str = "value") -> DataFrame:
     """Message lines with their file id; a line without one has null."""
-    body = F.from_json(F.col(column), "fileId string")
-    return lines.select(F.col(column).alias("body"), body["fileId"].alias("file_id"))
+    return lines.select(F.col(column).alias("body"), message_file_id(F.col(column)).alias("file_id"))
 
 
 def drop_redelivered(messages: DataFrame, within: str) -> DataFrame:
@@ -84,13 +88,11 @@ def _load_kind(spark: SparkSession, claimed: DataFrame, kind: str, tables: Intak
     uri = object_uri(F.col("s3_bucket"), F.col("s3_key"), tables.objects)
     files = claimed.filter(route.handler(F.col("file_type")) == kind).select("id", "organization_id", uri.alias("uri"))
     listed = files.collect()  # one address per message of the batch
-    found = probe_objects(spark, [r.uri for r in listed])
+    found = probe_objects(spark, [r.uri for r in listed if r.uri])
     problems = {u: _file_problem(u, size) for u, (_, size) in found.items()}
-    outcomes = [
-        spark.createDataFrame(
-            [(r.id, problems[r.uri]) for r in listed if problems.get(r.uri)], "file_id string, error string"
-        )
-    ]
+    refused = [(r.id, problems[r.uri]) for r in listed if problems.get(r.uri)]
+    refused += [(r.id, S.MSG_UNEXPECTED + "no object address") for r in listed if not r.uri]
+    outcomes = [spark.createDataFrame(refused, "file_id string, error string")]
     readable = [(r.id, r.organization_id, plain_address(found[r.uri][0])) for r in listed if r.uri in found and not problems[r.uri]]
     if readable:
         manifest = spark.createDataFrame(

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rosterflow import schemas as S
+from rosterflow.functions import text
 
 HANDLERS = {"PROVIDER": "org_provider", "FACILITY": "org_facility"}
 
@@ -18,7 +19,7 @@ def handler(file_type: Column) -> Column:
 def refusal(file_type: Column) -> Column:
     """Error message of a file type without a handler; null for the others."""
     return F.when(file_type == "BENEFICIARY", S.MSG_BENEFICIARY).when(
-        handler(file_type).isNull(), F.concat(F.lit(S.MSG_UNKNOWN_TYPE + "'"), file_type, F.lit("'"))
+        handler(file_type).isNull(), F.concat(F.lit(S.MSG_UNKNOWN_TYPE + "'"), text.shown(file_type), F.lit("'"))
     )
 
 

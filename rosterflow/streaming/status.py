@@ -15,10 +15,27 @@ from rosterflow.session import materialise
 CLAIM_STEP, OUTCOME_STEP = 1, 2
 
 
+TERMINAL = ("COMPLETED", "FAILED")
+
+
 def latest_status(log: DataFrame) -> DataFrame:
-    """Newest entry per file; works on a streaming log too (update or complete mode)."""
-    newest = F.max_by(F.struct("status", "error_message", "updated_at", "batch_id"), F.struct("updated_at", "seq"))
-    return log.groupBy("file_id").agg(newest.alias("s")).select("file_id", "s.*")
+    """State per file; works on a streaming log too (update or complete mode).
+
+    A finished file stays finished whatever is appended later, such as the entry of a
+    sweep that ran beside the claim: only a re-submission, a pending entry that names no
+    claim (its ``batch_id`` is null), opens it again. Otherwise the newest entry holds.
+    """
+    order = F.struct("updated_at", "seq")
+    entry = F.struct("status", "error_message", "updated_at", "batch_id")
+    again = (F.col("status") == "PENDING") & F.col("batch_id").isNull()
+    folded = log.groupBy("file_id").agg(
+        F.max_by(entry, order).alias("newest"),
+        F.max_by(entry, F.when(F.col("status").isin(*TERMINAL), order)).alias("finished"),
+        F.max(F.when(F.col("status").isin(*TERMINAL), order)).alias("finished_at"),
+        F.max(F.when(again, order)).alias("again_at"),
+    )
+    finished = F.col("finished_at").isNotNull() & (F.col("again_at").isNull() | (F.col("finished_at") > F.col("again_at")))
+    return folded.select("file_id", F.when(finished, F.col("finished")).otherwise(F.col("newest")).alias("s")).select("file_id", "s.*")
 
 
 def current_files(registry: DataFrame, log: DataFrame) -> DataFrame:
@@ -64,17 +81,18 @@ def skipped(ids: DataFrame, claimed: DataFrame) -> DataFrame:
     return ids.select("file_id").distinct().join(done, "file_id", "left_anti")
 
 
-def log_entries(files: DataFrame, status: Column, error: Column, batch_id: int, step: int) -> DataFrame:
+def log_entries(files: DataFrame, status: Column, error: Column, batch_id: int | Column, step: int) -> DataFrame:
     """Transitions to append; messages are cut to the registry's length and a
     completed file carries none."""
+    batch = (batch_id if isinstance(batch_id, Column) else F.lit(batch_id)).cast("bigint")
     message = F.when(status == "FAILED", text.clip_message(error)).cast("string")
     return files.select(
         "file_id",
         status.alias("status"),
         message.alias("error_message"),
         F.current_timestamp().alias("updated_at"),
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-        F.lit(batch_id * 10 + step).cast("bigint").alias("seq"),
+        batch.alias("batch_id"),
+        (F.coalesce(batch, F.lit(0)) * 10 + step).alias("seq"),
     )
 
 
@@ -96,11 +114,12 @@ def stuck_files(
 
 
 def requeue_stuck(registry: DataFrame, log_path: str, now: datetime | None = None) -> DataFrame:
-    """Put stuck files back to pending; returns ``fileId`` messages to send again."""
+    """Put stuck files back to pending; returns ``fileId`` messages to send again. An
+    entry names the claim that it expires, so it cannot undo an outcome written meanwhile."""
     spark = registry.sparkSession
     stuck = stuck_files(current_files(registry, read_log(spark, log_path)), now)
     entries = log_entries(
-        stuck.select(F.col("id").alias("file_id")), F.lit("PENDING"), F.lit(None).cast("string"), 0, 0
+        stuck.select(F.col("id").alias("file_id"), "batch_id"), F.lit("PENDING"), F.lit(None).cast("string"), F.coalesce("batch_id", F.lit(-1)), 3
     )
     written = materialise(entries, "requeued")
     append_log(written, log_path)

@@ -99,9 +99,22 @@ def test_replace_files(spark, folder):
 
     assert load([("a", 1), ("a", 2), ("b", 3), ("c=1/x", 4)], ["a", "b", "c=1/x"]) == [("a", 2), ("b", 1), ("c=1/x", 1)]
     assert load([("a", 9)], ["a", "c=1/x", "new"]) == [("a", 1), ("c=1/x", 0), ("new", 0)]
-    stored = spark.read.parquet(path)
+    stored = tables.stored_files(spark, path)
     assert rows_of(stored, "source_file_id", "v") == [("a", 9), ("b", 3)]
-    assert stored.filter("updated_at is null").isEmpty()
+    assert stored.filter("updated_at is null or created_at is null").isEmpty()
+    assert load([("c=1/x", 5)], ["c=1/x"]) == [("c=1/x", 1)]
+    assert rows_of(tables.stored_files(spark, path), "source_file_id", "v") == [("a", 9), ("b", 3), ("c=1/x", 5)]
+
+
+def test_targets(spark, folder, monkeypatch):
+    assert [tables.target(at, "county") for at in ("", "s3a://out", "s3a://out/", "db.")] == ["county", "s3a://out/county", "s3a://out/county", "db.county"]
+    from pyspark.sql import DataFrameWriter
+
+    calls = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, *a, **k: calls.append((url, table)))
+    df = spark.createDataFrame([(1,)], "v int")
+    assert tables.write_tables({"county": df, "none": df.limit(0)}, ["county", "none"], "jdbc:postgresql://h/db", options={"user": "u"}) == ["county"]
+    assert calls == [("jdbc:postgresql://h/db", "county")]
 
 
 def test_replaced_rows_and_write_times(spark):
@@ -118,3 +131,25 @@ def test_catalog_table(spark):
     tables.write_table(df, "written_table", append=True)
     assert spark.table("written_table").count() == 2
     spark.sql("DROP TABLE written_table")
+
+
+def test_workers_get_the_package(folder):
+    """A session that was started elsewhere, with the package on the driver's path only."""
+    import os
+    import subprocess
+    import sys
+
+    from rosterflow.queries.files import workbook_bytes
+
+    with open(f"{folder}/b.xlsx", "wb") as out:
+        out.write(workbook_bytes({"S": [["a"], [1]]}))
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from rosterflow.session import local_session
+from rosterflow.sources.workbook import decode_workbooks
+spark = local_session("2"); print("rows", decode_workbooks(spark, [{folder + '/b.xlsx'!r}]).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=folder, env=env, capture_output=True, text=True, timeout=120)
+    assert "rows 2" in run.stdout, run.stderr[-2000:]

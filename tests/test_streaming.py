@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_sources import HEADER, put
 
 from rosterflow import schemas as S
+from rosterflow.sinks.tables import stored_files
 from rosterflow.operators.shape import conform
 from rosterflow.plans.submissions import org_provider_rows
 from rosterflow.queries.files import workbook_bytes
@@ -73,9 +74,9 @@ def test_intake_end_to_end(spark, folder, site):
     assert found["u1"] == ("FAILED", "Unknown file_type: 'OTHER'")
     assert found["gone"] == ("PROCESSING", None) and found["done"] == ("COMPLETED", None)
     assert spark.read.parquet(site.rejected).count() == 2
-    providers = spark.read.parquet(site.org_provider)
+    providers = stored_files(spark, site.org_provider)
     assert rows_of(providers, "source_file_id", "ssa_state_county_code", "provider_specialty_code", "letter_of_intent") == [("p1", "01001", "1", True)] * 2
-    assert rows_of(spark.read.parquet(site.org_facility), "source_file_id", "number_of_beds") == [("f1", 12)]
+    assert rows_of(stored_files(spark, site.org_facility), "source_file_id", "number_of_beds") == [("f1", 12)]
 
     send(folder, "m2.json", "p1", "gone")  # delivered again: nothing is claimed
     log_size = status.read_log(spark, site.status_log).count()
@@ -90,7 +91,7 @@ def test_intake_end_to_end(spark, folder, site):
     send(folder, "m3.json", "gone")
     run(spark, folder, site)
     assert states(spark, site)["gone"] == ("COMPLETED", None)
-    assert spark.read.parquet(site.org_provider).count() == 3
+    assert stored_files(spark, site.org_provider).count() == 3
 
 
 def test_batch_runs_again_after_a_crash(spark, folder, site, monkeypatch):
@@ -108,9 +109,9 @@ def test_batch_runs_again_after_a_crash(spark, folder, site, monkeypatch):
     assert states(spark, site)["p1"][0] == "PROCESSING"
     intake.process_batch(lines, 7, site)  # the same batch may
     assert states(spark, site)["p1"] == ("COMPLETED", None)
-    ids = rows_of(spark.read.parquet(site.org_provider), "id")
+    ids = rows_of(stored_files(spark, site.org_provider), "id")
     intake.process_batch(lines, 7, site)  # and once more does nothing
-    assert rows_of(spark.read.parquet(site.org_provider), "id") == ids and len(ids) == 2
+    assert rows_of(stored_files(spark, site.org_provider), "id") == ids and len(ids) == 2
 
 
 def log_frame(spark, *rows):
@@ -162,3 +163,27 @@ def test_row_builders_run_on_a_stream(spark, folder):
     rows = intake.stream_rows(spark, f"{folder}/in", "org_provider", shape)
     rows.writeStream.option("checkpointLocation", f"{folder}/c").trigger(availableNow=True).format("parquet").option("path", f"{folder}/out").start().awaitTermination()
     assert rows_of(spark.read.parquet(f"{folder}/out"), "ssa_state_county_code", "accepts_new_patients") == [("01001", True)]
+
+
+def test_a_finished_file_stays_finished(spark):
+    t = [datetime(2025, 1, 1, h) for h in range(8)]
+    log = [
+        ("a", "PROCESSING", None, t[0], 1, 11), ("a", "COMPLETED", None, t[1], 1, 12), ("a", "PENDING", None, t[2], 1, 13),
+        ("b", "PROCESSING", None, t[0], 1, 11), ("b", "PENDING", None, t[1], 1, 13),
+        ("c", "FAILED", "x", t[1], 1, 12), ("c", "PENDING", None, t[2], None, 0), ("c", "PROCESSING", None, t[3], 2, 21),
+        ("d", "FAILED", "x", t[1], 1, 12), ("d", "PENDING", None, t[2], None, 0), ("d", "COMPLETED", None, t[4], 2, 22), ("d", "PENDING", None, t[5], 2, 23),
+    ]
+    frame = spark.createDataFrame(log, S.STATUS_LOG)
+    assert rows_of(status.latest_status(frame), "file_id", "status") == [("a", "COMPLETED"), ("b", "PENDING"), ("c", "PROCESSING"), ("d", "COMPLETED")]
+
+
+def test_null_types_and_addresses_fail_alone(spark, folder, site):
+    columns = spark.read.parquet(site.registry).columns
+    good = spark.read.parquet(site.registry).filter("id = 'p1'")
+    changed = [good.withColumn("id", F.lit("n1")).withColumn("file_type", F.lit(None).cast("string")), good.withColumn("id", F.lit("n2")).withColumn("s3_key", F.lit(None).cast("string"))]
+    for frame in changed:
+        frame.select(*columns).write.mode("append").parquet(site.registry)
+    intake.process_batch(spark.createDataFrame([(f'{{"fileId": "{i}"}}',) for i in ("p1", "n1", "n2")], "value string"), 3, site)
+    found = states(spark, site)
+    assert found["p1"] == ("COMPLETED", None) and found["n1"] == ("FAILED", "Unknown file_type: 'None'")
+    assert found["n2"][0] == "FAILED" and "no object address" in found["n2"][1]
