@@ -106,10 +106,10 @@ def full_join_coalesce(
     on either side are counted first, with map-side combine, and leave the full
     join: matched ones go through an inner join, which adaptive execution splits on
     both sides, and one-sided ones need no join. Null keys match nothing, so they
-    bypass the joins too.
+    bypass the joins too. Both sides are staged, so each is evaluated once.
     """
     keys, values = list(keys), list(values)
-    left, right = left.select(*keys, *values), right.select(*keys, *values)
+    left, right = (materialise(side.select(*keys, *values), "join-side") for side in (left, right))
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
     tagged = left.filter(keyed).select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from rosterflow.operators.joins import small_side
 from rosterflow.operators.shape import conform
+from rosterflow.session import materialise
 
 
 def union_all_as(schema: T.StructType, parts: Sequence[DataFrame]) -> DataFrame:
@@ -28,7 +29,9 @@ def labelled_distinct(df: DataFrame, columns: Sequence[str], label: str, value:
 
 
 def prefer_source(primary: DataFrame, secondary: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Per group all primary rows, or all secondary rows where the primary has none."""
+    """Per group all primary rows, or all secondary rows where the primary has none. The
+    primary side is staged, so it is evaluated once."""
+    primary = materialise(primary, "primary-rows")
     covered = small_side(primary.select(*group).distinct())
     return primary.unionByName(secondary.join(covered, list(group), "left_anti"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import struct
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
@@ -10,18 +11,20 @@ from xml.sax.saxutils import escape
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterflow import schemas as S
 from rosterflow.operators.reshape import promote_header
+from rosterflow.operators.validate import damaged_issues, header_issues
 from rosterflow.plans import submissions
 from rosterflow.plans.geography import boundary_table
 from rosterflow.plans.geography import gazetteer_table as gazetteer
 from rosterflow.queries.registry import Tables, query
 from rosterflow.queries.submissions import PLACES_SQL, places
-from rosterflow.session import fresh_path
-from rosterflow.sinks.tables import replaced_rows, replace_files, with_point, write_table
-from rosterflow.sources.boundaries import read_geojson
-from rosterflow.sources.delimited import data_rows, file_headers, read_csv, read_gazetteer, stage_csv
+from rosterflow.session import fresh_path, ship
+from rosterflow.sinks.tables import replaced_rows, replace_files, stored_files, with_point, write_table
+from rosterflow.sources.boundaries import read_boundaries, read_geojson
+from rosterflow.sources.delimited import data_rows, file_headers, files_without_rows, read_csv, read_gazetteer, stage_csv
 from rosterflow.sources.workbook import decode_contents
 
 
@@ -86,6 +89,44 @@ def io_row_numbers(t):
     )
 
 
+@query("""
+WITH f AS (SELECT c_custkey, c_name, 'part' || CAST(c_nationkey % 4 AS VARCHAR) || '.csv' AS source_file FROM customer),
+kept AS (SELECT source_file, c_custkey, c_name, c_custkey % 7 = 0 AS open FROM f)
+SELECT source_file, 'row' AS kind, CAST(c_custkey AS VARCHAR) AS code, CASE WHEN NOT open THEN c_name || CASE WHEN c_custkey % 5 = 0 THEN chr(10) || 'line, two' ELSE '' END END AS detail FROM kept
+UNION ALL SELECT source_file, 'issue', CAST(c_custkey AS VARCHAR), 'Quoted value is not closed' FROM kept WHERE open
+UNION ALL SELECT 'zero.csv', 'issue', '0', 'Missing required columns: ssa_state_county_code, name_of_physician_or_mid_level_practitioner, npi, specialty_code, provider_street_address, provider_city, provider_state, provider_zip_code'
+""")
+def io_damaged_csv(t):
+    """Customers in files with unclosed quotes, quoted line ends, blank lines and a blank
+    last header, beside a file without a byte: every row and every issue of the files."""
+    folder = fresh_path(t.spark, "csv")
+    name = F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit('"'), "c_name")).when(
+        F.col("c_custkey") % 5 == 0, F.concat(F.lit('"'), "c_name", F.lit('\nline, two"'))
+    ).otherwise(F.col("c_name"))
+    line = F.concat_ws(",", F.col("c_custkey").cast("string"), name)
+    header = ",".join(["h"] * (len(S.PROVIDER_COLUMNS) - 1) + [""])
+    text = t.customer.groupBy((F.col("c_nationkey") % 4).alias("part")).agg(F.array_join(F.array_sort(F.collect_list(line)), "\n\n").alias("body"))
+    for part in range(4):
+        body = text.filter(F.col("part") == part).select(F.concat(F.lit(header + "\n"), "body").alias("value"))
+        body.coalesce(1).write.text(f"{folder}/{part}")
+    fs = t.spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs.getFileSystem(t.spark._jsc.hadoopConfiguration()).create(t.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/zero.csv")).close()
+    paths = [*(f"{folder}/{part}" for part in range(4)), f"{folder}/zero.csv"]
+    staged = stage_csv(t.spark, paths, "provider")
+    headers = file_headers(staged, "provider", files_without_rows(t.spark, paths, staged))
+    address = F.col("source_file")
+    file = F.when(address.endswith("zero.csv"), "zero.csv").otherwise(F.concat(F.lit("part"), F.regexp_extract(address, "/([0-9])/[^/]*$", 1), F.lit(".csv")))
+    rows = data_rows(staged).withColumn("file", file)
+    code, read = F.col("ssa_state_county_code"), F.col("name_of_physician_or_mid_level_practitioner")
+    issues = header_issues(headers).select(file.alias("source_file"), F.lit("issue").alias("kind"), F.col("row_index").cast("string").alias("code"), F.col("message").alias("detail"))
+    found = damaged_issues(rows).join(rows.select("source_file", "row_index", "file", code.alias("code")), ["source_file", "row_index"])
+    return (
+        rows.select(F.col("file").alias("source_file"), F.lit("row").alias("kind"), code.alias("code"), F.when(~F.col("damaged"), read).alias("detail"))
+        .unionByName(issues)
+        .unionByName(found.select(F.col("file").alias("source_file"), F.lit("issue").alias("kind"), "code", F.col("message").alias("detail")))
+    )
+
+
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def io_generic_load(t):
     source, target = fresh_path(t.spark, "csv"), fresh_path(t.spark, "table")
@@ -196,6 +237,56 @@ def io_boundaries(t):
     return table.select("geoid", "name", "source_year", F.octet_length("geom").alias("geom_bytes"))
 
 
+@F.pandas_udf(T.DoubleType())
+def _little_double(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: struct.unpack("<d", bytes(v))[0])
+
+
+def _layers_of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Shapes and attribute records of one layer per batch of ``n_nationkey, s_suppkey, s_name``."""
+    for batch in batches:
+        shapes, records = b"", b""
+        for number, (x, key, name) in enumerate(batch.itertuples(index=False), 1):
+            ring = [x, 0, x, 1, x + 1, 1, x + 1, 0, x, 0]
+            content = struct.pack("<I4d2I", 5, 0, 0, 1, 1, 1, 5) + struct.pack("<I10d", 0, *ring)
+            shapes += struct.pack(">2I", number, len(content) // 2) + content
+            records += (b"*" if key % 5 == 0 else b" ") + str(key).ljust(10).encode() + f"ñ{name}".encode("latin-1").ljust(30)
+        fields = [("GEOID", 10), ("NAME", 30)]
+        described = b"".join(f.encode().ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([w]) + b"\0" * 15 for f, w in fields) + b"\r"
+        header = struct.pack("<4BIHH20x", 3, 0, 0, 0, len(batch), 32 + len(described), 41)
+        yield pd.DataFrame({"shp": [b"\0" * 100 + shapes], "dbf": [header + described + records]})
+
+
+@query("""
+SELECT CAST(s_suppkey AS VARCHAR) AS geoid, 'ñ' || s_name AS name, 2025 AS source_year,
+       CAST(s_nationkey AS DOUBLE) AS x0, CAST(s_nationkey + 1 AS DOUBLE) AS x1 FROM supplier WHERE s_suppkey % 5 <> 0
+""")
+def io_shapefile(t):
+    """Suppliers as one layer of a folder with two more, a fifth of its records deleted,
+    names in another code page; the corners of every square are compared."""
+    folder = fresh_path(t.spark, "layers")
+    ship(t.spark)
+    rows = t.supplier.select(F.col("s_nationkey").cast("int"), "s_suppkey", "s_name").coalesce(1)
+    size = rows.count()
+    t.spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size + 1)
+    try:
+        (layer,) = rows.mapInPandas(_layers_of_batches, "shp binary, dbf binary").collect()
+    finally:
+        t.spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    paths = t.spark._jvm.org.apache.hadoop.fs
+    system = paths.Path(folder).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    parts = {"shp": bytes(layer.shp), "dbf": bytes(layer.dbf), "cpg": b"ISO-8859-1", "prj": b'GEOGCS["GCS_North_American_1983"]'}
+    for stem in ("county", "subcounty", "old/county"):
+        for suffix, content in parts.items():
+            out = system.create(paths.Path(f"{folder}/{stem}.{suffix}"))
+            out.write(bytearray(content))
+            out.close()
+    table = boundary_table(read_boundaries(t.spark, f"{folder}/county.shp"), 2025)
+    # one polygon of one ring: its points begin after 9 + 9 + 4 bytes
+    corners = [_little_double(F.substring("geom", 23 + 16 * i, 8)) for i in (0, 2)]
+    return table.select("geoid", "name", "source_year", corners[0].alias("x0"), corners[1].alias("x1"))
+
+
 @query("""
 SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'
 AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
@@ -227,5 +318,4 @@ def io_replace_files(t):
     replace_files(rows.select(*columns, F.lit("first").alias("load")), target, books.select("source_file_id"))
     again = rows.filter("r_name = 'ASIA' AND c_acctbal > 0").select(*columns, F.lit("second").alias("load"))
     replace_files(again, target, books.filter("r_name IN ('ASIA', 'EUROPE')").select("source_file_id"))
-    schema = "c_custkey bigint, load string, source_file_id string"
-    return t.spark.read.schema(schema).parquet(target).select("source_file_id", "c_custkey", "load")
+    return stored_files(t.spark, target).select("source_file_id", "c_custkey", "load")

@@ -11,8 +11,9 @@ from rosterflow.operators.shape import conform
 from rosterflow.queries.files import customer_upload
 from rosterflow.queries.registry import Tables, query
 from rosterflow.session import fresh_path
+from rosterflow.sinks.tables import stored_files
 from rosterflow.streaming import route, status
-from rosterflow.streaming.intake import IntakeTables, intake_writer, parse_messages, read_messages
+from rosterflow.streaming.intake import IntakeTables, intake_writer, message_file_id, parse_messages, read_messages
 
 _LINE = """CASE event_id % 4 WHEN 0 THEN '{{"fileId": ' WHEN 1 THEN 'null' ELSE '{{"fileId": "' || CAST(user_id AS {text}) || '"}}' END"""
 
@@ -23,8 +24,7 @@ FROM events
 """)
 def json_message_parse(t):
     lines = t.events.select("event_id", "props", F.expr(_LINE.format(text="STRING")).alias("value"))
-    parsed = lines.withColumn("m", F.from_json("value", "fileId string"))
-    return parsed.select("event_id", F.col("m.fileId").alias("file_id"), F.from_json("props", "k bigint")["k"].alias("k"))
+    return lines.select("event_id", message_file_id(F.col("value")).alias("file_id"), F.from_json("props", "k bigint")["k"].alias("k"))
 
 
 def registry_of(t: Tables) -> DataFrame:
@@ -196,7 +196,7 @@ def stream_intake(t):
     )
 
     def loaded(path: str, target: str, kind: str) -> DataFrame:
-        rows = spark.read.parquet(path).groupBy("organization_id").agg(
+        rows = stored_files(spark, path).groupBy("organization_id").agg(
             F.count(F.lit(1)).alias("n"), F.countDistinct("ssa_state_county_code").alias("codes")
         )
         return rows.select(F.lit(target).alias("target"), "organization_id", "n", "codes", F.lit(kind).alias("file_type"))
