@@ -113,9 +113,11 @@ def with_fallback_codes(codes: DataFrame, rows: DataFrame, kind: str) -> DataFra
     if "contract_year" not in codes.columns:
         return codes
     codes = codes.select(F.col("contract_year").cast("int").alias("contract_year"), "code")
-    years = rows.select(F.col("source_year").cast("int").alias("contract_year")).distinct()
     fixed = F.array(*[F.lit(c) for c in S.FALLBACK_SPECIALTY_CODES[kind]])
-    uncovered = years.join(codes.select("contract_year").distinct(), "contract_year", "left_anti")
+    # an aggregate and not an anti join, which would be a nested loop where all rows have one literal year
+    years = rows.select(F.col("source_year").cast("int").alias("contract_year"), F.lit(False).alias("covered"))
+    covered = years.distinct().unionByName(codes.select("contract_year", F.lit(True).alias("covered")).distinct())
+    uncovered = covered.groupBy("contract_year").agg(F.max("covered").alias("covered")).filter(~F.col("covered"))
     return codes.unionByName(uncovered.select("contract_year", F.explode(fixed).alias("code")))
 
 
@@ -137,7 +139,7 @@ def row_issues(
     """
     rows = _checked_rows(df, kind, applicant)
     rows = _known_codes(rows, "_ssa", ssa_codes.filter(F.col("code").rlike("^[0-9]{5}$")), "_ssa_ok", ssa_year_offset)
-    rows = _known_codes(rows, "_spec", with_fallback_codes(specialty_codes, rows, kind), "_spec_ok")
+    rows = _known_codes(rows, "_spec", with_fallback_codes(specialty_codes, df, kind), "_spec_ok")
     spec_ok = F.col("_spec_ok")
 
     address = S.ADDRESS_COLUMN[kind]

@@ -55,6 +55,16 @@ def test_row_checks_are_one_scan_without_a_shuffle(spark):
     assert text.count("BroadcastHashJoin") == 2 and "Python" not in text
 
 
+def test_yearly_codes_are_one_hash_join_each(spark):
+    """Also where the year of all rows is a literal, as in a load of one year."""
+    rows = materialise(frame(spark, GOOD_PROVIDER, {}, {"npi": "1"}).drop("source_year"), "t").withColumn("source_year", F.lit(2025))
+    codes = [spark.createDataFrame([(y, c) for c in values], "contract_year int, code string") for y, values in ((2024, SSA), (2025, PROVIDER))]
+    text = plan(validate.row_issues(rows, "provider", *codes))
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    checked = text.split("BroadcastExchange")[0]
+    assert checked.count("FileScan") <= 1 and "Exchange hashpartitioning" not in checked
+
+
 def test_keep_first_limits_before_the_shuffle(spark):
     t = Tables(spark, SMALL)
     text = plan(dedupe.keep_first(t.lineitem, ["l_orderkey"], ["l_linenumber"]))
