@@ -20,8 +20,8 @@ from rosterflow.llm import arrays, decontaminate, near_dedup, piece_codec, quali
 from rosterflow.llm.queries import QUERIES, SQL, piece_digests, piece_model, table
 from rosterflow.session import materialise
 
-#: Words of a shingle of the near-duplicate stage.
-SHINGLE_WORDS = 5
+#: Words of a shingle of the near-duplicate stage, as in the contract of its operator.
+SHINGLE_WORDS = 2
 LEAST_QUALITY = 0.3
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
