@@ -14,7 +14,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,6 +23,8 @@ BLOCK_BYTES = 1_000_000
 #: Bytes whose prefix sums are held at a time.
 SPAN_BYTES = 250_000
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -227,6 +229,12 @@ def spread(first: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(total) + np.repeat(first[picked] - ends + lengths, lengths), lengths
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of the batches that tasks are given, where the session does not: rows of long texts add up."""
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, str(32 << 20))
+
+
 def with_columns(
     frame: DataFrame,
     compute: Callable[[pa.Array], list[pa.Array]],
@@ -241,6 +249,7 @@ def with_columns(
     names the columns to go on with, all of them if it is not given. ``limit`` is about the
     number of text bytes that ``compute`` is given at a time.
     """
+    bound_batches(frame.sparkSession)
     given = frame.drop(*(name for name in added if name != column)).withColumn(column, F.col(column).cast("string"))
     names = [c for c in given.columns if (keep is None or c in keep) and c not in added]
     at = given.columns.index(column)
