@@ -15,7 +15,8 @@ from rosterflow.operators.reshape import sheet_layout
 from rosterflow.plans import standards
 from rosterflow.queries.registry import Tables, query
 from rosterflow.queries.reshape import sheet_frame
-from rosterflow.session import materialise
+from rosterflow.session import fresh_path, materialise
+from rosterflow.sinks.tables import target, write_tables
 
 _WORKBOOKS = """
 books AS (SELECT n_nationkey, 'wb' || CAST(n_nationkey AS VARCHAR) AS path, 2020 + n_regionkey AS contract_year, r_name
@@ -44,9 +45,9 @@ con AS (SELECT path, r_name, ssacd, contract_year, CASE WHEN s_suppkey % 2 = 0 T
 """
 
 
-def workbooks(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Sheet rows and layouts of all workbooks, staged as the standards job does."""
-    rows = materialise(_sheets(t), "sheet-rows", ("sheet",))
+def workbooks(t: Tables, *sheets: str) -> tuple[DataFrame, DataFrame]:
+    """Rows and layouts of the named sheets of all workbooks, staged as the standards job does."""
+    rows = materialise(_sheets(t).filter(F.col("sheet").isin(*sheets)), "sheet-rows", ("sheet",))
     return rows, materialise(sheet_layout(rows), "sheet-layouts")
 
 
@@ -160,7 +161,7 @@ SELECT ssacd AS ssa_county_code, contract_year, c_name AS county_name, r_name AS
 FROM base QUALIFY row_number() OVER (PARTITION BY path, ssacd ORDER BY k) = 1
 """)
 def county_table(t):
-    rows, layout = workbooks(t)
+    rows, layout = workbooks(t, S.SHEET_MIN_PROVIDER, S.SHEET_TD_PROVIDER)
     return standards.county_table(rows, layout)
 
 
@@ -171,7 +172,7 @@ FROM (SELECT specialty_code, contract_year, 'provider' AS category FROM provider
       UNION SELECT specialty_code, contract_year, 'facility' FROM facility_counts)
 """)
 def specialty_table(t):
-    rows, layout = workbooks(t)
+    rows, layout = workbooks(t, S.SHEET_MIN_PROVIDER, S.SHEET_MIN_FACILITY)
     return standards.specialty_table(
         standards.min_counts(rows, "provider", layout), standards.min_counts(rows, "facility", layout)
     )
@@ -187,7 +188,7 @@ SELECT ssacd AS ssa_county_code, specialty_code, contract_year, minutes AS max_t
 FROM td LEFT JOIN lookup USING (path, ssacd, specialty_code)
 """)
 def td_standard_table(t):
-    rows, layout = workbooks(t)
+    rows, layout = workbooks(t, S.SHEET_TD_PROVIDER, S.SHEET_TD_FACILITY, S.SHEET_CON)
     return standards.time_distance_table(
         standards.time_distances(rows, "provider", layout),
         standards.time_distances(rows, "facility", layout),
@@ -205,7 +206,7 @@ SELECT ssacd AS ssa_county_code, specialty_code, contract_year, p.min_count AS m
 FROM p FULL JOIN f USING (path, ssacd, specialty_code, contract_year)
 """)
 def min_standard_table(t):
-    rows, layout = workbooks(t)
+    rows, layout = workbooks(t, S.SHEET_MIN_PROVIDER, S.SHEET_MIN_FACILITY)
     return standards.minimum_number_table(
         standards.min_counts(rows, "provider", layout), standards.min_counts(rows, "facility", layout)
     )
@@ -216,5 +217,25 @@ WITH {_WORKBOOKS}
 SELECT DISTINCT ssacd AS ssa_county_code, specialty_code, contract_year FROM con
 """)
 def con_credit_table(t):
-    rows, layout = workbooks(t)
+    rows, layout = workbooks(t, S.SHEET_CON)
     return standards.con_credit_table(standards.con_rows(rows, layout))
+
+
+@query(f"""
+WITH {_WORKBOOKS}
+SELECT DISTINCT 'con_credit' AS written, ssacd AS code, contract_year FROM con
+UNION ALL SELECT DISTINCT 'specialty_type', category || specialty_code, contract_year FROM (
+  SELECT specialty_code, contract_year, 'provider' AS category FROM provider_counts UNION ALL SELECT specialty_code, contract_year, 'facility' FROM facility_counts)
+""")
+def standards_job(t):
+    """All tables of the job, written in order to a folder; the codes of two of them read back."""
+    rows = materialise(_sheets(t), "sheet-rows", ("sheet",))
+    folder = fresh_path(t.spark, "standards")
+    write_tables(standards.standards_tables(rows), S.REFERENCE_TABLES, folder)
+
+    def stored(name: str) -> DataFrame:
+        return t.spark.read.parquet(target(folder, name))
+
+    credits = stored("con_credit").select(F.lit("con_credit").alias("written"), F.col("ssa_county_code").alias("code"), "contract_year").distinct()
+    specialties = stored("specialty_type").select(F.lit("specialty_type").alias("written"), F.concat("category", "specialty_code").alias("code"), "contract_year")
+    return credits.unionByName(specialties)
