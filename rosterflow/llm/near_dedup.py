@@ -12,8 +12,11 @@ Equal sets are one class with one representative. In every bucket each member is
 against the smallest one only; the links confirmed so are joined to components, which takes
 large groups of copies together without their pairs. Then members of one bucket that are still
 in different components are compared, which is exact: every pair of a bucket is compared or
-already connected. Signatures are compared by two bits a place (never more errors than the
-symbols have) inside the join; pairs that pass are confirmed on the full sets of both texts.
+already connected. Inside the join signatures are compared by two bits a place (never more
+errors than the symbols have), and sets by bitmaps of ``BITS`` bits that hold the parity of the
+number of shingles hashed to each: two bitmaps differ in no more bits than the sets have
+shingles that only one of them has, so that a pair whose bitmaps differ too much cannot be
+linked. Pairs that pass are confirmed on the full sets of both texts.
 
 Rows with a null id are linked with nothing. Empty and null texts have an empty set and are
 linked with nothing. An id with several texts counts as several documents. Columns of the
@@ -22,6 +25,9 @@ documents other than id and text are not looked at.
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,6 +38,7 @@ from rosterflow.llm.components import components
 from rosterflow.session import materialise
 
 PLACES, CHUNKS, MOST_ERRORS = 64, 14, 27
+BITS = 1024
 #: Linked if the intersection has at least so many percent of the union.
 PERCENT = 80
 #: Ids that may be broadcast to pick their texts from the documents; beyond, the join shuffles.
@@ -75,6 +82,9 @@ def _sketch(width: int):
         digests = np.zeros((2, len(size)), np.uint64)
         codes = np.zeros((2, len(size)), np.uint64)
         symbols = np.zeros((len(size), PLACES), np.uint16)
+        spot = np.repeat(np.arange(len(size)) * BITS, size) + (hashes % np.uint64(BITS)).astype(np.int64)
+        parity = (np.bincount(spot, minlength=len(size) * BITS) & 1).astype(np.uint8)
+        bitmaps = np.packbits(parity, bitorder="little").view(np.int64).reshape(-1, len(BITMAP))
         if len(some):
             heads = first[some]
             digests[0, some] = np.add.reduceat(hashes, heads)
@@ -87,12 +97,13 @@ def _sketch(width: int):
                 codes[0, some] |= (spread & np.uint64(1)) << np.uint64(k)
                 codes[1, some] |= (spread >> np.uint64(1) & np.uint64(1)) << np.uint64(k)
         signature = pa.array([row.tobytes() for row in symbols], pa.binary())
-        return [pa.array(size.astype(np.int64)), *(pa.array(v.view(np.int64)) for v in (*digests, *codes)), signature]
+        return [pa.array(size.astype(np.int64)), *(pa.array(v.view(np.int64)) for v in (*digests, *codes)), *(pa.array(v) for v in bitmaps.T), signature]
 
     return compute
 
 
-SKETCH = {"n_shingles": "long", "digest_a": "long", "digest_b": "long", "code_a": "long", "code_b": "long", "signature": "binary"}
+CODES, BITMAP = ["code_a", "code_b"], [f"bits_{i}" for i in range(BITS // 64)]
+SKETCH = dict.fromkeys(["n_shingles", "digest_a", "digest_b", *CODES, *BITMAP], "long") | {"signature": "binary"}
 
 
 def sketch(documents: DataFrame, width: int) -> DataFrame:
@@ -119,7 +130,11 @@ def _close(a: str, b: str) -> Column:
 
     sizes = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     similar = 100 * F.least(*sizes) >= PERCENT * F.greatest(*sizes)
-    return similar & (F.bit_count(differs("code_a").bitwiseOR(differs("code_b"))) <= MOST_ERRORS)
+    alike = F.bit_count(differs("code_a").bitwiseOR(differs("code_b"))) <= MOST_ERRORS
+    # with d shingles in one set only, the intersection is (sizes - d) / 2 and the union (sizes + d) / 2
+    least = reduce(operator.add, (F.bit_count(differs(name)) for name in BITMAP))
+    total = sizes[0] + sizes[1]
+    return similar & alike & (100 * (total - least) >= PERCENT * (total + least))
 
 
 def _with_text(ids: DataFrame, documents: DataFrame, key: str) -> DataFrame:
@@ -133,6 +148,7 @@ def confirm(pairs: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     """The pairs ``(src, dst)`` whose full sets have the wanted similarity; an id with several texts links by any of them."""
     members = _with_text(pairs.select("src", "dst"), documents, "src").withColumnRenamed("text", "text_a")
     heads = _with_text(pairs.select("dst").distinct(), documents, "dst").withColumnRenamed("text", "text_b")
+    arrays.bound_batches(documents.sparkSession)
     both = members.join(heads.hint("merge"), "dst").select("src", "dst", "text_a", "text_b")
 
     def part(batches):
@@ -158,10 +174,12 @@ def link(documents: DataFrame, width: int) -> DataFrame:
     identity = ["n_shingles", "digest_a", "digest_b"]
     named = sketches.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = named.groupBy(*identity).agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))
-    firsts = named.join(classes.select(*identity, F.col("rep").alias("doc_id")), [*identity, "doc_id"], "left_semi").dropDuplicates([*identity, "doc_id"])
+    # by id, which few rows share, and not by class, which many may
+    firsts = named.join(classes.select(*identity, F.col("rep").alias("doc_id")).withColumnsRenamed({c: f"class_{c}" for c in identity}), "doc_id")
+    firsts = firsts.filter(reduce(operator.and_, (F.col(c) == F.col(f"class_{c}") for c in identity))).dropDuplicates(["doc_id", *identity])
     # a set of n shingles can only be linked with a different one if n of n + 1 are enough
     indexed = firsts.filter(100 * F.col("n_shingles") >= PERCENT * (F.col("n_shingles") + 1)).withColumnRenamed("doc_id", "rep")
-    indexed = materialise(indexed.select("rep", "n_shingles", "code_a", "code_b", "signature"), "classes")
+    indexed = materialise(indexed.select("rep", "n_shingles", *CODES, *BITMAP, "signature"), "classes")
     buckets = indexed.select(F.explode(bucket_keys(F.col("signature"))).alias("key"), "rep")
     shared = buckets.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).filter(F.col("head") != F.col("last"))
     members = materialise(buckets.join(shared.select("key", "head"), "key"), "buckets")
