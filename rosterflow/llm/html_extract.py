@@ -22,7 +22,7 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.llm import arrays
@@ -193,11 +193,16 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     parsed = parsed.withColumn("host", host_of(F.col("url"))).withColumn("page_number", F.monotonically_increasing_id())
     parsed = materialise(parsed, "parsed-pages")
     templates = recurring(parsed, least_pages)
-    # pages with a main content have no blocks elsewhere to lose: their text is the main blocks
-    loose = parsed.filter(~F.col("has_main")).select("host", "page_number", F.explode("subtrees").alias("subtree"))
-    removed = loose.join(templates, ["host", "subtree"]).groupBy("page_number").agg(F.collect_set("subtree").alias("removed"))
-    out = parsed.join(removed, "page_number", "left")
-    left = F.filter("blocks", lambda b: F.when(F.col("has_main"), b["main"]).otherwise(~F.coalesce(F.arrays_overlap(b["around"], F.col("removed")), F.lit(False))))
-    text = F.array_join(F.transform(left, lambda b: b["text"]), "\n\n")
+    # pages with a main content have no blocks elsewhere to lose: their text is the main blocks, and they join nothing
+    loose = parsed.filter(~F.col("has_main"))
+    found = loose.select("host", "page_number", F.explode("subtrees").alias("subtree")).join(templates, ["host", "subtree"])
+    removed = found.groupBy("page_number").agg(F.collect_set("subtree").alias("removed"))
+    kept = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("removed")), F.lit(False)))
     columns = [c for c in given.columns if c != "html"]
-    return out.select(*columns, text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+    def joined(blocks: Column) -> Column:
+        return F.array_join(F.transform(blocks, lambda b: b["text"]), "\n\n").alias("text")
+
+    whole = parsed.filter("has_main").select(*columns, joined(F.filter("blocks", lambda b: b["main"])))
+    rest = loose.join(removed, "page_number", "left").select(*columns, joined(kept))
+    return whole.unionByName(rest).withColumn("n_chars", F.length("text").cast("long"))
