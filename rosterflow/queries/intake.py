@@ -58,21 +58,25 @@ def quality_declared(t):
 
 
 def log_of(t: Tables) -> DataFrame:
-    """Orders as transitions of their customer's file."""
+    """Orders as transitions of their customer's file; a third of the pending ones submit it again."""
     state = F.when(F.col("o_orderstatus") == "F", "FAILED").when(F.col("o_orderstatus") == "O", "PROCESSING").otherwise("PENDING")
     return t.orders.select(
         F.col("o_custkey").cast("string").alias("file_id"),
         state.alias("status"),
         F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).alias("error_message"),
         F.col("o_orderdate").cast("timestamp").alias("updated_at"),
-        (F.col("o_orderkey") % 3).alias("batch_id"),
+        F.when((state != "PENDING") | (F.col("o_orderkey") % 3 != 0), F.col("o_orderkey") % 3).alias("batch_id"),
         F.col("o_orderkey").alias("seq"),
     )
 
 
 _STATE_SQL = """
-latest AS (SELECT CAST(o_custkey AS VARCHAR) AS id, o_orderstatus AS s, o_orderkey % 3 AS batch_id, o_orderdate FROM orders
-           QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
+moves AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n,
+                 CASE WHEN o_orderstatus = 'P' AND o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey % 3 END AS batch_id FROM orders),
+marks AS (SELECT o_custkey, max(n) AS newest, max(n) FILTER (o_orderstatus = 'F') AS finished,
+                 coalesce(max(n) FILTER (o_orderstatus = 'P' AND batch_id IS NULL), 0) AS again FROM moves GROUP BY o_custkey),
+latest AS (SELECT CAST(o_custkey AS VARCHAR) AS id, o_orderstatus AS s, batch_id, o_orderdate FROM moves JOIN marks USING (o_custkey)
+           WHERE n = CASE WHEN finished > again THEN finished ELSE newest END),
 files AS (SELECT CAST(c_custkey AS VARCHAR) AS id,
                  CASE c_mktsegment WHEN 'BUILDING' THEN 'PROVIDER' WHEN 'MACHINERY' THEN 'FACILITY' WHEN 'FURNITURE' THEN 'BENEFICIARY' ELSE c_mktsegment END AS file_type,
                  CASE s WHEN 'F' THEN 'FAILED' WHEN 'O' THEN 'PROCESSING' ELSE 'PENDING' END AS status, batch_id, o_orderdate
