@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,9 +64,30 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"rosterflow-{application}-")
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete what a job stages inside the block when it ends, with all its outcomes read.
+
+    Frames that still read staged tables must be written or collected before that.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        paths = spark._jvm.org.apache.hadoop.fs
+        for path in map(paths.Path, _scopes.pop()):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def materialise(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

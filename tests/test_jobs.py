@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -153,3 +155,14 @@ spark = local_session("2"); print("rows", decode_workbooks(spark, [{folder + '/b
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", code], cwd=folder, env=env, capture_output=True, text=True, timeout=120)
     assert "rows 2" in run.stdout, run.stderr[-2000:]
+
+
+def test_staged_tables_go_with_their_scope(spark):
+    from rosterflow import session
+
+    kept = session.materialise(spark.range(3), "kept")
+    with session.staged_tables(spark):
+        inside = session.materialise(spark.range(5), "inside")
+        address = inside.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert inside.count() == 5 and os.path.isdir(address)
+    assert not os.path.exists(address) and kept.count() == 3
