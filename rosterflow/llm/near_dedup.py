@@ -204,11 +204,13 @@ def link(documents: DataFrame, width: int) -> DataFrame:
     rest = materialise(rest.join(stars, ["src", "dst"], "left_anti"), "rest")
     more = materialise(confirm(rest, documents, width), "links")
     if not more.isEmpty():
-        found = components(links.unionByName(more))
+        found = components(found.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more))
 
     # only classes of several rows or in a larger component need another id than their own
     moved = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*identity, "rows", "rep", F.coalesce("component", "rep").alias("component"))
     moved = moved.filter((F.col("rows") > 1) | (F.col("rep") != F.col("component"))).drop("rows", "rep")
+    # staged, so that the join is one of two plain tables, whose large partitions can be split
+    moved = materialise(moved, "moved")
     out = sketches.select("doc_id", *identity).join(moved, identity, "left")
     component = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component"))
     return out.select("doc_id", "n_shingles", F.coalesce(component, F.col("doc_id")).alias("component_id"))
