@@ -78,6 +78,30 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = BLOCK_BYTES) -> Iter
         row = stop
 
 
+def regular_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows with at most ``limit`` bytes of text, or one row of more.
+
+    The bounds depend on the rows alone and not on how they were cut into batches, which
+    other columns of a row may change.
+    """
+    held, size = [], 0
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends, row = np.cumsum(lengths, dtype=np.int64), 0
+        while row < batch.num_rows:
+            base = int(ends[row - 1]) if row else 0
+            stop = max(int(np.searchsorted(ends, base + limit - size, "right")), row if held else row + 1)
+            if stop > row:
+                held.append(batch.slice(row, stop - row))
+                size += int(ends[stop - 1]) - base
+                row = stop
+            if row < batch.num_rows:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 class Texts:
     """Byte buffer of a column of texts; null is empty. Text ``i`` is ``data[start[i]:stop[i]]``."""
 
@@ -232,7 +256,7 @@ def spread(first: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def bound_batches(spark: SparkSession) -> None:
     """Bound the bytes of the batches that tasks are given, where the session does not: rows of long texts add up."""
     if spark.conf.get(_BATCH_BYTES, None) is None:
-        spark.conf.set(_BATCH_BYTES, str(32 << 20))
+        spark.conf.set(_BATCH_BYTES, str(8 << 20))
 
 
 def with_columns(

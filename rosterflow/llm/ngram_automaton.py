@@ -38,7 +38,6 @@ from pyspark.sql.types import StructType
 from rosterflow.llm import arrays
 from rosterflow.session import materialise
 
-BLOCK_BYTES = 8_000_000
 #: Text bytes per bucket of n-grams.
 BUCKET_BYTES = 4_000_000
 START, END = np.uint64(0x5374617274), np.uint64(0x456E64)
@@ -50,6 +49,8 @@ class Settings:
     strength: float = 8.0
     #: Of the base score: what is added to every count.
     added: float = 0.1
+    #: Text bytes of a block.
+    block_bytes: int = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -127,26 +128,22 @@ class Block:
         return [lengths, arrays.text_sums(known > 0, self.first), arrays.text_sums(base, self.first), arrays.text_sums(np.log10(chance), self.first)]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], column: int, flag: int, order: int) -> Iterator[tuple[int, Block, pa.RecordBatch]]:
+def _blocks(batches: Iterator[pa.RecordBatch], column: int, flag: int, settings: Settings) -> Iterator[tuple[int, Block, pa.RecordBatch]]:
     """The blocks of a task with a key of each: the task's partition, the block's place in it and its n-grams."""
-    place = 0
-    for batch in batches:
-        for piece in arrays.slices(batch, column, BLOCK_BYTES):
-            block = Block(piece.column(column), piece.column(flag).to_numpy(zero_copy_only=False).astype(bool), order)
-            seed = np.array([TaskContext.get().partitionId() << 32 | place], np.uint64)
-            content = np.uint64(len(block.tokens)) + np.sum(block.grams[-1], dtype=np.uint64) + np.sum(arrays.mix(block.counts[-1].astype(np.uint64) + block.grams[-1]), dtype=np.uint64)
-            yield int((arrays.mix(seed) ^ content).view(np.int64)[0]), block, piece
-            place += 1
+    for place, piece in enumerate(arrays.regular_slices(batches, column, settings.block_bytes)):
+        block = Block(piece.column(column), piece.column(flag).to_numpy(zero_copy_only=False).astype(bool), settings.order)
+        seed = np.array([TaskContext.get().partitionId() << 32 | place], np.uint64)
+        content = np.uint64(len(block.tokens)) + np.sum(block.grams[-1], dtype=np.uint64) + np.sum(arrays.mix(block.counts[-1].astype(np.uint64) + block.grams[-1]), dtype=np.uint64)
+        yield int((arrays.mix(seed) ^ content).view(np.int64)[0]), block, piece
 
 
 def count(documents: DataFrame, settings: Settings) -> tuple[DataFrame, Totals, int]:
     """Answers to all blocks, the corpus totals, and the bits of a bucket's number."""
     size = documents.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     bits = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1, size // BUCKET_BYTES, 1).bit_length()
-    order = settings.order
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, block, _ in _blocks(batches, 0, 1, order):
+        for key, block, _ in _blocks(batches, 0, 1, settings):
             rows = [(k, b, key, grams.tobytes(), counts.astype(np.uint32).tobytes()) for k, b, grams, counts in block.parts(bits)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["order", "bucket", "block", "grams", "counts"])
 
@@ -194,8 +191,7 @@ def score(documents: DataFrame, training: Column, settings: Settings | None = No
     order = settings.order
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the order of columns read must not change what a block holds: text and flag alone make its key
-        for key, _, piece in _blocks(batches, at, flag, order):
+        for key, _, piece in _blocks(batches, at, flag, settings):
             yield piece.append_column("block", pa.array(np.full(piece.num_rows, key)))
 
     def scored(texts: pa.Table, replies: pa.Table) -> pa.Table:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from llm_cases import MEDIUM, SMALL, empty_frame, lowered, odd_frame, odd_rows, remainder, small, spaced
 from pyspark.sql import functions as F
 
-from rosterflow.llm import learning, ngram_automaton, quality_classifier, quality_rules, toxicity
+from rosterflow.llm import arrays, learning, ngram_automaton, quality_classifier, quality_rules, toxicity
 from rosterflow.llm.queries import QUERIES
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -131,14 +131,19 @@ def plain_scores(rows, trained, order, strength):
     return out
 
 
-def test_automaton_is_the_plain_recursion(spark):
+def test_automaton_is_the_plain_recursion(spark, monkeypatch):
     rng = random.Random(4)
     rows = [(i, " ".join(rng.choices(["a", "b", "c", "dd", "E", "é"], k=rng.randint(0, 30)))) for i in range(80)]
     rows += [(r[0] + 1000 if r[0] is not None else 5000 + i, r[1]) for i, r in enumerate(odd_rows())]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id").withColumn("score", F.lit("old"))
-    for order in (1, 2, 3):
-        settings = ngram_automaton.Settings(order=order)
+    # the third run has many blocks, and batches that other columns cut differently in the two passes
+    monkeypatch.setattr(arrays, "_BATCH_BYTES", "spark.test.unused")
+    for order, block_bytes, batch_bytes in ((1, 4_000_000, None), (3, 4_000_000, None), (2, 150, "700")):
+        settings = ngram_automaton.Settings(order=order, block_bytes=block_bytes)
+        if batch_bytes:
+            spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", batch_bytes)
         scored = ngram_automaton.score(frame, learning.remainder(F.col("doc_id"), 10) != 0, settings).collect()
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
         expected = plain_scores(rows, [remainder(i, 10) != 0 for i, _ in rows], order, settings.strength)
         by_id = collections.defaultdict(list)
         for (i, _), e in zip(rows, expected, strict=True):
@@ -160,3 +165,15 @@ def test_automaton_without_documents(spark):
     assert ngram_automaton.score(empty_frame(spark), F.lit(True)).isEmpty()
     untaught = ngram_automaton.score(odd_frame(spark), F.lit(False)).collect()
     assert len(untaught) == len(odd_rows()) and all(r["n_known"] == 0 and math.isfinite(r["score"]) for r in untaught)
+
+
+def test_blocks_do_not_depend_on_batches():
+    rng = random.Random(2)
+    texts = ["x" * rng.choice([0, 0, 1, 5, 30, 200]) for _ in range(300)] + [None, "y" * 500, ""]
+    bounds = set()
+    for cut in (1, 7, 50, 1000):
+        batches = [pa.record_batch([pa.array(texts[i : i + cut], pa.string())], ["text"]) for i in range(0, len(texts), cut)]
+        pieces = list(arrays.regular_slices(iter(batches), 0, 100))
+        assert [v for p in pieces for v in p.column(0).to_pylist()] == texts
+        bounds.add(tuple(p.num_rows for p in pieces))
+    assert len(bounds) == 1
