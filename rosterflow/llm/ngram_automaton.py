@@ -50,7 +50,7 @@ class Settings:
     #: Of the base score: what is added to every count.
     added: float = 0.1
     #: Text bytes of a block.
-    block_bytes: int = 4_000_000
+    block_bytes: int = 8_000_000
 
 
 @dataclass(frozen=True)
@@ -137,6 +137,16 @@ def _blocks(batches: Iterator[pa.RecordBatch], column: int, flag: int, settings:
         yield int((arrays.mix(seed) ^ content).view(np.int64)[0]), block, piece
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers by byte planes: the planes of high bytes are all but empty and compress to nothing."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
 def count(documents: DataFrame, settings: Settings) -> tuple[DataFrame, Totals, int]:
     """Answers to all blocks, the corpus totals, and the bits of a bucket's number."""
     size = documents.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
@@ -144,7 +154,7 @@ def count(documents: DataFrame, settings: Settings) -> tuple[DataFrame, Totals,
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, block, _ in _blocks(batches, 0, 1, settings):
-            rows = [(k, b, key, grams.tobytes(), counts.astype(np.uint32).tobytes()) for k, b, grams, counts in block.parts(bits)]
+            rows = [(k, b, key, _packed(np.diff(grams, prepend=np.uint64(0))), _packed(counts.astype(np.uint32))) for k, b, grams, counts in block.parts(bits)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["order", "bucket", "block", "grams", "counts"])
 
     def answer(asked: pa.Table) -> pa.Table:
@@ -155,15 +165,16 @@ def count(documents: DataFrame, settings: Settings) -> tuple[DataFrame, Totals,
         stats = np.zeros(4, np.int64)
         for k in np.unique(orders).tolist():
             rows = np.flatnonzero(orders == k)
-            grams = np.frombuffer(b"".join(asked.column("grams").take(pa.array(rows)).to_pylist()), np.uint64)
-            counts = np.frombuffer(b"".join(asked.column("counts").take(pa.array(rows)).to_pylist()), np.uint32)
+            # n-grams are sorted in a row and sent as differences
+            grams = np.concatenate([np.cumsum(_unpacked(g, np.uint64), dtype=np.uint64) for g in asked.column("grams").take(pa.array(rows)).to_pylist()])
+            counts = np.concatenate([_unpacked(c, np.uint32) for c in asked.column("counts").take(pa.array(rows)).to_pylist()])
             sample, number = arrays.kinds(grams)
             totals = np.bincount(number, weights=counts, minlength=len(sample)).astype(np.int64)
             if k == 1:
                 stats += [totals.sum(), (totals > 0).sum(), (totals == 1).sum(), (totals == 2).sum()]
             reply, at = totals[number], np.concatenate([[0], np.cumsum(sizes[rows])])
             for i, row in enumerate(rows.tolist()):
-                replies[row] = reply[at[i] : at[i + 1]].tobytes()
+                replies[row] = _packed(reply[at[i] : at[i + 1]])
         names = ["order", "bucket", "block"]
         # the first row of a bucket carries its share of the totals
         told = [pa.array(np.concatenate([[s], np.zeros(len(orders) - 1, np.int64)])) for s in stats]
@@ -202,7 +213,7 @@ def score(documents: DataFrame, training: Column, settings: Settings | None = No
         block = Block(column, texts.column("training").to_numpy().astype(bool), order)
         replies = replies.sort_by([("order", "ascending"), ("bucket", "ascending")])
         kinds, held = replies.column("order").to_numpy(), replies.column("replies").to_pylist()
-        counts = [np.frombuffer(b"".join(h for h, k in zip(held, kinds, strict=True) if k == n), np.int64) for n in range(1, order + 1)]
+        counts = [np.concatenate([np.empty(0, np.int64), *(_unpacked(h, np.int64) for h, k in zip(held, kinds, strict=True) if k == n)]) for n in range(1, order + 1)]
         if [len(c) for c in counts] != [len(g) for g in block.grams]:
             raise ValueError("the documents changed between two passes; write them to a table first")
         tokens, known, base, found = block.scores(counts, totals, settings)
