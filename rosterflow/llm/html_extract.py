@@ -2,11 +2,12 @@
 
 A page is parsed once into blocks of text. Every element outside the main content (``article``,
 ``main`` or ``role=main``; where a page has none, the whole body) is a subtree with a hash of its
-tags and text. Spark counts the subtrees of every host over pages of different content, and those
-that recur on many pages are deleted with all they hold. What is left of menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments is known by its tag, role or class names.
-Subtrees of the main content are not deleted for recurring, since articles share passages; only
-marked ones are.
+tags and text, and so is every run of text between two of its elements. Spark counts the subtrees of
+every host over pages of different content, and those that recur on many pages are deleted with all
+they hold, on pages with and without a main content. What is left of menus, headers, footers,
+sidebars, notices, adverts, forms and reader comments is known by its tag, role or class names; all
+other text stays, beside the main content too. Subtrees of the main content are not deleted for
+recurring, since articles share passages; only marked ones are.
 
 Text keeps every block of what remains, in page order. White space in a block becomes one space;
 ``br`` is white space. Null and empty html give the empty text. A null url is a host of its own
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm import arrays
 from rosterflow.llm.url_filter import host_of
+from rosterflow.operators.joins import small_side
 from rosterflow.session import materialise
 
 #: A subtree recurs if so many pages of different content of one host have it.
@@ -67,7 +69,7 @@ class Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.open: list[_Element] = [_Element("", False, False)]
-        self.blocks: list[tuple[str, bool]] = []
+        self.blocks: list[str] = []
         self.around: list[list[int]] = []
         self.subtrees: set[int] = set()
         self.text: list[str] = []
@@ -82,12 +84,19 @@ class Page(HTMLParser):
         self.text = []
         if words and not self.open[-1].dropped:
             place = len(self.blocks)
-            self.blocks.append((words, self.open[-1].guarded))
+            self.blocks.append(words)
             self.around.append([])
-            for element in self.open[1:]:
-                if not element.guarded:
+            if not self.open[-1].guarded:
+                self._subtree(xxhash.xxh3_64_intdigest(f"{self.open[-1].tag}\0{words}".encode("utf-8", "replace")), [place])
+                for element in self.open[1:]:
                     element.places.append(place)
 
+    def _subtree(self, value: int, places: list[int]) -> None:
+        signed = value - (1 << 64) if value >> 63 else value
+        self.subtrees.add(signed)
+        for place in places:
+            self.around[place].append(signed)
+
     def _end(self) -> None:
         element = self.open[-1]
         if element.tag in BLOCKS or element.dropped != self.open[-2].dropped:
@@ -96,10 +105,7 @@ class Page(HTMLParser):
         value = element.hash.intdigest()
         self.open[-1].hash.update(value.to_bytes(8, "little"))
         if not element.guarded and element.tag not in ("html", "body", *UNSEEN):
-            signed = value - (1 << 64) if value >> 63 else value
-            self.subtrees.add(signed)
-            for place in element.places:
-                self.around[place].append(signed)
+            self._subtree(value, element.places)
 
     def _close_to(self, depth: int) -> None:
         while len(self.open) > depth:
@@ -157,8 +163,8 @@ class Page(HTMLParser):
             element.hash.update(" ".join(data.split()).encode("utf-8", "replace"))
 
 
-_BLOCK = "struct<text:string,main:boolean,around:array<long>>"
-PARSED = {"blocks": f"array<{_BLOCK}>", "subtrees": "array<long>", "has_main": "boolean", "content": "long"}
+_BLOCK = "struct<text:string,around:array<long>>"
+PARSED = {"blocks": f"array<{_BLOCK}>", "subtrees": "array<long>", "loose": "boolean", "content": "long"}
 
 
 def _parsed(column: pa.Array) -> list[pa.Array]:
@@ -166,14 +172,12 @@ def _parsed(column: pa.Array) -> list[pa.Array]:
     counts = [len(p.blocks) if p else 0 for p in pages]
     blocks = [b for p in pages if p for b in p.blocks]
     around = [a for p in pages if p for a in p.around]
-    rows = pa.StructArray.from_arrays(
-        [pa.array([b[0] for b in blocks], pa.string()), pa.array([b[1] for b in blocks], pa.bool_()), pa.array(around, pa.list_(pa.int64()))], ["text", "main", "around"]
-    )
+    rows = pa.StructArray.from_arrays([pa.array(blocks, pa.string()), pa.array(around, pa.list_(pa.int64()))], ["text", "around"])
     bounds = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
     subtrees = pa.array([sorted(p.subtrees) if p else [] for p in pages], pa.list_(pa.int64()))
-    main = pa.array([bool(p) and any(b[1] for b in p.blocks) for p in pages])
-    content = pa.array(np.array([xxhash.xxh3_64_intdigest("\n".join(b[0] for b in p.blocks)) if p else 0 for p in pages], np.uint64).view(np.int64))
-    return [pa.ListArray.from_arrays(bounds, rows), subtrees, main, content]
+    loose = pa.array([p is not None and any(p.around) for p in pages], pa.bool_())
+    content = pa.array(np.array([xxhash.xxh3_64_intdigest("\n".join(p.blocks)) if p else 0 for p in pages], np.uint64).view(np.int64))
+    return [pa.ListArray.from_arrays(bounds, rows), subtrees, loose, content]
 
 
 def recurring(parsed: DataFrame, least_pages: int) -> DataFrame:
@@ -192,10 +196,11 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     parsed = arrays.with_columns(given, _parsed, PARSED, column="html", keep=tuple(c for c in given.columns if c != "html"))
     parsed = parsed.withColumn("host", host_of(F.col("url"))).withColumn("page_number", F.monotonically_increasing_id())
     parsed = materialise(parsed, "parsed-pages")
-    templates = recurring(parsed, least_pages)
-    # pages with a main content have no blocks elsewhere to lose: their text is the main blocks, and they join nothing
-    loose = parsed.filter(~F.col("has_main"))
-    found = loose.select("host", "page_number", F.explode("subtrees").alias("subtree")).join(templates, ["host", "subtree"])
+    templates = small_side(materialise(recurring(parsed, least_pages), "page-templates"))
+    # pages whose blocks are all of the main content have nothing that recurrence could delete, and join nothing
+    loose = parsed.filter("loose")
+    enclosing = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
+    found = loose.select("host", "page_number", F.explode(enclosing).alias("subtree")).join(templates, ["host", "subtree"])
     removed = found.groupBy("page_number").agg(F.collect_set("subtree").alias("removed"))
     kept = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("removed")), F.lit(False)))
     columns = [c for c in given.columns if c != "html"]
@@ -203,6 +208,6 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     def joined(blocks: Column) -> Column:
         return F.array_join(F.transform(blocks, lambda b: b["text"]), "\n\n").alias("text")
 
-    whole = parsed.filter("has_main").select(*columns, joined(F.filter("blocks", lambda b: b["main"])))
+    whole = parsed.filter("NOT loose").select(*columns, joined(F.col("blocks")))
     rest = loose.join(removed, "page_number", "left").select(*columns, joined(kept))
     return whole.unionByName(rest).withColumn("n_chars", F.length("text").cast("long"))

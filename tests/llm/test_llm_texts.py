@@ -222,6 +222,15 @@ def test_subtrees_that_recur_on_a_host_go(spark):
     assert extracted(spark, kept, least_pages=5) == [f"Own {i}\n\nPassage" for i in range(6)]
 
 
+def test_recurrence_decides_beside_an_article(spark):
+    def page(i):
+        beside = f"Site line<div><h2>Lead {i}</h2><p>Box of links</p></div>"
+        return PAGE.format(f"<div id=wrap>{beside}<article><p>Own {i}</p><p>Passage</p></article><div>Rights held<p>Second {i}</p></div><nav>menu</nav></div>")
+
+    texts = extracted(spark, [("http://h.x/%d" % i, page(i)) for i in range(6)], least_pages=5)
+    assert texts == [f"Lead {i}\n\nOwn {i}\n\nPassage\n\nSecond {i}" for i in range(6)]
+
+
 def test_no_pages(spark):
     frame = spark.createDataFrame([], "page_id long, url string, html string, host string")
     assert html_extract.extract(frame).isEmpty()
