@@ -3,7 +3,7 @@
 A page is parsed once into blocks of text. Every element outside the main content (``article``,
 ``main`` or ``role=main``; where a page has none, the whole body) is a subtree with a hash of its
 tags and text, and so is every run of text between two of its elements. Spark counts the subtrees of
-every host over pages of different content, and those that recur on many pages are deleted with all
+every host over pages of different content, and those that recur on half of them are deleted with all
 they hold, on pages with and without a main content. What is left of menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments is known by its tag, role or class names; all
 other text stays, beside the main content too. Subtrees of the main content are not deleted for
@@ -31,8 +31,10 @@ from rosterflow.llm.url_filter import host_of
 from rosterflow.operators.joins import small_side
 from rosterflow.session import materialise
 
-#: A subtree recurs if so many pages of different content of one host have it.
-LEAST_PAGES = 4
+#: A subtree recurs if so large a share of the pages of different content of one host have it,
+LEAST_SHARE = 0.5
+#: and so many pages at least: two pages that share a passage do not tell it from a template.
+LEAST_PAGES = 3
 
 #: Elements by what they are in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -180,13 +182,17 @@ def _parsed(column: pa.Array) -> list[pa.Array]:
     return [pa.ListArray.from_arrays(bounds, rows), subtrees, loose, content]
 
 
-def recurring(parsed: DataFrame, least_pages: int) -> DataFrame:
-    """``(host, subtree)`` that at least ``least_pages`` pages of different content of the host have."""
+def recurring(parsed: DataFrame, least_pages: int, least_share: float) -> DataFrame:
+    """``(host, subtree)`` that ``least_share`` of the pages of different content of the host have, and
+    at least ``least_pages`` of them."""
+    hosts = parsed.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("of"))
     seen = parsed.select("host", "content", F.explode("subtrees").alias("subtree")).distinct()
-    return seen.groupBy("host", "subtree").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages).select("host", "subtree")
+    counted = seen.groupBy("host", "subtree").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages)
+    shared = counted.join(small_side(materialise(hosts, "host-pages")), "host")
+    return shared.filter(F.col("pages") >= F.col("of") * least_share).select("host", "subtree")
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
+def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """All columns of ``pages`` but ``html``, ``text`` and ``n_chars``.
 
     Pages are parsed once and staged; only hashes are shuffled. A page is told by a number of
@@ -196,7 +202,7 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     parsed = arrays.with_columns(given, _parsed, PARSED, column="html", keep=tuple(c for c in given.columns if c != "html"))
     parsed = parsed.withColumn("host", host_of(F.col("url"))).withColumn("page_number", F.monotonically_increasing_id())
     parsed = materialise(parsed, "parsed-pages")
-    templates = small_side(materialise(recurring(parsed, least_pages), "page-templates"))
+    templates = small_side(materialise(recurring(parsed, least_pages, least_share), "page-templates"))
     # pages whose blocks are all of the main content have nothing that recurrence could delete, and join nothing
     loose = parsed.filter("loose")
     enclosing = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))

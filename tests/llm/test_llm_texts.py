@@ -231,6 +231,18 @@ def test_recurrence_decides_beside_an_article(spark):
     assert texts == [f"Lead {i}\n\nOwn {i}\n\nPassage\n\nSecond {i}" for i in range(6)]
 
 
+def test_passages_of_a_hot_host_are_no_template(spark):
+    def page(i):
+        return PAGE.format(f"<div>Site line</div><p>Own text {i}</p>" + "<p>Les.</p>" * (i % 4 == 0) + "<p>Shared passage</p>" * (i % 5 < 2))
+
+    hot = [("http://hot.x/%d" % i, page(i)) for i in range(60)]
+    few = [("http://few.x/%d" % i, PAGE.format(f"<div>Site line</div><p>Text {i}</p>")) for i in range(3)]
+    texts = extracted(spark, [*hot, *few])
+    for i in range(60):
+        assert texts[i].split("\n\n") == [f"Own text {i}"] + ["Les."] * (i % 4 == 0) + ["Shared passage"] * (i % 5 < 2)
+    assert texts[60:] == [f"Text {i}" for i in range(3)]
+
+
 def test_no_pages(spark):
     frame = spark.createDataFrame([], "page_id long, url string, html string, host string")
     assert html_extract.extract(frame).isEmpty()
