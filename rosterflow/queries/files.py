@@ -9,6 +9,8 @@ from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,8 +27,12 @@ from rosterflow.session import fresh_path, ship
 from rosterflow.sinks.tables import replaced_rows, replace_files, stored_files, with_point, write_table
 from rosterflow.sources.boundaries import read_boundaries, read_geojson
 from rosterflow.sources.delimited import data_rows, file_headers, files_without_rows, read_csv, read_gazetteer, stage_csv
+from rosterflow.sources.paths import plain_address
 from rosterflow.sources.workbook import decode_contents
 
+#: Rows of a shapefile layer at most.
+LAYER_ROWS = 10_000
+
 
 def customer_upload(t: Tables) -> DataFrame:
     """Customers as provider submission rows under canonical names, all text."""
@@ -242,19 +248,45 @@ def _little_double(values: pd.Series) -> pd.Series:
     return values.map(lambda v: struct.unpack("<d", bytes(v))[0])
 
 
-def _layers_of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Shapes and attribute records of one layer per batch of ``n_nationkey, s_suppkey, s_name``."""
-    for batch in batches:
-        shapes, records = b"", b""
-        for number, (x, key, name) in enumerate(batch.itertuples(index=False), 1):
-            ring = [x, 0, x, 1, x + 1, 1, x + 1, 0, x, 0]
-            content = struct.pack("<I4d2I", 5, 0, 0, 1, 1, 1, 5) + struct.pack("<I10d", 0, *ring)
-            shapes += struct.pack(">2I", number, len(content) // 2) + content
-            records += (b"*" if key % 5 == 0 else b" ") + str(key).ljust(10).encode() + f"ñ{name}".encode("latin-1").ljust(30)
-        fields = [("GEOID", 10), ("NAME", 30)]
-        described = b"".join(f.encode().ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([w]) + b"\0" * 15 for f, w in fields) + b"\r"
-        header = struct.pack("<4BIHH20x", 3, 0, 0, 0, len(batch), 32 + len(described), 41)
-        yield pd.DataFrame({"shp": [b"\0" * 100 + shapes], "dbf": [header + described + records]})
+def _layer(rows: pd.DataFrame) -> dict[str, bytes]:
+    """Parts of the layer that holds rows of ``n_nationkey, s_suppkey, s_name``."""
+    shapes, records = [], []
+    for number, (x, key, name) in enumerate(rows.itertuples(index=False), 1):
+        ring = [x, 0, x, 1, x + 1, 1, x + 1, 0, x, 0]
+        content = struct.pack("<I4d2I", 5, 0, 0, 1, 1, 1, 5) + struct.pack("<I10d", 0, *ring)
+        shapes.append(struct.pack(">2I", number, len(content) // 2) + content)
+        records.append((b"*" if key % 5 == 0 else b" ") + str(key).ljust(10).encode() + f"ñ{name}".encode("latin-1").ljust(30))
+    fields = [("GEOID", 10), ("NAME", 30)]
+    described = b"".join(f.encode().ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([w]) + b"\0" * 15 for f, w in fields) + b"\r"
+    header = struct.pack("<4BIHH20x", 3, 0, 0, 0, len(rows), 32 + len(described), 41)
+    return {
+        "shp": b"\0" * 100 + b"".join(shapes),
+        "dbf": header + described + b"".join(records),
+        "cpg": b"ISO-8859-1",
+        "prj": b'GEOGCS["GCS_North_American_1983"]',
+    }
+
+
+def write_layers(rows: DataFrame, folder: str, layer_rows: int = LAYER_ROWS) -> None:
+    """Rows as layers of at most ``layer_rows`` each, written where the rows are.
+
+    A layer is named by its partition and its place there, so a task that runs again
+    writes the same files.
+    """
+
+    def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = fs.FileSystem.from_uri(plain_address(folder))
+        place, number = f"{root}/{TaskContext.get().partitionId()}", 0
+        system.create_dir(place)
+        for batch in batches:
+            for start in range(0, len(batch), layer_rows):
+                for suffix, content in _layer(batch.iloc[start : start + layer_rows]).items():
+                    with system.open_output_stream(f"{place}/layer{number}.{suffix}") as out:
+                        out.write(content)
+                number += 1
+        yield pd.DataFrame({"layers": [number]})
+
+    rows.mapInPandas(written, "layers long").write.format("noop").mode("overwrite").save()
 
 
 @query("""
@@ -262,26 +294,12 @@ SELECT CAST(s_suppkey AS VARCHAR) AS geoid, 'ñ' || s_name AS name, 2025 AS sour
        CAST(s_nationkey AS DOUBLE) AS x0, CAST(s_nationkey + 1 AS DOUBLE) AS x1 FROM supplier WHERE s_suppkey % 5 <> 0
 """)
 def io_shapefile(t):
-    """Suppliers as one layer of a folder with two more, a fifth of its records deleted,
-    names in another code page; the corners of every square are compared."""
+    """Suppliers as a folder of layers of bounded size, a fifth of the records deleted, names
+    in another code page; the corners of every square are compared."""
     folder = fresh_path(t.spark, "layers")
     ship(t.spark)
-    rows = t.supplier.select(F.col("s_nationkey").cast("int"), "s_suppkey", "s_name").coalesce(1)
-    size = rows.count()
-    t.spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size + 1)
-    try:
-        (layer,) = rows.mapInPandas(_layers_of_batches, "shp binary, dbf binary").collect()
-    finally:
-        t.spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    paths = t.spark._jvm.org.apache.hadoop.fs
-    system = paths.Path(folder).getFileSystem(t.spark._jsc.hadoopConfiguration())
-    parts = {"shp": bytes(layer.shp), "dbf": bytes(layer.dbf), "cpg": b"ISO-8859-1", "prj": b'GEOGCS["GCS_North_American_1983"]'}
-    for stem in ("county", "subcounty", "old/county"):
-        for suffix, content in parts.items():
-            out = system.create(paths.Path(f"{folder}/{stem}.{suffix}"))
-            out.write(bytearray(content))
-            out.close()
-    table = boundary_table(read_boundaries(t.spark, f"{folder}/county.shp"), 2025)
+    write_layers(t.supplier.select(F.col("s_nationkey").cast("int"), "s_suppkey", "s_name"), folder)
+    table = boundary_table(read_boundaries(t.spark, folder), 2025)
     # one polygon of one ring: its points begin after 9 + 9 + 4 bytes
     corners = [_little_double(F.substring("geom", 23 + 16 * i, 8)) for i in (0, 2)]
     return table.select("geoid", "name", "source_year", corners[0].alias("x0"), corners[1].alias("x1"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rosterflow import schemas as S
 from rosterflow.plans import jobs
 from rosterflow.plans.geography import boundary_columns, boundary_table, boundaries_with_county, gazetteer_table
-from rosterflow.queries.files import workbook_bytes
+from rosterflow.queries.files import workbook_bytes, write_layers
 from rosterflow.sources import boundaries, delimited, workbook
 from rosterflow.sources.paths import read_path
 
@@ -290,6 +290,19 @@ def test_code_pages_deleted_records_and_unequal_parts(spark, folder):
         boundaries.read_boundaries(spark, f"{folder}/b.shp").collect()
 
 
+def test_layers_are_bounded_and_written_by_tasks(spark, folder):
+    import glob
+    from rosterflow.session import ship
+
+    ship(spark)
+    rows = spark.range(0, 95, 1, 3).selectExpr("CAST(id AS INT) AS n_nationkey", "id AS s_suppkey", "concat('s', id) AS s_name")
+    write_layers(rows, f"{folder}/layers", layer_rows=10)
+    counts = [struct.unpack("<I", open(p, "rb").read()[4:8])[0] for p in glob.glob(f"{folder}/layers/*/*.dbf")]
+    assert len(counts) == 12 and max(counts) == 10 and sum(counts) == 95
+    read = boundary_table(boundaries.read_boundaries(spark, f"{folder}/layers"), 2025)
+    assert rows_of(read, "geoid", "name") == sorted(((str(i), f"ñs{i}") for i in range(95) if i % 5), key=str)
+
+
 def test_any_damage_of_a_workbook_is_its_own(spark, folder):
     good = workbook_bytes({"S": [["a", "b"]]})
     bad_reference = good.replace(b"PK", b"PK")
