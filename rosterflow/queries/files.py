@@ -32,6 +32,8 @@ from rosterflow.sources.workbook import decode_contents
 
 #: Rows of a shapefile layer at most.
 LAYER_ROWS = 10_000
+#: Rows of a damaged file, about, if all rows are of one part.
+FILE_ROWS = 20_000
 
 
 def customer_upload(t: Tables) -> DataFrame:
@@ -95,6 +97,17 @@ def io_row_numbers(t):
     )
 
 
+def write_parts(rows: DataFrame, folder: str, header: str, file_rows: int = FILE_ROWS) -> None:
+    """``part, key, line`` as files of bounded size, dealt by a hash of the key: the header,
+    then every line and a blank one after it, in order."""
+    files = -(-rows.count() // file_rows)
+    dealt = rows.select("part", F.pmod(F.xxhash64("key"), F.lit(max(files, 1))).alias("file"), F.concat("line", F.lit("\n")).alias("value"))
+    headers = dealt.select("part", "file").distinct().select("part", "file", F.lit(header).alias("value"), F.lit(0).alias("place"))
+    lines = headers.unionByName(dealt.withColumn("place", F.lit(1))).repartition("part", "file")
+    ordered = lines.sortWithinPartitions("part", "file", "place", "value").drop("place")
+    ordered.write.partitionBy("part", "file").text(folder)
+
+
 @query("""
 WITH f AS (SELECT c_custkey, c_name, 'part' || CAST(c_nationkey % 4 AS VARCHAR) || '.csv' AS source_file FROM customer),
 kept AS (SELECT source_file, c_custkey, c_name, c_custkey % 7 = 0 AS open FROM f)
@@ -111,17 +124,15 @@ def io_damaged_csv(t):
     ).otherwise(F.col("c_name"))
     line = F.concat_ws(",", F.col("c_custkey").cast("string"), name)
     header = ",".join(["h"] * (len(S.PROVIDER_COLUMNS) - 1) + [""])
-    text = t.customer.groupBy((F.col("c_nationkey") % 4).alias("part")).agg(F.array_join(F.array_sort(F.collect_list(line)), "\n\n").alias("body"))
-    for part in range(4):
-        body = text.filter(F.col("part") == part).select(F.concat(F.lit(header + "\n"), "body").alias("value"))
-        body.coalesce(1).write.text(f"{folder}/{part}")
+    rows = t.customer.select((F.col("c_nationkey") % 4).alias("part"), F.col("c_custkey").alias("key"), line.alias("line"))
+    write_parts(rows, f"{folder}/parts", header)
     fs = t.spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs.getFileSystem(t.spark._jsc.hadoopConfiguration()).create(t.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/zero.csv")).close()
-    paths = [*(f"{folder}/{part}" for part in range(4)), f"{folder}/zero.csv"]
+    paths = [f"{folder}/parts/part=*/file=*", f"{folder}/zero.csv"]
     staged = stage_csv(t.spark, paths, "provider")
     headers = file_headers(staged, "provider", files_without_rows(t.spark, paths, staged))
     address = F.col("source_file")
-    file = F.when(address.endswith("zero.csv"), "zero.csv").otherwise(F.concat(F.lit("part"), F.regexp_extract(address, "/([0-9])/[^/]*$", 1), F.lit(".csv")))
+    file = F.when(address.endswith("zero.csv"), "zero.csv").otherwise(F.concat(F.lit("part"), F.regexp_extract(address, "/part=([0-9])/[^/]*/[^/]*$", 1), F.lit(".csv")))
     rows = data_rows(staged).withColumn("file", file)
     code, read = F.col("ssa_state_county_code"), F.col("name_of_physician_or_mid_level_practitioner")
     issues = header_issues(headers).select(file.alias("source_file"), F.lit("issue").alias("kind"), F.col("row_index").cast("string").alias("code"), F.col("message").alias("detail"))

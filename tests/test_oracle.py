@@ -3,7 +3,7 @@
 import oracle
 import pytest
 
-from rosterflow.queries import QUERIES, SQL
+from rosterflow.queries import QUERIES, SQL, files
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -22,6 +22,12 @@ def test_query_matches_sql(spark, db, name):
         assert not df.isEmpty()
 
 
+def test_damaged_csv_in_many_files(spark, db, monkeypatch):
+    write = files.write_parts
+    monkeypatch.setattr(files, "write_parts", lambda rows, folder, header: write(rows, folder, header, file_rows=20))
+    assert oracle.differences(QUERIES["io_damaged_csv"](spark, FOLDER), db, SQL["io_damaged_csv"]) == []
+
+
 def test_no_sql_without_a_query():
     assert set(SQL) <= set(QUERIES)
 

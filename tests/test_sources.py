@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rosterflow import schemas as S
 from rosterflow.plans import jobs
 from rosterflow.plans.geography import boundary_columns, boundary_table, boundaries_with_county, gazetteer_table
-from rosterflow.queries.files import workbook_bytes, write_layers
+from rosterflow.queries.files import workbook_bytes, write_layers, write_parts
 from rosterflow.sources import boundaries, delimited, workbook
 from rosterflow.sources.paths import read_path
 
@@ -303,6 +303,22 @@ def test_layers_are_bounded_and_written_by_tasks(spark, folder):
     assert rows_of(read, "geoid", "name") == sorted(((str(i), f"ñs{i}") for i in range(95) if i % 5), key=str)
 
 
+def test_parts_are_bounded_files_with_a_header_first(spark, folder):
+    import glob
+
+    rows = spark.range(0, 400, 1, 3).selectExpr("IF(id < 360, 0, 1) AS part", "id AS key", "concat(id, IF(id % 5 = 0, ',\"a\nb\"', ',a')) AS line")
+    write_parts(rows, f"{folder}/parts", "h,", file_rows=50)
+    files = [open(p).read() for p in glob.glob(f"{folder}/parts/part=0/file=*/*.txt")]
+    assert len(files) == 8 == len(glob.glob(f"{folder}/parts/part=0/file=*"))
+    assert len(glob.glob(f"{folder}/parts/part=1/file=*/*.txt")) == len(glob.glob(f"{folder}/parts/part=1/file=*"))
+    found = []
+    for text in files:
+        head, *lines = text.removesuffix("\n\n").replace(',"a\nb"', ',"a b"').replace("h,\n", "h,\n\n", 1).split("\n\n")
+        assert head == "h," and lines == sorted(lines) and len(lines) < 90
+        found += [int(v.split(",")[0]) for v in lines]
+    assert sorted(found) == list(range(360))
+
+
 def test_any_damage_of_a_workbook_is_its_own(spark, folder):
     good = workbook_bytes({"S": [["a", "b"]]})
     bad_reference = good.replace(b"PK", b"PK")
