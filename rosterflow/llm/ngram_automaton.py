@@ -1,10 +1,11 @@
-"""Language-model scores by a weighted backoff automaton of word n-grams.
+"""Language-model scores of a weighted backoff automaton of word n-grams, evaluated place by place.
 
-Every history seen in training is a state. A state has an arc for each word seen after it,
-weighted by the smoothed probability, and a failure arc to the state of the next shorter
-history, weighted by what the smoothing leaves for it. A text is read once from left to right:
-the state after a word is the longest history that is a state, and the log10 weights of the
-arcs taken add up to the score. With counts c and strength S,
+In the automaton every history seen in training is a state, with an arc for each word seen after
+it and a failure arc to the next shorter history, and the log10 weights of the arcs taken add up
+to the score. No states or arcs are built here and no state is carried along a text: the weight at
+every place is interpolated from the counts of the n-grams that end there, order by order over
+whole arrays, which for this smoothing is the weight the automaton gives. The order is
+``Settings.order``, 2 unless told otherwise: one word of context. With counts c and strength S,
 
     p(w | h) = (c(h w) + S p(w | shorter h)) / (c(h) + S)
 
@@ -15,7 +16,7 @@ Counts are exact and cover all training texts. The model grows with the corpus,
 held in one place. Documents are cut into blocks; a block's distinct n-grams, with its own
 training counts, go to buckets of their hash, where the counts of all blocks are added up and
 answered to each block in the order asked. Blocks then meet their answers and are scored, each
-with just the part of the automaton that its texts can reach. Common words cost one entry a
+with just the counts of its own n-grams. Common words cost one entry a
 block, so no bucket depends on how often a word occurs.
 
 The documents are read twice and must give the same rows in the same partitions both times, as
