@@ -11,6 +11,7 @@ are allowed. Columns that the operator makes replace columns of the same names;
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -45,6 +46,11 @@ CANONICAL_TAG = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 REFRESH_TAG = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 CANONICAL_TARGET = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH_TARGET = r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)"""
+#: The element that names what relative targets are relative to; its target is read as a canonical link's.
+BASE_TAG = r"""(?is)<base\b[^>]*\bhref\s*=[^>]*>"""
+#: Character references and what lies between them, and those that are decoded by name.
+_REFERENCES = r"(?s)&#[0-9]{1,7};?|&#[xX][0-9a-fA-F]{1,6};?|&[a-zA-Z]+;|[^&]+|&"
+_NAMED = {"&amp;": "&", "&AMP;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'"}
 
 
 def host_of(url: Column) -> Column:
@@ -75,21 +81,79 @@ def verdict_of(rule: Column, rules: list[Rule]) -> Column:
     return out
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that stands once in the plan, however often ``use`` takes it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def decoded(text: Column) -> Column:
+    """Numeric character references and the named ones of markup as their characters."""
+
+    def one(piece: Column) -> Column:
+        digits = F.regexp_extract(piece, "^&#([0-9]+);?$", 1)
+        hexadecimal = F.regexp_extract(piece, "^&#[xX]([0-9a-fA-F]+);?$", 1)
+        code = F.coalesce(F.conv(F.nullif(hexadecimal, F.lit("")), 16, 10), F.nullif(digits, F.lit(""))).cast("long")
+
+        def character(c: Column) -> Column:
+            valid = c.between(1, 0xD7FF) | c.between(0xE000, 0x10FFFF)
+            return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, c).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+
+        out = F.when(piece.rlike("^&#[xX]?[0-9a-fA-F]+;?$"), _once(code, character))
+        for name, value in _NAMED.items():
+            out = out.when(piece == name, value)
+        return out.otherwise(piece)
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_REFERENCES), F.lit(0)), one), "")
+
+
+def _without_dots(path: Column) -> Column:
+    """A path that begins with a slash, its ``.`` and ``..`` segments resolved."""
+
+    def step(held: Column, part: Column) -> Column:
+        up = F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0)))
+        return F.when(part == ".", held).when(part == "..", up).otherwise(F.concat(held, F.array(part)))
+
+    # a last segment of dots names a folder
+    parts = F.split(F.regexp_replace(F.substring(path, 2, 1 << 30), r"(^|/)(\.\.?)$", "$1$2/"), "/")
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/"))
+
+
+def resolved(base: Column, target: Column) -> Column:
+    """The URL that a target names in a document of URL ``base``; null if it has a scheme but no host."""
+    return _once(base, lambda b: _once(target, lambda t: _resolved(b, t)))
+
+
+def _resolved(base: Column, target: Column) -> Column:
+    path, rest = F.regexp_extract(target, "(?s)^([^?#]*)", 1), F.regexp_extract(target, "(?s)^[^?#]*(.*)$", 1)
+    site, own = F.concat(F.lit("x://"), host_of(base)), path_of(base)
+    folder = F.when(own == "", "/").otherwise(F.regexp_extract(own, "(?s)^(.*/)", 1))
+    return (
+        F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target))
+        .when(F.startswith(target, F.lit("//")), F.concat(F.lit("x:"), target))
+        .when((path == "") & F.startswith(rest, F.lit("?")), F.concat(site, own, rest))
+        .when(path == "", base)
+        .when(F.startswith(path, F.lit("/")), F.concat(site, _without_dots(path), rest))
+        .otherwise(F.concat(site, _without_dots(F.concat(folder, path)), rest))
+    )
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """Distinct ``(src, dst)`` resources tied by a canonical link or a redirect in a page.
 
-    Targets may be absolute, begin with ``//``, or with ``/`` for the page's own host; others are left out.
+    Targets may be absolute or relative to the page, or to what its first ``base`` names; character
+    references in them are decoded. Targets with a scheme but no host are left out.
     """
     html = F.col("html")
     tags = F.concat(
         F.transform(F.regexp_extract_all(html, F.lit(CANONICAL_TAG), F.lit(0)), lambda t: F.regexp_extract(t, CANONICAL_TARGET, 1)),
         F.transform(F.regexp_extract_all(html, F.lit(REFRESH_TAG), F.lit(0)), lambda t: F.regexp_extract(t, REFRESH_TARGET, 1)),
     )
-    found = pages.filter(html.isNotNull()).select("url", resource_of(F.col("url")).alias("src"), F.explode(tags).alias("target"))
-    target = F.col("target")
-    full = F.when(F.startswith(target, F.lit("//")), F.concat(F.lit("x:"), target))
-    full = full.when(F.startswith(target, F.lit("/")), F.concat(F.lit("x://"), host_of(F.col("url")), target)).otherwise(target)
-    return found.select("src", resource_of(full).alias("dst")).filter(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst"))).distinct()
+    named = decoded(F.regexp_extract(F.regexp_extract(html, BASE_TAG, 0), CANONICAL_TARGET, 1))
+    found = pages.filter(html.isNotNull()).select("url", resource_of(F.col("url")).alias("src"), F.when(F.size(tags) > 0, named).alias("named"), F.explode(tags).alias("target"))
+    found = found.filter(F.col("src").isNotNull() & (F.col("target") != ""))
+    base = F.when(F.col("named") != "", resolved(F.col("url"), F.col("named")))
+    found = found.select("src", F.coalesce(base, F.col("url")).alias("base"), decoded(F.col("target")).alias("target"))
+    return found.select("src", _once(resolved(F.col("base"), F.col("target")), resource_of).alias("dst")).filter(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst"))).distinct()
 
 
 def judge(pages: DataFrame, rules: list[Rule], links: DataFrame | None = None) -> DataFrame:

@@ -65,6 +65,30 @@ def _literal(value):
     return "NULL::VARCHAR" if value is None else str(value) if isinstance(value, int) else "'" + value.replace("'", "''") + "'"
 
 
+@pytest.mark.parametrize(
+    "url, html, dst",
+    [
+        ("http://h.com/a/b?q", "<link rel=canonical href=page2>", "h.com/a/page2"),
+        ("http://h.com", "<link rel=canonical href=page2#top>", "h.com/page2"),
+        ("http://h.com/a/b/c", "<link rel=canonical href='../x'>", "h.com/a/x"),
+        ("http://h.com/a/b/c", "<meta http-equiv=refresh content='0; url=./../../../..'>", "h.com/"),
+        ("http://h.com/a/b/", "<link rel=canonical href='.'>", None),
+        ("http://h.com/a/b", "<link rel=canonical href='?id=3'>", "h.com/a/b?id=3"),
+        ("http://h.com/a/b", "<link rel=canonical href='/x/./y/../z?u=../v'>", "h.com/x/z?u=../v"),
+        ("http://h.com/a", "<link rel=canonical href='p?u=http://o.com/'>", "h.com/p?u=http://o.com/"),
+        ("http://h.com/a", '<link rel=canonical href="http://a/x?b=1&amp;c=2&#38;d&#x3D;&#233;&bogus;&#1114112;">', "a/x?b=1&c=2&d=\u00e9&bogus;\ufffd"),
+        ("http://h.com/a", "<base href='//o.com/d/'><link rel=canonical href=e>", "o.com/d/e"),
+        ("http://h.com/a/b", "<base target=t><base href='c/'><link rel=canonical href=e>", "h.com/a/c/e"),
+        ("http://h.com/a/b", "<base href='/d/'><link rel=canonical href='#f'>", "h.com/d/"),
+        ("http://h.com/a", "<base href='/d'><link rel=canonical>", None),
+        ("http://h.com/a", "<link rel=canonical href='mailto:x@y'><link rel=canonical href='#f'>", None),
+    ],
+)
+def test_targets_of_links_are_resolved(spark, url, html, dst):
+    pages = spark.createDataFrame([(url, html)], "url string, html string")
+    assert [r["dst"] for r in url_filter.page_links(pages).collect()] == ([dst] if dst else [])
+
+
 def test_an_allowed_alias_wins_over_a_blocked_one(spark):
     pages = spark.createDataFrame([(1, "http://plain.com/"), (2, "http://q.com/")], "page_id int, url string")
     links = spark.createDataFrame([("plain.com/", "bad.net/"), ("plain.com/", "good.org/fr/"), ("q.com/", "bad.net/x")], "src string, dst string")
