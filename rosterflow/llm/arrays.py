@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rosterflow.session import ship
+
 #: Text bytes handled at a time in a task; a longer text is handled alone.
 BLOCK_BYTES = 1_000_000
 #: Bytes whose prefix sums are held at a time.
@@ -253,8 +255,13 @@ def spread(first: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(total) + np.repeat(first[picked] - ends + lengths, lengths), lengths
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Bound the bytes of the batches that tasks are given, where the session does not: rows of long texts add up."""
+def prepare(spark: SparkSession) -> None:
+    """Make a session fit for the functions that run in its tasks.
+
+    Workers get this package, and the bytes of the batches that tasks are given are bounded
+    where the session does not bound them: rows of long texts add up.
+    """
+    ship(spark)
     if spark.conf.get(_BATCH_BYTES, None) is None:
         spark.conf.set(_BATCH_BYTES, str(8 << 20))
 
@@ -273,7 +280,7 @@ def with_columns(
     names the columns to go on with, all of them if it is not given. ``limit`` is about the
     number of text bytes that ``compute`` is given at a time.
     """
-    bound_batches(frame.sparkSession)
+    prepare(frame.sparkSession)
     given = frame.drop(*(name for name in added if name != column)).withColumn(column, F.col(column).cast("string"))
     names = [c for c in given.columns if (keep is None or c in keep) and c not in added]
     at = given.columns.index(column)

@@ -148,7 +148,7 @@ def confirm(pairs: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     """The pairs ``(src, dst)`` whose full sets have the wanted similarity; an id with several texts links by any of them."""
     members = _with_text(pairs.select("src", "dst"), documents, "src").withColumnRenamed("text", "text_a")
     heads = _with_text(pairs.select("dst").distinct(), documents, "dst").withColumnRenamed("text", "text_b")
-    arrays.bound_batches(documents.sparkSession)
+    arrays.prepare(documents.sparkSession)
     both = members.join(heads.hint("merge"), "dst").select("src", "dst", "text_a", "text_b")
 
     def part(batches):

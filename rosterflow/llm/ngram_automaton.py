@@ -195,7 +195,7 @@ SCORES = {"n_tokens": "long", "n_known": "long", "train_tokens": "long", "base_s
 def score(documents: DataFrame, training: Column, settings: Settings | None = None) -> DataFrame:
     """All columns of ``documents`` but ``text``, and ``SCORES``; the model learns where ``training`` holds."""
     settings = settings or Settings()
-    arrays.bound_batches(documents.sparkSession)
+    arrays.prepare(documents.sparkSession)
     frame = documents.drop(*SCORES, "training", "block").withColumn("text", F.col("text").cast("string")).withColumn("training", F.coalesce(training, F.lit(False)))
     answers, totals, _ = count(frame, settings)
     names = [c for c in frame.columns if c not in ("text", "training")]

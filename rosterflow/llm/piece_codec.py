@@ -446,6 +446,7 @@ def encode(documents: DataFrame, model: PieceModel, keep: tuple[str, ...] | None
 
 def decode(frame: DataFrame, model: PieceModel) -> DataFrame:
     """All columns and ``decoded``, the text of the pieces in ``ids``; null or empty lists give the empty text."""
+    arrays.prepare(frame.sparkSession)
     kept = frame.drop("decoded").withColumn("ids", F.col("ids").cast("array<int>"))
     at, shared = kept.columns.index("ids"), frame.sparkSession.sparkContext.broadcast(model)
 

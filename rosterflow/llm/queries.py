@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import decontaminate, html_extract, license_scan, near_dedup, ngram_automaton, piece_codec, quality_classifier, quality_rules, toxicity, url_filter
+from rosterflow.llm import decontaminate, html_extract, license_scan, near_dedup, ngram_automaton, piece_codec, prefix_trie, quality_classifier, quality_rules, toxicity, url_filter
 from rosterflow.llm.learning import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,3 +216,51 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
     spans = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["word"], m["length"]))
     return matched.select("doc_id", F.size("matches").cast("long").alias("n_matches"), F.array_join(names, ",").alias("licenses"), F.array_join(spans, ";").alias("spans"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+SQL["op13_prefix_trie"] = r"""
+WITH crc_table AS (
+  SELECT list(v ORDER BY i) AS t
+  FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(256)) AS i))
+),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (SELECT conv_id, conv_id - conv_id % 20 AS base, list({'role': role, 'text': text} ORDER BY place) AS said FROM turns GROUP BY conv_id),
+crcs AS (
+  SELECT conv_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))), lambda c, x: xor(t[CAST(xor(c, x) & 255 AS INTEGER) + 1], c >> 8)), 4294967295) AS crc
+  FROM own, crc_table
+),
+rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.said, [])[1:CAST(crc % 4 AS INTEGER)], o.said[CAST(crc % 4 AS INTEGER) + 1:]) AS said
+  FROM own o JOIN crcs USING (conv_id) LEFT JOIN own b ON b.conv_id = o.base
+),
+steps AS (
+  SELECT conv_id, depth, said[1:depth] AS prefix, len(said) = depth AS ends, CASE WHEN depth > 0 THEN len(regexp_extract_all(said[depth].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+  FROM (SELECT conv_id, said, unnest(range(0, len(said) + 1)) AS depth FROM rebuilt)
+),
+members AS (SELECT conv_id AS member, depth, min(conv_id) OVER (PARTITION BY prefix) AS conv_id, ends, words FROM steps),
+nodes AS (
+  SELECT conv_id, depth, count(*) AS n_convs, max(words) AS words, coalesce(string_agg(CAST(member AS VARCHAR), ',' ORDER BY member) FILTER (WHERE ends), '') AS end_ids
+  FROM members GROUP BY conv_id, depth
+),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN members p ON p.member = n.conv_id AND p.depth = n.depth - 1
+),
+children AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY 1, 2),
+counted AS (SELECT l.*, coalesce(c.n_children, 0) AS n_children FROM linked l LEFT JOIN children c ON c.conv_id = l.conv_id AND c.depth = l.depth),
+sums AS (
+  SELECT a.conv_id, a.depth, sum(CASE WHEN v.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((v.n_convs - 1) * v.words) AS saved_tokens
+  FROM counted v JOIN members a ON a.member = v.conv_id AND a.depth <= v.depth GROUP BY 1, 2
+)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, c.parent_conv_id, CAST(c.n_convs AS BIGINT) AS n_convs, CAST(c.n_children AS BIGINT) AS n_children,
+  CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(c.end_ids) AS ends_sha256
+FROM counted c JOIN sums s ON s.conv_id = c.conv_id AND s.depth = c.depth
+"""

@@ -94,7 +94,7 @@ def document_counts(labelled: DataFrame, settings: Settings) -> tuple[np.ndarray
         yield pd.DataFrame({"chunk": [key[0]], "rows": [rows], "have": [total]})
 
     schema = "chunk int, rows long, have array<long>"
-    arrays.bound_batches(labelled.sparkSession)
+    arrays.prepare(labelled.sparkSession)
     parts = labelled.select("text", "label").mapInArrow(part, schema).groupBy("chunk").applyInPandas(summed, schema).collect()
     have, rows = np.zeros((2, size)), np.zeros(2)
     for row in parts:
