@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import decontaminate, html_extract, license_scan, near_dedup, ngram_automaton, piece_codec, prefix_trie, quality_classifier, quality_rules, toxicity, url_filter
+from rosterflow.llm import decontaminate, html_extract, license_scan, near_dedup, ngram_automaton, piece_codec, prefix_trie, quality_classifier, quality_rules, sorted_passes, toxicity, url_filter
 from rosterflow.llm.learning import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,6 +218,32 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matched.select("doc_id", F.size("matches").cast("long").alias("n_matches"), F.array_join(names, ",").alias("licenses"), F.array_join(spans, ";").alias("spans"))
 
 
+@query
+def op11_sorted_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector among the vectors of its label."""
+    linked = sorted_passes.link(table(spark, sf_dir, "embeddings"))
+    return linked.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+SQL["op11_sorted_passes"] = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS place, vec_id, label, CAST(embedding AS DOUBLE[]) AS x,
+    coalesce(label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0, false) AS fit
+  FROM embeddings
+),
+links AS (
+  SELECT a.place AS one, a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND len(a.x) = len(b.x) AND a.place <> b.place
+  WHERE a.fit AND b.fit AND list_dot_product(a.x, b.x) / sqrt(list_dot_product(a.x, a.x) * list_dot_product(b.x, b.x)) >= 0.93
+),
+counts AS (SELECT one, count(*) AS n_links FROM links GROUP BY one),
+reach AS (SELECT x AS node, x AS seen FROM links UNION SELECT l.y, r.seen FROM reach r JOIN links l ON r.node = l.x),
+least_seen AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(CASE WHEN fit THEN component END, vec_id) AS component_id,
+  coalesce(vec_id = coalesce(CASE WHEN fit THEN component END, vec_id), true) AS kept
+FROM v LEFT JOIN counts ON counts.one = v.place LEFT JOIN least_seen ON least_seen.node = v.vec_id
+"""
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the trie of all rebuilt conversations."""
