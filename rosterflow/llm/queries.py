@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import decontaminate, html_extract, license_scan, near_dedup, ngram_automaton, piece_codec, prefix_trie, quality_classifier, quality_rules, sorted_passes, toxicity, url_filter
+from rosterflow.llm import decontaminate, html_extract, license_scan, near_dedup, ngram_automaton, phrase_transducers, piece_codec, prefix_trie, quality_classifier, quality_rules, sorted_passes, toxicity, url_filter
 from rosterflow.llm.learning import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -244,6 +244,39 @@ FROM v LEFT JOIN counts ON counts.one = v.place LEFT JOIN least_seen ON least_se
 """
 
 
+@query
+def op12_phrase_transducers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best phrases of every language, with the counts of their parts."""
+    return phrase_transducers.phrases(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+SQL["op12_phrase_transducers"] = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?
+-]')) AS piece FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, size, array_to_string(w[p:p + size - 1], ' ') AS phrase, w[p:p + size - 1] AS words
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM w, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size)
+),
+f AS (SELECT lang, size, phrase, any_value(words) AS words, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY lang, size, phrase),
+totals AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, words, f AS a FROM f WHERE size > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.size, c.a, k, l.f AS l, r.f AS r, (1000000 * c.a * c.a) // (l.f * r.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:k], ' ') AND l.size = k
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[k + 1:], ' ') AND r.size = c.size - k
+),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, phrase, max(longer) AS longer FROM (SELECT lang, a AS longer, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase FROM c WHERE size = 3) GROUP BY lang, phrase),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN inside ON inside.lang = lowest.lang AND inside.phrase = lowest.phrase WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT k.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) k JOIN totals t ON t.lang = k.lang WHERE rank <= 2000
+"""
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the trie of all rebuilt conversations."""

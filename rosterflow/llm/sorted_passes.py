@@ -187,7 +187,8 @@ def _compared(rows: pa.Table, first: int) -> Iterator[pa.RecordBatch]:
         return
     words = rows.column("short").combine_chunks()
     sizes = pc.binary_length(words).to_numpy(zero_copy_only=False)
-    parts = [rows.column(c).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in ("room", "turn", "bound")]
+    codes = [rows.column(c).combine_chunks().dictionary_encode("encode") for c in ("room", "turn", "bound")]
+    parts = [c.indices.to_numpy(zero_copy_only=False) for c in codes]
     group = np.cumsum(np.concatenate([[0], np.any([np.diff(p) != 0 for p in parts], axis=0)]))
     node, scale, error = (rows.column(c).to_numpy() for c in ("node", "scale", "error"))
     bounds = np.concatenate([[0], np.flatnonzero(np.diff(sizes)) + 1, [len(sizes)]])
