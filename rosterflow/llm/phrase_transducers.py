@@ -216,7 +216,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for code, lang in enumerate(shard.langs):
             counts = np.bincount(shard.ids[shard.lang == code], minlength=len(shard.lexicon))
             some = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some)), shard.lexicon.take(pa.array(some)).cast(pa.string()), pa.array(counts[some])], ["lang", "phrase", "f"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), shard.lexicon.take(pa.array(some)).cast(pa.string()), pa.array(counts[some])], ["lang", "phrase", "f"])
 
 
 def _cuts(lexicon: list[bytes], bounds: list[Bound]) -> np.ndarray:

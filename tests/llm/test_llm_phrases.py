@@ -104,7 +104,7 @@ def test_composition_finds_the_weights_of_paths():
 
 
 def test_ranges_split_a_common_word(spark):
-    words = spark.createDataFrame([("en", "the", 900), *(("en", f"w{i:03}", 1) for i in range(100))], "lang string, phrase string, f long")
+    words = spark.createDataFrame([("en", "the", 400), *(("en", f"w{i:03}", 1) for i in range(600))], "lang string, phrase string, f long")
     bounds = pt.range_bounds(words, 1000, 100)
-    assert 5 <= sum(b[1] == b"the" for b in bounds) <= 9
-    assert bounds == sorted(set(bounds))
+    assert 3 <= sum(b[1] == b"the" for b in bounds) <= 5
+    assert 7 <= len(bounds) <= 10 and bounds == sorted(set(bounds))
