@@ -1,17 +1,27 @@
 """Main text of web pages by removing the templates of their sites.
 
-A page is parsed once into blocks of text. Every element outside the main content (``article``,
-``main`` or ``role=main``; where a page has none, the whole body) is a subtree with a hash of its
-tags and text, and so is every run of text between two of its elements. Spark counts the subtrees of
-every host over pages of different content, and those that recur on half of them are deleted with all
-they hold, on pages with and without a main content. What is left of menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments is known by its tag, role or class names; all
-other text stays, beside the main content too. Subtrees of the main content are not deleted for
-recurring, since articles share passages; only marked ones are.
+A page is parsed once into blocks of text and a list of elements outside the main content
+(``article``, ``main`` or ``role=main``; where a page has none, the whole body). Every such element
+is a subtree with a hash of its tags and text, and so is every run of text between two of its
+elements. Spark counts the subtrees of every host over its pages of different content, and those
+that recur on many of them are deleted with all they hold:
+
+* beside a main content, those on ``SHARE_BESIDE`` of the host's pages, marked or not;
+* on pages without one, where what recurs may be a passage, those on ``LEAST_SHARE`` of them;
+* on ``LEAST_PAGES`` pages at least.
+
+What is left of menus, headers, footers, sidebars, notices, adverts, forms and reader comments is
+known by its tag, by its role, or by a class or id that is one of ``MARKS`` as a whole; headings and
+the main content itself are never judged by their id. All other text stays, beside the main content
+too. Subtrees of the main content are not deleted for recurring, since articles share passages; only
+marked ones are.
 
 Text keeps every block of what remains, in page order. White space in a block becomes one space;
-``br`` is white space. Null and empty html give the empty text. A null url is a host of its own
-name, the empty one. Columns that the operator makes replace columns of the same names.
+``br`` is white space. Malformed markup never fails: what follows ``<!`` and is no comment ends at
+the next ``>``, a comment or tag that the page does not finish is dropped. Depth costs nothing: an
+element keeps its parent, not its ancestors. Null and empty html give the empty text. A null url is a
+host of its own name, the empty one. Columns that the operator makes replace columns of the same
+names.
 """
 
 from __future__ import annotations
@@ -25,6 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rosterflow.llm import arrays
 from rosterflow.llm.url_filter import host_of
@@ -33,6 +44,8 @@ from rosterflow.session import materialise
 
 #: A subtree recurs if so large a share of the pages of different content of one host have it,
 LEAST_SHARE = 0.5
+#: or this share, where it stands beside a main content: sites have several menus and adverts in turn,
+SHARE_BESIDE = 0.01
 #: and so many pages at least: two pages that share a passage do not tell it from a template.
 LEAST_PAGES = 3
 
@@ -44,70 +57,93 @@ BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 MAIN = frozenset("article main".split())
-#: Words in class, id and role names that mark what is not the article.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Classes, ids and roles that mark what is not the article, each as a whole.
 MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs"
-    " sidebar aside footer masthead cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe signup login search comment comments"
-    " commentlist disqus respond replies share sharing social related recommended widget form toolbar pagination pager skip complementary contentinfo".split()
+    "ad ads advert adverts advertisement advertising adsense adslot ad-banner ad-container ad-slot advert-box banner sponsor sponsored promo promotion"
+    " nav navbar nav-bar main-nav site-nav navigation menu breadcrumb breadcrumbs sidebar side-bar aside footer site-footer site-header masthead"
+    " cookie cookies cookie-banner cookie-notice cookie-consent consent gdpr notice notices alert popup modal newsletter newsletter-signup subscribe signup"
+    " login login-form search search-form comment comments comment-list commentlist comments-area user-comments disqus respond replies"
+    " share share-buttons sharing social social-links related related-posts related-articles recommended widget form toolbar pagination pager skip"
+    " complementary contentinfo".split()
 )
 #: Start tags that end an open paragraph, and open elements that a start tag of the same group ends.
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = frozenset("ul ol dl table tr tbody thead tfoot article main section div body".split())
-_NAMES = re.compile(r"[A-Za-z]+")
+_START = re.compile(r"<[A-Za-z/!?]")
 
 
 class _Element:
-    __slots__ = ("content", "dropped", "guarded", "hash", "places", "tag")
+    __slots__ = ("guarded", "hash", "marked", "number", "tag", "unseen")
 
-    def __init__(self, tag: str, dropped: bool, guarded: bool):
-        self.tag, self.dropped, self.guarded = tag, dropped, guarded
+    def __init__(self, tag: str, marked: bool, unseen: bool, guarded: bool, number: int):
+        self.tag, self.marked, self.unseen, self.guarded, self.number = tag, marked, unseen, guarded, number
         self.hash = xxhash.xxh3_64(tag)
-        self.places: list[int] = []
 
 
 class Page(HTMLParser):
-    """Blocks of a page, and the hashes of the subtrees outside the main content that enclose each."""
+    """Blocks of a page, and the elements outside the main content: a hash and a parent each.
+
+    ``inside[i]`` is the element that holds block ``i``, -1 in the main content; an element's
+    parent comes before it, -1 for none.
+    """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.open: list[_Element] = [_Element("", False, False)]
+        self.open: list[_Element] = [_Element("", False, False, False, -1)]
+        self.depths: dict[str, list[int]] = {}  # of the open elements, by tag and by kind
         self.blocks: list[str] = []
-        self.around: list[list[int]] = []
-        self.subtrees: set[int] = set()
+        self.inside: list[int] = []
+        self.marked: list[bool] = []
+        self.hashes: list[int] = []
+        self.parents: list[int] = []
+        self.main = False
         self.text: list[str] = []
         self.feed(html)
+        if _START.match(self.rawdata):  # a tag or comment without an end
+            self.rawdata = ""
         self.close()
-        while len(self.open) > 1:
-            self._end()
+        self._close_to(1)
         self._flush()
 
+    def parse_html_declaration(self, i: int) -> int:
+        if self.rawdata.startswith("<!--", i):
+            return self.parse_comment(i)
+        return self.rawdata.find(">", i + 2) + 1 or -1
+
+    def _element(self, value: int, parent: int) -> int:
+        self.hashes.append(value - (1 << 64) if value >> 63 else value)
+        self.parents.append(parent)
+        return len(self.hashes) - 1
+
     def _flush(self) -> None:
         words = " ".join("".join(self.text).split())
         self.text = []
-        if words and not self.open[-1].dropped:
-            place = len(self.blocks)
-            self.blocks.append(words)
-            self.around.append([])
-            if not self.open[-1].guarded:
-                self._subtree(xxhash.xxh3_64_intdigest(f"{self.open[-1].tag}\0{words}".encode("utf-8", "replace")), [place])
-                for element in self.open[1:]:
-                    element.places.append(place)
-
-    def _subtree(self, value: int, places: list[int]) -> None:
-        signed = value - (1 << 64) if value >> 63 else value
-        self.subtrees.add(signed)
-        for place in places:
-            self.around[place].append(signed)
+        element = self.open[-1]
+        if not words or element.unseen or (element.marked and element.guarded):
+            return
+        self.blocks.append(words)
+        self.marked.append(element.marked)
+        run = xxhash.xxh3_64_intdigest(f"{element.tag}\0{words}".encode("utf-8", "replace"))
+        self.inside.append(-1 if element.guarded else self._element(run, element.number))
+
+    def _deepest(self, *names: str) -> int:
+        return max((self.depths[n][-1] for n in names if self.depths.get(n)), default=0)
+
+    def _kinds(self, tag: str) -> list[str]:
+        return [tag, *(["*block"] if tag in BLOCKS else []), *(["*scope"] if tag in _SCOPES else [])]
 
     def _end(self) -> None:
-        element = self.open[-1]
-        if element.tag in BLOCKS or element.dropped != self.open[-2].dropped:
+        element, parent = self.open[-1], self.open[-2]
+        if element.tag in BLOCKS or (element.marked, element.unseen) != (parent.marked, parent.unseen):
             self._flush()
         self.open.pop()
+        for kind in self._kinds(element.tag):
+            self.depths[kind].pop()
         value = element.hash.intdigest()
-        self.open[-1].hash.update(value.to_bytes(8, "little"))
-        if not element.guarded and element.tag not in ("html", "body", *UNSEEN):
-            self._subtree(value, element.places)
+        parent.hash.update(value.to_bytes(8, "little"))
+        if element.number >= 0:
+            self.hashes[element.number] = value - (1 << 64) if value >> 63 else value
 
     def _close_to(self, depth: int) -> None:
         while len(self.open) > depth:
@@ -116,31 +152,33 @@ class Page(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
             self._flush()
-            for depth in range(len(self.open) - 1, 0, -1):  # a block ends an open paragraph
-                if self.open[depth].tag == "p":
-                    self._close_to(depth)
-                    break
-                if self.open[depth].tag in _SCOPES:
-                    break
+            paragraph = self._deepest("p")  # a block ends an open paragraph
+            if paragraph > self._deepest("*scope"):
+                self._close_to(paragraph)
         if tag in _SIBLINGS:
-            for depth in range(len(self.open) - 1, 0, -1):
-                if self.open[depth].tag in _SIBLINGS[tag]:
-                    self._close_to(depth)
-                    break
-                if self.open[depth].tag in _SCOPES and self.open[depth].tag not in _SIBLINGS[tag]:
-                    break
+            sibling = self._deepest(*_SIBLINGS[tag])
+            others = [s for s in _SCOPES if s not in _SIBLINGS[tag]]
+            if sibling > self._deepest(*others):
+                self._close_to(sibling)
         if tag in VOID:
             self.text.append(" ")
             return
         parent = self.open[-1]
-        named = {k: v or "" for k, v in attrs if k in ("class", "id", "role")}
-        words = {w.lower() for v in named.values() for w in _NAMES.findall(v)}
-        main = named.get("role") == "main" or (tag in MAIN and not words & MARKS)
-        dropped = parent.dropped or tag in UNSEEN or tag in FURNITURE or (tag == "header" and not parent.guarded)
-        dropped = dropped or bool(words & MARKS and tag not in ("html", "body"))
-        element = _Element(tag, dropped and not (main and not parent.dropped), parent.guarded or (main and not parent.dropped))
-        if element.dropped != parent.dropped:
+        named = {k: (v or "").lower().split() for k, v in attrs if k in ("class", "id", "role")}
+        if tag in HEADINGS or tag in MAIN:
+            named.pop("id", None)
+        marked = any(w in MARKS for words in named.values() for w in words)
+        main = "main" in named.get("role", ()) or (tag in MAIN and not marked)
+        main = main and not parent.marked and not parent.unseen
+        self.main = self.main or main
+        guarded = parent.guarded or main
+        furniture = tag in FURNITURE or (tag == "header" and not parent.guarded) or (marked and tag not in ("html", "body"))
+        number = -1 if guarded or tag in ("html", "body", *UNSEEN) else self._element(0, parent.number)
+        element = _Element(tag, not main and (parent.marked or furniture), parent.unseen or tag in UNSEEN, guarded, number)
+        if (element.marked, element.unseen) != (parent.marked, parent.unseen):
             self._flush()
+        for kind in self._kinds(tag):
+            self.depths.setdefault(kind, []).append(len(self.open))
         self.open.append(element)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -150,70 +188,93 @@ class Page(HTMLParser):
         if tag in ("br", "hr"):
             self.text.append(" ")
             return
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                self._close_to(depth)
-                return
-            if self.open[depth].tag in BLOCKS and tag not in BLOCKS:
-                return  # a stray inline end tag does not end a block
+        depth = self._deepest(tag)
+        if depth and (tag in BLOCKS or self._deepest("*block") < depth):  # a stray inline end tag does not end a block
+            self._close_to(depth)
 
     def handle_data(self, data: str) -> None:
         element = self.open[-1]
-        if not element.dropped:
+        if not element.unseen:
             self.text.append(data)
         if not element.guarded:
             element.hash.update(" ".join(data.split()).encode("utf-8", "replace"))
 
 
-_BLOCK = "struct<text:string,around:array<long>>"
-PARSED = {"blocks": f"array<{_BLOCK}>", "subtrees": "array<long>", "loose": "boolean", "content": "long"}
+PARSED = {"blocks": "array<string>", "inside": "array<int>", "marked": "array<boolean>", "subtrees": "array<long>", "parents": "array<int>", "beside": "boolean", "content": "long"}
+
+
+def _lists(values: list[list], kind: pa.DataType) -> pa.Array:
+    bounds = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array([x for v in values for x in v], kind))
 
 
 def _parsed(column: pa.Array) -> list[pa.Array]:
-    pages = [Page(v.decode("utf-8", "replace")) if v else None for v in column.cast(pa.binary()).to_pylist()]
-    counts = [len(p.blocks) if p else 0 for p in pages]
-    blocks = [b for p in pages if p for b in p.blocks]
-    around = [a for p in pages if p for a in p.around]
-    rows = pa.StructArray.from_arrays([pa.array(blocks, pa.string()), pa.array(around, pa.list_(pa.int64()))], ["text", "around"])
-    bounds = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-    subtrees = pa.array([sorted(p.subtrees) if p else [] for p in pages], pa.list_(pa.int64()))
-    loose = pa.array([p is not None and any(p.around) for p in pages], pa.bool_())
-    content = pa.array(np.array([xxhash.xxh3_64_intdigest("\n".join(p.blocks)) if p else 0 for p in pages], np.uint64).view(np.int64))
-    return [pa.ListArray.from_arrays(bounds, rows), subtrees, loose, content]
-
-
-def recurring(parsed: DataFrame, least_pages: int, least_share: float) -> DataFrame:
-    """``(host, subtree)`` that ``least_share`` of the pages of different content of the host have, and
-    at least ``least_pages`` of them."""
-    hosts = parsed.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("of"))
-    seen = parsed.select("host", "content", F.explode("subtrees").alias("subtree")).distinct()
+    pages = [Page((v or b"").decode("utf-8", "replace")) for v in column.cast(pa.binary()).to_pylist()]
+    own = ["\n".join(t for t, marked in zip(p.blocks, p.marked, strict=True) if not marked) for p in pages]
+    content = np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) for t in own], np.uint64).view(np.int64)
+    return [
+        _lists([p.blocks for p in pages], pa.string()),
+        _lists([p.inside for p in pages], pa.int32()),
+        _lists([p.marked for p in pages], pa.bool_()),
+        _lists([p.hashes for p in pages], pa.int64()),
+        _lists([p.parents for p in pages], pa.int32()),
+        pa.array([p.main for p in pages], pa.bool_()),
+        pa.array(content),
+    ]
+
+
+def recurring(parsed: DataFrame, least_pages: int, least_share: float, share_beside: float) -> DataFrame:
+    """``host`` with ``common``, the subtrees to be deleted on its pages without a main content, and ``beside``, those on
+    its pages with one.
+
+    Of pages of one content only the first counts. Every subtree is on a share of the pages, so
+    that a host's lists hold no more than its pages' mean number of subtrees, divided by that share.
+    """
+    firsts = parsed.groupBy("host", "content").agg(F.min("page_number").alias("page_number"))
+    firsts = materialise(firsts, "host-contents")
+    hosts = firsts.groupBy("host").agg(F.count("*").alias("of"))
+    seen = parsed.join(firsts.select("page_number"), "page_number", "left_semi").select("host", F.explode(F.array_distinct("subtrees")).alias("subtree"))
     counted = seen.groupBy("host", "subtree").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages)
     shared = counted.join(small_side(materialise(hosts, "host-pages")), "host")
-    return shared.filter(F.col("pages") >= F.col("of") * least_share).select("host", "subtree")
+    shared = shared.filter(F.col("pages") >= F.col("of") * min(least_share, share_beside))
+
+    def where(share: float) -> Column:
+        return F.collect_list(F.when(F.col("pages") >= F.col("of") * share, F.col("subtree")))
+
+    return shared.groupBy("host").agg(where(least_share).alias("common"), where(share_beside).alias("at_side"))
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """All columns of ``pages`` but ``html``, ``text`` and ``n_chars``.
+def _kept(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        blocks, inside, marked, subtrees, parents, removed = (batch.column(c).to_pylist() for c in ("blocks", "inside", "marked", "subtrees", "parents", "removed"))
+        texts, templates, marks = [], [], []
+        for row in range(batch.num_rows):
+            wanted, gone = set(removed[row] or ()), []
+            for value, parent in zip(subtrees[row], parents[row], strict=True):
+                gone.append(value in wanted or (parent >= 0 and gone[parent]))
+            out = [at >= 0 and gone[at] for at in inside[row]]
+            texts.append("\n\n".join(t for t, deleted, mark in zip(blocks[row], out, marked[row], strict=True) if not deleted and not mark))
+            templates.append(sum(out))
+            marks.append(sum(mark and not deleted for deleted, mark in zip(out, marked[row], strict=True)))
+        added = [pa.array(texts, pa.string()), pa.array(templates, pa.int64()), pa.array(marks, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *added], [*names, "text", "n_template", "n_marked"])
+
+
+def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, share_beside: float = SHARE_BESIDE) -> DataFrame:
+    """All columns of ``pages`` but ``html``, ``text``, ``n_chars``, and the numbers of blocks deleted:
+    ``n_template`` for recurring on the host, ``n_marked`` for their marks alone.
 
     Pages are parsed once and staged; only hashes are shuffled. A page is told by a number of
     its own, so that page ids may repeat or be null.
     """
-    given = pages.drop("text", "n_chars", "host", "page_number", *PARSED)
+    given = pages.drop("text", "n_chars", "n_template", "n_marked", "host", "page_number", "common", "at_side", "removed", *PARSED)
     parsed = arrays.with_columns(given, _parsed, PARSED, column="html", keep=tuple(c for c in given.columns if c != "html"))
     parsed = parsed.withColumn("host", host_of(F.col("url"))).withColumn("page_number", F.monotonically_increasing_id())
     parsed = materialise(parsed, "parsed-pages")
-    templates = small_side(materialise(recurring(parsed, least_pages, least_share), "page-templates"))
-    # pages whose blocks are all of the main content have nothing that recurrence could delete, and join nothing
-    loose = parsed.filter("loose")
-    enclosing = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
-    found = loose.select("host", "page_number", F.explode(enclosing).alias("subtree")).join(templates, ["host", "subtree"])
-    removed = found.groupBy("page_number").agg(F.collect_set("subtree").alias("removed"))
-    kept = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("removed")), F.lit(False)))
+    templates = small_side(materialise(recurring(parsed, least_pages, least_share, share_beside), "page-templates"))
+    deleted = F.when(F.col("beside"), F.col("at_side")).otherwise(F.col("common"))
+    found = parsed.join(templates, "host", "left").withColumn("removed", F.array_intersect("subtrees", deleted)).drop("common", "at_side")
     columns = [c for c in given.columns if c != "html"]
-
-    def joined(blocks: Column) -> Column:
-        return F.array_join(F.transform(blocks, lambda b: b["text"]), "\n\n").alias("text")
-
-    whole = parsed.filter("NOT loose").select(*columns, joined(F.col("blocks")))
-    rest = loose.join(removed, "page_number", "left").select(*columns, joined(kept))
-    return whole.unionByName(rest).withColumn("n_chars", F.length("text").cast("long"))
+    schema = StructType([*given.select(*columns).schema, *StructType.fromDDL("text string, n_template long, n_marked long")])
+    wanted = found.select(*columns, "blocks", "inside", "marked", "subtrees", "parents", "removed")
+    return wanted.mapInArrow(lambda batches: _kept(batches, columns), schema).withColumn("n_chars", F.length("text").cast("long"))

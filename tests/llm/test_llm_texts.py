@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -243,6 +245,58 @@ def test_passages_of_a_hot_host_are_no_template(spark):
     assert texts[60:] == [f"Text {i}" for i in range(3)]
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p>a</p><![foo x]><p>b</p>", "a\n\nb"),
+        ("<p>a</p><![ x", "a"),
+        ("<p>a</p><!-- x", "a"),
+        ("<p>a</p><!-- x > y <p>z", "a"),
+        ("<p>a</p><a href=\"x", "a"),
+        ("<p>a</p><!", "a"),
+        ("<p>a</p><!x>b", "a\n\nb"),
+        ("<p>a</p><![CDATA[x]]>b", "a\n\nb"),
+        ("<p>a < b</p> <3", "a < b\n\n<3"),
+        ("<p>a</p></", "a"),
+        ("<!DOCTYPE", ""),
+        ("\x00<p>\ud7ff</p>", "\x00\n\n\ud7ff"),
+    ],
+)
+def test_malformed_markup_never_fails(html, text):
+    assert "\n\n".join(html_extract.Page(html).blocks) == text
+
+
+def test_names_mark_as_a_whole_only(spark):
+    pages = [
+        '<article class="share-post"><p>a</p></article>', '<article id="form-3"><p>a</p></article>', '<div class="ad-free-content">a</div>',
+        '<article><h1 id="search">a</h1><div class="related-work">b</div><div class="big AD">c</div></article>', '<article id="comments">a</article>', "<div id=comments>a</div><p>b</p>",
+    ]
+    assert extracted(spark, [(f"http://{i}.x/", PAGE.format(p)) for i, p in enumerate(pages)]) == ["a", "a", "a", "a\n\nb", "a", "b"]
+
+
+def test_templates_of_a_generated_site_against_a_plain_count(spark):
+    chance = random.Random(6)
+    boxes = [f"<div><p>box {k}</p></div>" for k in range(12)]
+    pages, wanted, seen = [], [], {}
+    for i in range(300):
+        box, rare = chance.choice(boxes), f"<div>rare {chance.randrange(250)}</div>"
+        pages.append(("http://g.x/%d" % i, PAGE.format(f"{box}<article><p>Own {i}</p></article>{rare}")))
+        for element in (box, rare):
+            seen.setdefault(element, set()).add(i)
+        wanted.append((box, rare))
+    texts = extracted(spark, pages)
+    for i, (box, rare) in enumerate(wanted):
+        kept = [re.sub("<[^>]*>", "", e) for e in (box, rare) if len(seen[e]) < max(html_extract.LEAST_PAGES, 300 * html_extract.SHARE_BESIDE)]
+        assert sorted(texts[i].split("\n\n")) == sorted([f"Own {i}", *kept])
+
+
+def test_a_deep_page_takes_its_length():
+    began = time.process_time()
+    page = html_extract.Page("<b><p>x</p>" * 40_000)
+    assert len(page.blocks) == 40_000 and len(page.hashes) <= 120_001
+    assert time.process_time() - began < 10
+
+
 def test_no_pages(spark):
     frame = spark.createDataFrame([], "page_id long, url string, html string, host string")
     assert html_extract.extract(frame).isEmpty()
