@@ -217,7 +217,21 @@ def link(documents: DataFrame, width: int) -> DataFrame:
 
 
 def representatives(documents: DataFrame, width: int) -> DataFrame:
-    """One document of each group, the one with the smallest id, and all that are linked with nothing; own columns."""
-    linked = link(documents, width)
-    gone = linked.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    """One document of each group, the one with the smallest id, and all that are linked with nothing; own columns.
+
+    Where ids repeat or are null, documents are told by id and text: one text of an id may go
+    while another stays, of equal rows one stays, and a null id comes after all others.
+    """
+    odd = documents.groupBy("doc_id").agg(F.count("*").alias("rows")).filter((F.col("rows") > 1) | F.col("doc_id").isNull())
+    if odd.isEmpty():
+        gone = link(documents, width).filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+        return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    names = {c: f"given_{i}" for i, c in enumerate(documents.columns)}
+    held, number = F.col(names["text"]), F.col(names["doc_id"])
+    text = [held.isNull().alias("none"), *(F.xxhash64(F.lit(k), held).alias(f"text_{k}") for k in range(2))]
+    key = F.struct(number.isNull().alias("last"), number.alias("id"), *text)
+    keyed = documents.withColumnsRenamed(names).withColumn("document_key", key)
+    linked = link(keyed.select(F.col("document_key").alias("doc_id"), held.alias("text")), width)
+    gone = linked.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("document_key")).distinct()
+    kept = keyed.join(gone, "document_key", "left_anti").dropDuplicates(["document_key"])
+    return kept.select(*(F.col(name).alias(c) for c, name in names.items()))
