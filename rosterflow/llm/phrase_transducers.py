@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterflow.llm import arrays
+from rosterflow.llm.bits import bit_array, contains
 from rosterflow.session import materialise
 
 #: Least occurrences of a candidate, words of the longest one, and phrases returned for each language.
@@ -41,11 +42,9 @@ LEAST, LONGEST, TOP = 10, 3, 2000
 #: A candidate within a longer one that has at least so many percent of its occurrences is dropped.
 PERCENT = 50
 #: Bytes of text in a shard, and occurrences of words in a prefix range, about.
-SHARD_BYTES, RANGE_WORDS = 12_000_000, 4_000_000
+SHARD_BYTES, RANGE_WORDS = 8_000_000, 1_000_000
 #: Words sampled for each bound of a range.
 SAMPLES = 16
-#: Bits of the largest array over frequent n-grams: 16 MB.
-MOST_BITS = 1 << 27
 #: Parts that a language's candidates are ranked in before their best are ranked together.
 RANK_PARTS = 64
 
@@ -122,11 +121,6 @@ class Shard:
         return np.flatnonzero(self.together(size) & maybe[:-1] & maybe[1:])
 
 
-def contains(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & np.uint64(64 * len(bits) - 1)
-    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _path_keys(columns: list[np.ndarray]) -> np.ndarray:
     """A number for each path, in the order of paths."""
     key = columns[0]
@@ -276,21 +270,13 @@ def _phrase_hashes(phrases: pa.Array, langs: pa.Array) -> np.ndarray:
     return total
 
 
-def bit_array(frequent: DataFrame) -> np.ndarray:
-    """Bits over the hashes of n-grams of one size; 16 for each, ``MOST_BITS`` at most."""
-    total = frequent.count()
-    bits = min(MOST_BITS, 1 << max(12, (16 * total).bit_length()))
-
+def _hashed(frequent: DataFrame) -> DataFrame:
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                at = _phrase_hashes(batch.column(1), batch.column(0)) & np.uint64(bits - 1)
-                yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], ["word", "bit"])
+                yield pa.RecordBatch.from_arrays([pa.array(_phrase_hashes(batch.column(1), batch.column(0)).view(np.int64))], ["hash"])
 
-    words = frequent.select("lang", "phrase").mapInArrow(part, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
-    out = np.zeros(bits // 64, np.int64)
-    out[words.column("word").to_numpy()] = words.column("bit").to_numpy()
-    return out.view(np.uint64)
+    return frequent.select("lang", "phrase").mapInArrow(part, "hash long")
 
 
 def range_bounds(words: DataFrame, total: int, range_words: int = RANGE_WORDS) -> list[Bound]:
@@ -389,7 +375,7 @@ def phrases(documents: DataFrame, range_words: int = RANGE_WORDS) -> DataFrame:
     bounds = range_bounds(words, totals.agg(F.sum("n")).first()[0] or 0, range_words)
     frequent = [words.filter(F.col("f") >= LEAST)]
     for size in range(2, LONGEST + 1):
-        frequent.append(materialise(count(texts, size, bit_array(frequent[-1]), bounds), f"phrases-{size}"))
+        frequent.append(materialise(count(texts, size, bit_array(_hashed(frequent[-1])), bounds), f"phrases-{size}"))
 
     candidates = frequent[1]
     counts = frequent[0].unionByName(frequent[1])

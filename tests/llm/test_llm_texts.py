@@ -4,15 +4,17 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from llm_cases import SMALL, alphanumeric, empty_frame, odd_frame, odd_rows, small
 from pyspark.sql import functions as F
 
-from rosterflow.llm import decontaminate, html_extract, license_scan, piece_codec
+from rosterflow.llm import arrays, decontaminate, html_extract, license_scan, piece_codec
 from rosterflow.llm.queries import QUERIES, piece_model
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -57,6 +59,28 @@ def test_longest_matches_have_places(spark):
     assert [tuple(m) for m in row["matches"]] == [("9", 5, 2, 25)]
 
 
+def test_match_goes_on_where_the_prompt_that_items_share_ends(spark):
+    prompt = " ".join(f"p{i}" for i in range(20))
+    own = [" ".join(f"q{k}x{i}" for i in range(30)) for k in range(3)]
+    items = spark.createDataFrame([(k, f"{prompt} {own[k]}") for k in range(3)], "item_id int, text string")
+    texts = [(0, f"a b {prompt} c"), (1, f"a {prompt} {own[2]} b {own[1]}"), (2, own[0] + " " + prompt)]
+    got = {r["doc_id"]: ([tuple(m) for m in r["matches"]], sorted(r["items"])) for r in decontaminate.match(spark.createDataFrame(texts, "doc_id int, text string"), items).collect()}
+    assert got == {0: ([("0", 0, 2, 20)], ["0", "1", "2"]), 1: ([("0", 0, 1, 20), ("2", 0, 1, 50), ("1", 20, 52, 30)], ["0", "1", "2"]), 2: ([("0", 20, 0, 30), ("0", 0, 30, 20)], ["0", "1", "2"])}
+
+
+def test_a_prompt_that_all_items_share_costs_one_search():
+    prompt = " ".join(f"p{i}" for i in range(20))
+    texts = arrays.Texts(pa.array([f"{prompt} own{i} word{i}" for i in range(2500)]))
+    words = arrays.Words(texts, arrays.ALPHANUMERIC, fold=True)
+    windows = decontaminate.Windows([str(i) for i in range(2500)], words, 13)
+    assert len(windows.begin) == 8 + 2 * 2500 and len(windows.members) == 2 * 2500
+    tracemalloc.start()
+    (text, *_), (owner, group) = decontaminate.longest_matches(words, windows)
+    assert tracemalloc.get_traced_memory()[1] < 100_000_000
+    tracemalloc.stop()
+    assert len(text) <= 2 * 2500 and len(owner) == 2 * 2500
+
+
 def test_suffixes_are_in_order():
     rng = np.random.default_rng(2)
     text = np.sort(rng.integers(0, 9, 400))
