@@ -96,7 +96,7 @@ class Shard:
         offsets = np.concatenate([[0], np.cumsum(stop - start)]).astype(np.int32)
         spelled = pa.BinaryArray.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[word[1:].astype(bool)])])
         self.lexicon, self.ids = _numbered(spelled)
-        self.piece = np.cumsum(_STOP[data])[start]
+        self.piece = np.searchsorted(np.flatnonzero(_STOP[data]), start)
         coded = langs.cast(pa.string()).fill_null("und").dictionary_encode()
         self.langs = coded.dictionary.to_pylist()
         self.lang = coded.indices.to_numpy(zero_copy_only=False)[np.searchsorted(held.stop, start)]
@@ -177,10 +177,12 @@ class Transducer:
         for values in out:
             short = values.astype(np.min_scalar_type(int(values.max()))) if len(values) else values.astype(np.uint8)
             parts += [np.array([short.itemsize, len(short)], np.int64).tobytes(), short.tobytes()]
-        return b"".join(parts)
+        raw = b"".join(parts)
+        return np.int64(len(raw)).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
 
     @classmethod
-    def from_bytes(cls, raw: bytes) -> Transducer:
+    def from_bytes(cls, packed: bytes) -> Transducer:
+        raw = pa.decompress(packed[8:], int(np.frombuffer(packed, np.int64, 1)[0]), codec="zstd", asbytes=True)
         depth, at, found = int(np.frombuffer(raw, np.int64, 1)[0]), 8, []
         while at < len(raw):
             size, count = (int(x) for x in np.frombuffer(raw, np.int64, 2, at))
