@@ -113,11 +113,13 @@ WITH f AS (SELECT c_custkey, c_name, 'part' || CAST(c_nationkey % 4 AS VARCHAR)
 kept AS (SELECT source_file, c_custkey, c_name, c_custkey % 7 = 0 AS open FROM f)
 SELECT source_file, 'row' AS kind, CAST(c_custkey AS VARCHAR) AS code, CASE WHEN NOT open THEN c_name || CASE WHEN c_custkey % 5 = 0 THEN chr(10) || 'line, two' ELSE '' END END AS detail FROM kept
 UNION ALL SELECT source_file, 'issue', CAST(c_custkey AS VARCHAR), 'Quoted value is not closed' FROM kept WHERE open
+UNION ALL SELECT 'part4.csv', 'row', CAST(c_custkey AS VARCHAR), c_name || chr(10) || 'line, two' FROM customer
 UNION ALL SELECT 'zero.csv', 'issue', '0', 'Missing required columns: ssa_state_county_code, name_of_physician_or_mid_level_practitioner, npi, specialty_code, provider_street_address, provider_city, provider_state, provider_zip_code'
 """)
 def io_damaged_csv(t):
     """Customers in files with unclosed quotes, quoted line ends, blank lines and a blank
-    last header, beside a file without a byte: every row and every issue of the files."""
+    last header, all of them again in files whose every row runs over a line end, beside a
+    file without a byte: every row and every issue of the files."""
     folder = fresh_path(t.spark, "csv")
     name = F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit('"'), "c_name")).when(
         F.col("c_custkey") % 5 == 0, F.concat(F.lit('"'), "c_name", F.lit('\nline, two"'))
@@ -125,6 +127,8 @@ def io_damaged_csv(t):
     line = F.concat_ws(",", F.col("c_custkey").cast("string"), name)
     header = ",".join(["h"] * (len(S.PROVIDER_COLUMNS) - 1) + [""])
     rows = t.customer.select((F.col("c_nationkey") % 4).alias("part"), F.col("c_custkey").alias("key"), line.alias("line"))
+    over = F.concat_ws(",", F.col("c_custkey").cast("string"), F.concat(F.lit('"'), "c_name", F.lit('\nline, two"')))
+    rows = rows.unionByName(t.customer.select(F.lit(4).cast("bigint").alias("part"), F.col("c_custkey").alias("key"), over.alias("line")))
     write_parts(rows, f"{folder}/parts", header)
     fs = t.spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs.getFileSystem(t.spark._jsc.hadoopConfiguration()).create(t.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/zero.csv")).close()

@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 
 from rosterflow import schemas as S
 from rosterflow.functions.geo import NAD83, WGS84
-from rosterflow.session import ship
+from rosterflow.operators.joins import small_side
+from rosterflow.session import materialise, ship
+from rosterflow.sources import blocks
 from rosterflow.sources.paths import file_address
 
 _GEOJSON = (
@@ -47,16 +49,85 @@ def crs_srid(name: Column) -> Column:
     return F.when(name.isNull() | name.endswith("CRS84"), WGS84).otherwise(code.try_cast("int"))
 
 
+def _pieces(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Files cut after every closing brace, in blocks, with what a piece does to the structure.
+
+    ``quotes`` counts the quotes that no backslash takes; ``braces_0`` and ``brackets_0`` are what
+    the piece opens less what it closes if it starts outside of a string, ``braces_1`` and
+    ``brackets_1`` if inside. The brace at the end of the piece is not counted.
+    """
+    bare = F.regexp_replace("raw", r"(?s)\\.", "")
+    outside = F.regexp_replace(bare, '"[^"]*("|$)', "")
+    after = F.regexp_replace(F.regexp_replace(bare, '^[^"]*("|$)', ""), '"[^"]*("|$)', "")
+
+    def number(text: Column, sign: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(sign)))
+
+    counts = {"quotes": number(bare, '"')}
+    for state, text in enumerate((outside, after)):
+        counts[f"braces_{state}"] = number(text, "{")
+        counts[f"brackets_{state}"] = number(text, "[") - number(text, "]")
+    read = spark.read.option("lineSep", "}").text(list(paths))
+    pieces = read.select(F.col("value").alias("raw"), file_address().alias("source_file"), F.col("_metadata.file_block_start").alias("block_start"), F.monotonically_increasing_id().alias("line"))
+    return materialise(pieces.withColumns(counts), "geojson-pieces")
+
+
+def _feature_texts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``source_file, name, text`` of every feature of the files, ``name`` being the coordinate system's.
+
+    Whether a brace is inside a string, how deep it is, and how many features came before it are
+    states that blocks hand on, so that one file is as many tasks as it has blocks. A feature is
+    an object of depth two in a list of the collection; it ends where both depths are one again.
+    """
+    pieces = _pieces(spark, paths)
+    marks = blocks.running_sums(pieces.drop("raw"), {"seen": F.col("quotes")})
+    within = (F.col("seen") - F.col("quotes")) % 2 == 1
+    blank = F.struct("block_start", "line") == F.col("last")
+    ends = pieces.groupBy("source_file").agg(F.max(F.struct("block_start", "line")).alias("last"), F.max_by(F.trim(F.translate("raw", "\n\r\t", "   ")) == "", F.struct("block_start", "line")).alias("blank_end"))
+    marks = marks.join(small_side(materialise(ends, "geojson-ends")), "source_file")
+    closes = ((F.col("seen") % 2 == 0) & ~(blank & F.col("blank_end"))).cast("int")  # what follows the last brace ends in none
+    marks = marks.select(
+        *blocks.PLACE,
+        closes.alias("closes"),
+        F.when(within, F.col("braces_1")).otherwise(F.col("braces_0")).alias("opens"),
+        F.when(within, F.col("brackets_1")).otherwise(F.col("brackets_0")).alias("lists"),
+    )
+    marks = materialise(blocks.running_sums(marks, {"depth": F.col("opens") - F.col("closes"), "list_depth": F.col("lists")}), "geojson-depths")
+    end = ((F.col("closes") == 1) & (F.col("depth") == 1) & (F.col("list_depth") == 1)).cast("int")
+    marks = blocks.running_sums(marks.withColumn("end", end), {"features": F.col("end")})
+    fresh = F.col("depth") - F.col("opens") + F.col("closes") < 1  # the piece begins outside of any collection
+    marks = marks.select(*blocks.PLACE, (F.col("features") - F.col("end")).alias("feature"), "end", "depth", fresh.alias("fresh"))
+    placed = pieces.select(*blocks.PLACE, "raw").join(marks, blocks.PLACE)
+    piece = F.struct("block_start", "line", "raw")
+    texts = placed.groupBy("source_file", "feature").agg(
+        F.array_sort(F.collect_list(piece)).alias("pieces"), F.max("fresh").alias("fresh"), F.max("end").alias("end"), F.max_by("depth", F.struct("block_start", "line")).alias("depth")
+    )
+    text = F.concat(F.array_join(F.transform("pieces", lambda p: p["raw"]), "}"), F.lit("}"))
+    texts = materialise(texts.select("source_file", "fresh", "end", "depth", text.alias("text")), "geojson-features")
+    start = r'(?s)^.*?"features"\s*:\s*\['
+    # what stands before the first feature and after the last one
+    around = texts.filter((F.col("end") == 0) | F.col("fresh")).withColumn("around", F.when(F.col("end") == 0, F.col("text")).otherwise(F.regexp_extract("text", start, 0)))
+    named = F.regexp_extract("around", r'(?s)"crs"\s*:\s*\{.*?"name"\s*:\s*"([^"]*)"[^{]*\}', 1)
+    whole = F.max(F.when((F.col("end") == 0) & (F.col("depth") != 0), True))
+    files = around.groupBy("source_file").agg(F.max(F.nullif(named, F.lit(""))).alias("name"), whole.alias("unfinished"))
+    name = F.when(F.col("unfinished"), F.raise_error(F.concat(F.lit("unfinished GeoJSON file "), F.col("source_file")))).otherwise(F.col("name"))
+    files = small_side(materialise(files.select("source_file", name.alias("name")), "geojson-files"))
+    body = F.when(F.col("fresh"), F.regexp_replace("text", start, "")).otherwise(F.regexp_replace("text", r"^[^{]*", ""))
+    return texts.filter("end = 1").join(files, "source_file").select("source_file", "name", body.alias("text"))
+
+
+_FEATURE = "struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>"
+
+
 def read_geojson(spark: SparkSession, paths: Sequence[str], *, one_per_line: bool = False) -> DataFrame:
-    """Polygon and multipolygon features of GeoJSON files. Files with one collection
-    per line are split among tasks."""
+    """Polygon and multipolygon features of GeoJSON files, each file read in blocks."""
     ship(spark)
-    files = spark.read.schema(_GEOJSON).option("multiLine", not one_per_line).json(list(paths))
-    features = files.select(
-        file_address().alias("path"),
-        crs_srid(F.col("crs.properties.name")).alias("srid"),
-        F.explode("features").alias("f"),
-    )
+    if one_per_line:
+        files = spark.read.schema(_GEOJSON).json(list(paths))
+        features = files.select(file_address().alias("path"), crs_srid(F.col("crs.properties.name")).alias("srid"), F.explode("features").alias("f"))
+    else:
+        texts = _feature_texts(spark, paths)
+        features = texts.select(F.col("source_file").alias("path"), crs_srid(F.col("name")).alias("srid"), F.from_json("text", _FEATURE).alias("f"))
     kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     polygons = F.when(kind == "Polygon", F.array(F.from_json(text, _RINGS))).when(
         kind == "MultiPolygon", F.from_json(text, f"array<{_RINGS}>")

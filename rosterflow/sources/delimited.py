@@ -12,6 +12,7 @@ from rosterflow import schemas as S
 from rosterflow.operators.dedupe import number_rows
 from rosterflow.operators.joins import small_side
 from rosterflow.operators.shape import normalised_headers
+from rosterflow.sources import blocks
 from rosterflow.sources.paths import file_address, plain_address
 from rosterflow.session import materialise
 
@@ -74,29 +75,18 @@ def _open_lines(lines: DataFrame) -> DataFrame:
     Only lines with an odd number of quotes can open or close one. An opening line goes
     on to the next odd line if that one, read inside quotes, closes the field right
     before a comma or its end; else the quote is a stray one and costs its own line
-    only. In a run of lines that could do both, first, third and so on open.
+    only. In a run of lines that could do both, first, third and so on open. Whether a line
+    is inside a field is a state that blocks hand on to each other.
     """
     bare = F.replace("raw", F.lit('""'))
     opens = F.regexp_replace(bare, '"[^"]*"', "q").rlike('(^|,)"[^"]*$')
     closes = bare.rlike('^[^"]*"(,|$)')
-    odd = lines.filter("odd").select("source_file", "block_start", "line", opens.alias("opens"), closes.alias("closes"))
-    in_file = Window.partitionBy("source_file").orderBy("block_start", "line")
-    ahead = F.struct("closes", "block_start", "line")
-    paired = odd.withColumn("next", F.lead(ahead).over(in_file))
-    paired = paired.withColumn("pairs", F.coalesce(F.col("opens") & F.col("next.closes"), F.lit(False)))
-    run = F.sum(F.when(F.col("pairs"), 0).otherwise(1)).over(in_file.rowsBetween(Window.unboundedPreceding, -1))
-    paired = paired.withColumn("run", F.coalesce(run, F.lit(0)))
-    in_run = Window.partitionBy("source_file", "run").orderBy("block_start", "line")
-    paired = paired.withColumn("starts", F.col("pairs") & (F.row_number().over(in_run) % 2 == 1))
-    closing = F.coalesce(F.lag("starts").over(in_file), F.lit(False))
-    paired = paired.withColumn("closing", closing).filter(F.col("opens") & ~F.col("closing"))
-    return paired.select(
-        "source_file",
-        "block_start",
-        "line",
-        F.when(F.col("starts"), F.col("next.block_start")).alias("end_block"),
-        F.when(F.col("starts"), F.col("next.line")).alias("end_line"),
-    )
+    odd = lines.filter("odd").select(*blocks.PLACE, opens.alias("opens"), closes.alias("closes"))
+    odd = materialise(odd, "odd-lines")
+    paired = blocks.next_rows(odd, F.struct("closes", "block_start", "line"))
+    state = blocks.toggled(paired, F.col("opens") & F.col("next.closes")).filter(F.col("opens") & ~F.col("inside"))
+    starts = F.coalesce(F.col("next.closes"), F.lit(False))
+    return state.select(*blocks.PLACE, F.when(starts, F.col("next.block_start")).alias("end_block"), F.when(starts, F.col("next.line")).alias("end_line"))
 
 
 def _stitched(lines: DataFrame, spans: DataFrame) -> DataFrame:
@@ -106,25 +96,23 @@ def _stitched(lines: DataFrame, spans: DataFrame) -> DataFrame:
     runs over the start of a block, so no task needs a whole file.
     """
     span = F.struct("end_block", "end_line")
-    started = spans.select("source_file", "block_start", "line", F.struct("block_start", "line", span.alias("end")).alias("span"))
-    blocks = lines.select("source_file", F.col("block_start").alias("block")).distinct()
-    over = started.filter(F.col("span.end.end_block") > F.col("block_start")).select("source_file", F.col("span").alias("over"))
-    over = blocks.join(over, "source_file").filter((F.col("block") > F.col("over.block_start")) & (F.col("block") <= F.col("over.end.end_block")))
-    over = over.select("source_file", F.col("block").alias("block_start"), "over")
+    started = spans.select(*blocks.PLACE, F.struct("block_start", "line", span.alias("end")).alias("span"))
+    over = blocks.last_before(started, lines.select(*blocks.BLOCK).distinct(), F.col("span"))
+    over = small_side(materialise(over.filter(F.col("over.end.end_block") >= F.col("block_start")), "open-blocks"))
     in_block = Window.partitionBy("source_file", "block_start").orderBy("line")
     seen = F.last("span", ignorenulls=True).over(in_block)
     # blank lines are not staged: a gap in the line numbers of a block says how many there were
     gap = F.coalesce(F.col("line") - F.lag("line").over(in_block), F.lit(1)).cast("int")
-    marked = lines.join(started, ["source_file", "block_start", "line"], "left").join(over, ["source_file", "block_start"], "left")
+    marked = lines.join(started, blocks.PLACE, "left").join(over, blocks.BLOCK, "left")
     marked = marked.withColumns({"seen": F.coalesce(seen, F.col("over")), "gap": gap})
     inside = F.struct("block_start", "line") <= F.struct(F.col("seen.end.end_block"), F.col("seen.end.end_line"))
     marked = marked.withColumn("seen", F.when(inside, F.col("seen")))
     parts = marked.filter(F.col("seen").isNotNull())
     piece = F.struct("block_start", "line", F.concat(F.when(F.col("span").isNull(), F.repeat(F.lit("\n"), F.col("gap"))).otherwise(""), F.col("raw")).alias("text"))
     joined = parts.groupBy("source_file", "seen.block_start", "seen.line").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
-    columns = ["source_file", "block_start", "line", "raw"]
+    columns = [*blocks.PLACE, "raw"]
     return marked.filter(F.col("seen").isNull()).select(*columns).unionByName(
-        joined.select("source_file", "block_start", "line", F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("raw"))
+        joined.select(*blocks.PLACE, F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("raw"))
     )
 
 
@@ -135,7 +123,8 @@ def stage_csv(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame
     known columns, shorter ones filled with null; blank lines are no rows. The header
     line stays in as row 0, and its number of ``cells`` tells which columns a file
     delivers. Quoted fields may run over line ends: only files that have such fields are
-    stitched. A quote that is never closed makes its own row ``damaged`` and no other.
+    stitched, block by block. A quote that is never closed makes its own row ``damaged`` and
+    no other. The parsed rows are staged, so that each is parsed once.
     """
     names = S.SUBMISSION_COLUMNS[kind]
     lines = _lines(spark, paths)
@@ -158,9 +147,10 @@ def stage_csv(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame
     parsed = F.from_csv(F.regexp_replace("raw", "^\ufeff", ""), schema, {"escape": '"', "quote": '"', "sep": ","})
     unquoted = F.regexp_replace(F.replace("raw", F.lit('""')), '"[^"]*"', "q")
     cells = F.when(F.col("row_index") == 0, F.size(F.split(unquoted, ",")))
-    return records.select(
+    rows = records.select(
         parsed.alias("r"), "source_file", "row_index", cells.alias("cells"), F.coalesce("damaged", F.lit(False)).alias("damaged")
     ).select(*[f"r.{n}" for n in names], "source_file", "row_index", "cells", "damaged")
+    return materialise(rows, "staged-rows")
 
 
 def file_headers(staged: DataFrame, kind: str, empty_files: DataFrame | None = None) -> DataFrame:
