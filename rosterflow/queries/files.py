@@ -11,7 +11,7 @@ from xml.sax.saxutils import escape
 import pandas as pd
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,7 @@ from rosterflow.operators.validate import damaged_issues, header_issues
 from rosterflow.plans import submissions
 from rosterflow.plans.geography import boundary_table
 from rosterflow.plans.geography import gazetteer_table as gazetteer
+from rosterflow.plans.jobs import load_boundaries
 from rosterflow.queries.registry import Tables, query
 from rosterflow.queries.submissions import PLACES_SQL, places
 from rosterflow.session import fresh_path, ship
@@ -29,6 +30,7 @@ from rosterflow.sources.boundaries import read_boundaries, read_geojson
 from rosterflow.sources.delimited import data_rows, file_headers, files_without_rows, read_csv, read_gazetteer, stage_csv
 from rosterflow.sources.paths import plain_address
 from rosterflow.sources.workbook import decode_contents
+from rosterflow.streaming.intake import folder_writer, stream_rows
 
 #: Rows of a shapefile layer at most.
 LAYER_ROWS = 10_000
@@ -171,6 +173,56 @@ def io_gazetteer_sniff(t):
     return out.withColumns({"point_lon": F.col("geom.lon"), "point_lat": F.col("geom.lat")}).drop("geom")
 
 
+@query("""
+SELECT CAST(s_suppkey AS VARCHAR) AS geoid, s_name || '}, {"[' || CAST(s_suppkey % 3 AS VARCHAR) AS name, 2025 AS source_year,
+       CASE WHEN s_suppkey % 2 = 0 THEN 1 + 4 + 4 + (1 + 4 + 4 + 4 + 4 * 16) ELSE 1 + 4 + 4 + 2 * (1 + 4 + 4 + 4 + 4 * 16) END AS geom_bytes, 4269 AS srid
+FROM supplier
+""")
+def io_geojson_blocks(t):
+    """Suppliers as features of whole collections, with brackets, braces and quotes in their names: read in blocks,
+    loaded as a table of boundaries, and read back."""
+    folder = fresh_path(t.spark, "collections")
+    ring = F.concat(F.lit("[["), "x", F.lit(",0],["), "x", F.lit(",1],[-1,1],["), "x", F.lit(",0]]"))
+    name = F.concat("s_name", F.lit('}, {"['), (F.col("s_suppkey") % 3).cast("string"))
+    shape = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit('"Polygon", "coordinates": ['), ring, F.lit("]"))).otherwise(
+        F.concat(F.lit('"MultiPolygon", "coordinates": [['), ring, F.lit("], ["), ring, F.lit("]]"))
+    )
+    properties = F.to_json(F.struct(F.col("s_suppkey").cast("string").alias("GEOID"), name.alias("NAME")))
+    feature = F.concat(F.lit('{"type": "Feature", "properties": '), properties, F.lit(', "geometry": {"type": '), shape, F.lit("}}"))
+    files = max(1, -(-t.supplier.count() // FILE_ROWS))
+    dealt = t.supplier.withColumn("x", F.col("s_nationkey").cast("string")).select(F.pmod(F.xxhash64("s_suppkey"), F.lit(files)).alias("file"), F.col("s_suppkey").alias("key"), feature.alias("value"))
+    first = F.row_number().over(Window.partitionBy("file").orderBy("key")) == 1
+    lines = dealt.select("file", F.lit(1).alias("place"), "key", F.concat(F.when(first, "").otherwise(","), "value").alias("value"))
+    around = [(0, '{"type": "FeatureCollection", "title": "} \\" [", "features": ['), (2, '], "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::4269"}}}')]
+    ends = [dealt.select("file").distinct().select("file", F.lit(place).alias("place"), F.lit(None).cast("bigint").alias("key"), F.lit(text).alias("value")) for place, text in around]
+    ordered = lines.unionByName(ends[0]).unionByName(ends[1]).repartition("file").sortWithinPartitions("file", "place", "key")
+    ordered.select("file", "value").write.partitionBy("file").text(f"{folder}/all.geojson")
+    load_boundaries(t.spark, f"{folder}/all.geojson", 2025, f"{folder}/table")
+    srid = read_geojson(t.spark, [f"{folder}/all.geojson"]).select(F.col("properties")["GEOID"].alias("geoid"), "srid")
+    stored = t.spark.read.parquet(f"{folder}/table")
+    return stored.select("geoid", "name", "source_year", F.octet_length("geom").alias("geom_bytes")).join(srid, "geoid")
+
+
+@query("""
+SELECT 'row' AS kind, c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 2 ELSE 1 END AS n FROM customer
+UNION ALL SELECT 'duplicate', c_custkey, 1 FROM customer WHERE c_custkey % 5 = 0
+""")
+def io_stream_folder(t):
+    """Customers' submissions that arrive in a folder, a fifth of them twice: rows and duplicates by batch."""
+    root, rows = fresh_path(t.spark, "arrivals"), customer_upload(t)
+    again = rows.filter(F.col("ssa_state_county_code").cast("bigint") % 5 == 0)
+    rows.unionByName(again).write.options(header=True, escape='"').csv(f"{root}/in")
+    # two rows of one file are told apart by a number of their own
+    arrived = stream_rows(t.spark, f"{root}/in", "provider", lambda df: df.withColumn("arrival", F.expr("uuid()")))
+    folder_writer(arrived, f"{root}/out", f"{root}/checkpoint", ["ssa_state_county_code"], ["source_file", "arrival"]).trigger(availableNow=True).start().awaitTermination()
+
+    def counted(kind: str, name: str) -> DataFrame:
+        found = t.spark.read.parquet(f"{root}/out/{name}")
+        return found.groupBy(F.col("ssa_state_county_code").cast("bigint").alias("c_custkey")).agg(F.count(F.lit(1)).cast("int").alias("n")).select(F.lit(kind).alias("kind"), "c_custkey", "n")
+
+    return counted("row", "rows").unionByName(counted("duplicate", "duplicates"))
+
+
 _TYPES = '<?xml version="1.0"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"/>'
 _BOOK = (
     '<?xml version="1.0"?><workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'

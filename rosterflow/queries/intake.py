@@ -12,7 +12,7 @@ from rosterflow.queries.files import customer_upload
 from rosterflow.queries.registry import Tables, query
 from rosterflow.session import fresh_path
 from rosterflow.sinks.tables import stored_files
-from rosterflow.streaming import route, status
+from rosterflow.streaming import route, state, status
 from rosterflow.streaming.intake import IntakeTables, intake_writer, message_file_id, parse_messages, read_messages
 
 _LINE = """CASE event_id % 4 WHEN 0 THEN '{{"fileId": ' WHEN 1 THEN 'null' ELSE '{{"fileId": "' || CAST(user_id AS {text}) || '"}}' END"""
@@ -121,6 +121,41 @@ def current_status(t):
     return status.latest_status(log).drop("updated_at")
 
 
+def replayed(t: Tables, log: DataFrame, files: int = 4) -> DataFrame:
+    """The states that a stream over the log has come to, which gets it in several batches, dealt by file and entry."""
+    root = fresh_path(t.spark, "states")
+    log.select(*S.STATUS_LOG.fieldNames()).repartition(files, F.xxhash64("file_id", "seq")).write.parquet(f"{root}/log")
+    stream = t.spark.readStream.schema(S.STATUS_LOG).option("maxFilesPerTrigger", 1).parquet(f"{root}/log")
+    with state.state_store(t.spark):
+        state.run_through(state.state_writer(stream, f"{root}/states", f"{root}/checkpoint"))
+    return state.read_states(t.spark, f"{root}/states")
+
+
+@query("""
+WITH m AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n,
+                  CASE WHEN o_orderstatus = 'P' AND o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey % 3 END AS batch_id FROM orders),
+marks AS (SELECT o_custkey, max(n) AS newest, max(n) FILTER (o_orderstatus = 'F') AS finished,
+                 coalesce(max(n) FILTER (o_orderstatus = 'P' AND batch_id IS NULL), 0) AS again FROM m GROUP BY o_custkey)
+SELECT CAST(o_custkey AS VARCHAR) AS file_id, CASE o_orderstatus WHEN 'F' THEN 'FAILED' WHEN 'O' THEN 'PROCESSING' ELSE 'PENDING' END AS status,
+       CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS error_message, batch_id
+FROM m JOIN marks USING (o_custkey) WHERE n = CASE WHEN finished > again THEN finished ELSE newest END
+""")
+def stream_status(t):
+    """Status of every file as the state of a stream that the log is replayed to."""
+    return replayed(t, log_of(t)).select("file_id", "status", "error_message", "batch_id")
+
+
+@query(f"""
+WITH {_STATE_SQL}
+SELECT id FROM files WHERE status = 'PROCESSING' AND CAST(id AS BIGINT) % 2 = 0
+""")
+def stream_stuck(t):
+    """Files whose timer ran out in that stream; entries of odd files are moved a century on and still have time."""
+    odd = F.col("file_id").cast("bigint") % 2 == 1
+    log = log_of(t).withColumn("updated_at", F.col("updated_at") + F.when(odd, F.make_ym_interval(F.lit(100))).otherwise(F.make_ym_interval(F.lit(0))))
+    return replayed(t, log).filter("stuck").select(F.col("file_id").alias("id"))
+
+
 @query("""
 WITH typed AS (SELECT event_id, props, CASE event_type WHEN 'click' THEN 'PROVIDER' WHEN 'view' THEN 'FACILITY' WHEN 'error' THEN 'BENEFICIARY' ELSE event_type END AS file_type FROM events),
 routed AS (SELECT event_id, file_type, CASE file_type WHEN 'PROVIDER' THEN 'org_provider' WHEN 'FACILITY' THEN 'org_facility' END AS handler,
@@ -182,7 +217,7 @@ def stream_intake(t):
     registry = spark.createDataFrame(
         files, "id string, file_type string, organization_id string, s3_bucket string, s3_key string, status string"
     )
-    conform(registry, S.ORG_FILES).write.parquet(f"{root}/registry")
+    status.write_registry(conform(registry, S.ORG_FILES), f"{root}/registry")
     spark.createDataFrame([], S.STATUS_LOG).write.parquet(f"{root}/log")
 
     announced = registry.select(F.to_json(F.struct(F.col("id").alias("fileId"))).alias("value"))
@@ -191,11 +226,11 @@ def stream_intake(t):
     tables = IntakeTables(
         f"{root}/registry", f"{root}/log", f"{root}/rejected", f"{root}/org_providers", f"{root}/org_facilities", f"{root}/"
     )
-    run = intake_writer(read_messages(spark, f"{root}/messages"), tables, f"{root}/checkpoint").trigger(availableNow=True)
+    run = intake_writer(read_messages(spark, f"{root}/messages"), tables, f"{root}/checkpoint", "1 minute").trigger(availableNow=True)
     run.start().awaitTermination()
 
-    log = spark.read.schema(S.STATUS_LOG).parquet(tables.status_log)
-    ended = status.current_files(spark.read.schema(S.ORG_FILES).parquet(tables.registry), log).groupBy("file_type").agg(
+    log = status.read_log(spark, tables.status_log)
+    ended = status.current_files(status.read_registry(spark, tables.registry), log).groupBy("file_type").agg(
         F.bool_and(F.col("status") == "COMPLETED").alias("all_completed")
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.functions.geo import point
-from rosterflow.operators.joins import non_members
+from rosterflow.operators.joins import non_members, small_side
 from rosterflow.session import materialise
 
 
@@ -63,10 +63,10 @@ def with_point(df: DataFrame, lon: str, lat: str, out: str) -> DataFrame:
     return df.withColumn(out, point(F.col(lon), F.col(lat)))
 
 
-def with_write_times(df: DataFrame) -> DataFrame:
+def with_write_times(df: DataFrame, now: datetime | None = None) -> DataFrame:
     """Rows with the time of their load; rows that replace others are new ones."""
-    now = F.lit(datetime.now(timezone.utc))
-    return df.withColumns({"created_at": now, "updated_at": now})
+    at = F.lit(now or datetime.now(timezone.utc))
+    return df.withColumns({"created_at": at, "updated_at": at})
 
 
 def replace_files(
@@ -74,34 +74,35 @@ def replace_files(
 ) -> DataFrame:
     """Replace all rows of the given files in a table partitioned by file.
 
-    ``file_ids`` (one ``key`` column) names every file of the load, also those that
-    now have no rows: their old rows go too, by one row without write times in place of
-    them, which ``stored_files`` leaves out. So all partitions of the load, and no others,
-    are replaced by one distributed write, and a crash leaves old rows or new ones of a
-    file. Loading the same files again gives the same table. Rows carry the load time in
-    ``created_at`` and ``updated_at``; returns ``key, rows``.
+    ``df`` is evaluated once, by the write; rows are counted in the partitions that it has
+    written, by the time of the load. ``file_ids`` (one ``key`` column) names every file of the
+    load, also those that now have no rows: their old rows are replaced by one row without
+    write times, which ``stored_files`` leaves out. So all partitions of the load, and no
+    others, are replaced, and a crash leaves old rows or new ones of a file. Loading the
+    same files again gives the same table. Rows carry the load time in ``created_at`` and
+    ``updated_at``; returns ``key, rows``.
 
     ``scattered`` rows are gathered by file first, where adaptive execution spreads
     a heavy file over tasks; turn it off when tasks already hold whole files.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    result = materialise(
-        file_ids.select(key).distinct().join(counts, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("rows")),
-        "file-counts",
-    )
-    rows = with_write_times(df)
-    nothing = [F.col(key) if f.name == key else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema]
-    rows = rows.hint("rebalance", F.col(key)) if scattered else rows
-    (
-        rows.unionByName(result.filter("rows = 0").select(*nothing))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key)
-        .parquet(path)
-    )
+    spark, now = df.sparkSession, datetime.now(timezone.utc)
+    rows = with_write_times(df, now)
+    _replace_partitions(rows.hint("rebalance", F.col(key)) if scattered else rows, path, key)
+    files = small_side(materialise(file_ids.select(F.col(key).cast(df.schema[key].dataType)).distinct(), "loaded-files"))
+    written = spark.read.schema(rows.schema).parquet(path).filter(F.col("created_at") == F.lit(now)).join(files, key, "left_semi")
+    counts = written.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    result = materialise(files.join(counts, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("rows")), "file-counts")
+    without = result.filter("rows = 0")
+    if not without.isEmpty():
+        nothing = [F.col(key) if f.name == key else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema]
+        _replace_partitions(without.select(*nothing), path, key)
     return result
 
 
+def _replace_partitions(rows: DataFrame, path: str, key: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+
+
 def stored_files(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a table that is replaced by file."""
     return spark.read.parquet(path).filter(F.col("updated_at").isNotNull())

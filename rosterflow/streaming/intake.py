@@ -8,21 +8,25 @@ replacements.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from rosterflow import schemas as S
+from rosterflow.operators.dedupe import later_duplicates
 from rosterflow.plans.jobs import load_uploads
-from rosterflow.session import materialise
-from rosterflow.sources.delimited import suffix_of
+from rosterflow.session import materialise, staged_tables
 from rosterflow.sources.paths import file_address, object_uri, plain_address, read_path
 from rosterflow.streaming import route
-from rosterflow.streaming.status import CLAIM_STEP, OUTCOME_STEP, append_log, claim, log_entries, read_log
+from rosterflow.streaming.state import by_batch
+from rosterflow.streaming.status import CLAIM_STEP, OUTCOME_STEP, append_log, claim, log_entries, read_log, read_registry
 
 
 @dataclass(frozen=True)
@@ -52,68 +56,126 @@ def parse_messages(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(F.col(column).alias("body"), message_file_id(F.col(column)).alias("file_id"))
 
 
-def drop_redelivered(messages: DataFrame, within: str) -> DataFrame:
-    """Drop ids seen in the time span, to spare claims. Optional: the status check
-    alone decides, and a span longer than the stuck-file limit would hide re-sent
-    files."""
+def drop_redelivered(messages: DataFrame, within: str, key: str = "file_id") -> DataFrame:
+    """Drop messages whose key came within the time span, to spare claims; the state of a restarted stream
+    still knows them, and holds the keys of the span only. The status check alone decides: a span longer than
+    the stuck-file limit would hide re-sent files of equal bodies."""
     return (
         messages.withColumn("ingest_ts", F.current_timestamp())
         .withWatermark("ingest_ts", within)
-        .dropDuplicatesWithinWatermark(["file_id"])
+        .dropDuplicatesWithinWatermark([key])
     )
 
 
-def probe_objects(spark: SparkSession, uris: list[str]) -> dict[str, tuple[str, int]]:
-    """Address as the readers report it, and size, of every object that exists."""
-    fs_package, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-    found = {}
-    for uri in uris:
-        path = fs_package.Path(uri)
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            found[uri] = (fs.makeQualified(path).toUri().toString(), fs.getFileStatus(path).getLen())
-    return found
+#: How Spark names a failure of a file that it reads.
+_FILE_FAILURE = re.compile(r"\[(PATH_NOT_FOUND|FAILED_READ_FILE)\b")
 
 
-def _file_problem(uri: str, size: int) -> str | None:
-    """Why a file that is there cannot be read."""
-    if suffix_of(uri) not in (".csv", ".xlsx"):
-        return S.MSG_UNSUPPORTED + suffix_of(uri)
-    return S.MSG_UNEXPECTED + "empty file" if size == 0 else None
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths that are there. Spark looks them up together; only groups that lack one are halved."""
+    if not paths:
+        return []
+    try:
+        spark.read.format("binaryFile").load([read_path(p) for p in paths])
+        return paths
+    except AnalysisException as error:
+        if not _FILE_FAILURE.search(str(error)):
+            raise
+    half = len(paths) // 2
+    return existing(spark, paths[:half]) + existing(spark, paths[half:]) if half else []
+
+
+def qualified(spark: SparkSession, uri: str) -> str:
+    """Address of an object as the readers report it; nothing is asked of its store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return plain_address(path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString())
+
+
+def stored_objects(spark: SparkSession, addresses: list[str]) -> DataFrame:
+    """``source_file`` and ``size`` of the objects that exist, listed by Spark without their content."""
+    there = existing(spark, addresses)
+    found = spark.createDataFrame([(a,) for a in there], "source_file string")
+    if not there:
+        return found.withColumn("size", F.lit(0).cast("bigint"))
+    files = spark.read.format("binaryFile").load([read_path(a) for a in there])
+    sizes = files.select(file_address().alias("source_file"), F.col("length").alias("size"))
+    # readers leave files without a byte out
+    return found.join(sizes, "source_file", "left").withColumn("size", F.coalesce("size", F.lit(0)))
+
+
+def _problem(uri: Column, size: Column) -> Column:
+    """Why a file cannot be read: null if it can, or if it is not there."""
+    name = F.substring_index(uri, "/", -1)
+    suffix = F.when(name.contains("."), F.concat(F.lit("."), F.lower(F.substring_index(name, ".", -1)))).otherwise("")
+    return (
+        F.when(uri.isNull(), S.MSG_UNEXPECTED + "no object address")
+        .when(size.isNotNull() & ~suffix.isin(".csv", ".xlsx"), F.concat(F.lit(S.MSG_UNSUPPORTED), suffix))
+        .when(size == 0, S.MSG_UNEXPECTED + "empty file")
+    )
+
+
+def _unreadable(error: Exception, addresses: list[str]) -> str | None:
+    """The file that a failed read names, if the failure is the file's own."""
+    if not _FILE_FAILURE.search(str(error)):
+        return None
+    said = unquote(re.sub("file:/+", "file:///", str(error)))
+    named = [a for a in addresses if unquote(a) in said]
+    return max(named, key=len) if named else None
+
+
+def _load_readable(spark: SparkSession, readable: list[tuple[str, str, str]], kind: str, target: str) -> DataFrame:
+    """Load files; one that cannot be read fails alone, and one that has gone meanwhile is left out."""
+    failed = []
+    while readable:
+        manifest = spark.createDataFrame(readable, "source_file_id string, organization_id string, source_file string")
+        try:
+            loaded = load_uploads(spark, manifest, kind, target, [read_path(a) for _, _, a in readable])
+            break
+        except (PySparkException, Py4JJavaError) as error:
+            culprit = _unreadable(error, [a for _, _, a in readable])
+            if culprit is None:
+                raise  # not the fault of a file: the batch is run again
+            if existing(spark, [culprit]):
+                failed += [(i, "unreadable file") for i, _, a in readable if a == culprit]
+            readable = [r for r in readable if r[2] != culprit]
+    else:
+        loaded = spark.createDataFrame([], "source_file_id string, rows bigint, error string")
+    failures = spark.createDataFrame(failed, "file_id string, error string")
+    outcomes = loaded.select(F.col("source_file_id").alias("file_id"), "error").unionByName(failures)
+    return outcomes.select("file_id", route.unexpected(F.col("error")).alias("error"))
 
 
 def _load_kind(spark: SparkSession, claimed: DataFrame, kind: str, tables: IntakeTables) -> DataFrame:
     """Load the claimed files of one kind; returns ``file_id, error``. Files that are
-    missing stay in processing, so the sweep sends them again."""
+    missing stay in processing, so the sweep sends them again.
+
+    Readers take the addresses of a batch's files from the driver; these are all that it is given.
+    """
     uri = object_uri(F.col("s3_bucket"), F.col("s3_key"), tables.objects)
     files = claimed.filter(route.handler(F.col("file_type")) == kind).select("id", "organization_id", uri.alias("uri"))
-    listed = files.collect()  # one address per message of the batch
-    found = probe_objects(spark, [r.uri for r in listed if r.uri])
-    problems = {u: _file_problem(u, size) for u, (_, size) in found.items()}
-    refused = [(r.id, problems[r.uri]) for r in listed if problems.get(r.uri)]
-    refused += [(r.id, S.MSG_UNEXPECTED + "no object address") for r in listed if not r.uri]
-    outcomes = [spark.createDataFrame(refused, "file_id string, error string")]
-    readable = [(r.id, r.organization_id, plain_address(found[r.uri][0])) for r in listed if r.uri in found and not problems[r.uri]]
-    if readable:
-        manifest = spark.createDataFrame(
-            readable, "source_file_id string, organization_id string, source_file string"
-        )
-        loaded = load_uploads(spark, manifest, kind, getattr(tables, kind), [read_path(u) for _, _, u in readable])
-        outcomes.append(
-            loaded.select(F.col("source_file_id").alias("file_id"), route.unexpected(F.col("error")).alias("error"))
-        )
-    return reduce(DataFrame.unionByName, outcomes)
+    address = {r.uri: qualified(spark, r.uri) for r in files.filter("uri IS NOT NULL").select("uri").distinct().collect()}
+    named = spark.createDataFrame(list(address.items()), "uri string, source_file string")
+    listed = files.join(named, "uri", "left").join(stored_objects(spark, list(dict.fromkeys(address.values()))), "source_file", "left")
+    listed = materialise(listed.withColumn("error", _problem(F.col("uri"), F.col("size"))), "listed-files")
+    refused = listed.filter(F.col("error").isNotNull()).select(F.col("id").alias("file_id"), "error")
+    readable = listed.filter(F.col("error").isNull() & F.col("size").isNotNull()).select("id", "organization_id", "source_file").collect()
+    return refused.unionByName(_load_readable(spark, [tuple(r) for r in readable], kind, getattr(tables, kind)))
 
 
 def process_batch(lines: DataFrame, batch_id: int, tables: IntakeTables) -> None:
-    """One micro-batch: reject, claim, load, record."""
+    """One micro-batch: reject, claim, load, record. What it stages is deleted when it ends."""
+    with staged_tables(lines.sparkSession):
+        _process(lines, batch_id, tables)
+
+
+def _process(lines: DataFrame, batch_id: int, tables: IntakeTables) -> None:
     spark = lines.sparkSession
     messages = materialise(parse_messages(lines), "messages")
     rejected = messages.filter(F.col("file_id").isNull()).select("body", F.lit(batch_id).cast("bigint").alias("batch_id"))
     rejected.write.mode("overwrite").parquet(f"{tables.rejected}/batch={batch_id}")
 
     ids = messages.filter(F.col("file_id").isNotNull()).select("file_id")
-    registry = spark.read.schema(S.ORG_FILES).parquet(tables.registry)
+    registry = read_registry(spark, tables.registry)
     claimed = materialise(claim(ids, registry, read_log(spark, tables.status_log), batch_id), "claimed")
     if claimed.isEmpty():
         return
@@ -128,8 +190,11 @@ def process_batch(lines: DataFrame, batch_id: int, tables: IntakeTables) -> None
     append_log(log_entries(outcomes, route.outcome_status(error), error, batch_id, OUTCOME_STEP), tables.status_log)
 
 
-def intake_writer(lines: DataFrame, tables: IntakeTables, checkpoint: str) -> DataStreamWriter:
-    """The streaming query, ready to start with a trigger."""
+def intake_writer(lines: DataFrame, tables: IntakeTables, checkpoint: str, redelivered_within: str | None = None) -> DataStreamWriter:
+    """The streaming query, ready to start with a trigger. Equal messages that a queue delivers again
+    ``redelivered_within`` a time span are dropped before any table is read; a sweep's messages differ from those before."""
+    if redelivered_within:
+        lines = drop_redelivered(lines, redelivered_within, "value").select("value")
     return lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda batch, batch_id: process_batch(batch, batch_id, tables)
     )
@@ -142,3 +207,16 @@ def stream_rows(spark: SparkSession, folder: str, kind: str, shape: Callable[[Da
     schema = ", ".join(f"{n} string" for n in names)
     lines = spark.readStream.schema(schema).option("header", True).csv(folder)
     return shape(lines.select(*names, file_address().alias("source_file")))
+
+
+def folder_writer(rows: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]) -> DataStreamWriter:
+    """Rows of a folder as they arrive, and the later ones of equal keys in a batch, in tables by batch: one that
+    runs again after a crash replaces what it has written."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with staged_tables(batch.sparkSession):
+            held = materialise(batch, "folder-rows")
+            by_batch(f"{path}/rows")(held, batch_id)
+            by_batch(f"{path}/duplicates", lambda df: later_duplicates(df, keys, order))(held, batch_id)
+
+    return rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from rosterflow import schemas as S
 from rosterflow.functions import text
@@ -14,6 +15,8 @@ from rosterflow.session import materialise
 
 CLAIM_STEP, OUTCOME_STEP = 1, 2
 
+#: Parts that the log and the registry are laid out in, by a hash of the file id.
+BUCKETS = 128
 
 TERMINAL = ("COMPLETED", "FAILED")
 
@@ -62,16 +65,31 @@ def claimable(status: Column, claimed_by: Column, batch_id: int) -> Column:
     return (status == "PENDING") | ((status == "PROCESSING") & (claimed_by == batch_id))
 
 
+def bucket_of(file_id: Column) -> Column:
+    """Part of the log and the registry that a file is in."""
+    return F.pmod(F.xxhash64(file_id), F.lit(BUCKETS)).cast("int")
+
+
+def of_files(table: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Rows of the wanted files (``id``, ``bucket``). Where the table is laid out by bucket, only the parts that they
+    are in are read: the join prunes the scan by the wanted buckets when it runs."""
+    if "bucket" not in table.columns:
+        return table.join(wanted.select(F.col("id").alias(key)), key, "left_semi")
+    return table.join(wanted.select(F.col("id").alias(key), "bucket"), ["bucket", key], "left_semi").drop("bucket")
+
+
 def claim(ids: DataFrame, registry: DataFrame, log: DataFrame, batch_id: int) -> DataFrame:
     """Registry rows of the messages that may be processed now, each once however
     often it was delivered; unknown files and files in another state are left out.
 
     Both tables are cut down to the batch's files first, so only their rows are
-    aggregated and joined.
+    aggregated and joined, and of tables laid out by bucket only their parts are read.
     """
-    wanted = small_side(ids.select(F.col("file_id").alias("id")).distinct())
-    files = registry.join(wanted, "id", "left_semi")
-    entries = log.join(wanted.withColumnRenamed("id", "file_id"), "file_id", "left_semi")
+    # the planner prunes by a side that it takes for selective, such as one with a comparison
+    wanted = ids.select(F.col("file_id").alias("id")).distinct().withColumn("bucket", bucket_of(F.col("id")))
+    wanted = small_side(wanted.filter(F.length("id") > 0))
+    files = of_files(registry, wanted, "id")
+    entries = of_files(log, wanted, "file_id")
     return current_files(files, entries).filter(claimable(F.col("status"), F.col("batch_id"), batch_id)).drop("batch_id")
 
 
@@ -97,11 +115,53 @@ def log_entries(files: DataFrame, status: Column, error: Column, batch_id: int |
 
 
 def append_log(entries: DataFrame, path: str) -> None:
-    entries.write.mode("append").parquet(path)
+    """Append to the log's buckets, one file each."""
+    placed = entries.withColumn("bucket", bucket_of(F.col("file_id")))
+    placed.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(path)
+
+
+def _laid_out(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    buckets = "bucket" in spark.read.parquet(path).columns
+    return spark.read.schema(StructType([*schema, StructField("bucket", IntegerType())]) if buckets else schema).parquet(path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log, with its ``bucket`` column where it is laid out by it."""
+    return _laid_out(spark, path, S.STATUS_LOG)
+
+
+def write_registry(registry: DataFrame, path: str) -> None:
+    """Lay a registry out by bucket, so that a claim reads the parts of its files only."""
+    placed = registry.withColumn("bucket", bucket_of(F.col("id")))
+    placed.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
-def read_log(spark, path: str) -> DataFrame:
-    return spark.read.schema(S.STATUS_LOG).parquet(path)
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    return _laid_out(spark, path, S.ORG_FILES)
+
+
+def deciding(log: DataFrame) -> DataFrame:
+    """The entries of each file that its state follows from: the newest, the newest that finished it, the last
+    submission. :func:`latest_status` of them is that of the whole log."""
+    order = F.struct("updated_at", "seq")
+    entry = F.struct(*S.STATUS_LOG.fieldNames()[1:])
+    again = (F.col("status") == "PENDING") & F.col("batch_id").isNull()
+    folded = log.groupBy("file_id").agg(
+        F.max_by(entry, order).alias("newest"), F.max_by(entry, F.when(F.col("status").isin(*TERMINAL), order)).alias("finished"), F.max_by(entry, F.when(again, order)).alias("again")
+    )
+    entries = F.filter(F.array_distinct(F.array("newest", "finished", "again")), lambda e: e.isNotNull())
+    return folded.select("file_id", F.explode(entries).alias("e")).select("file_id", "e.*")
+
+
+def compact_log(spark: SparkSession, path: str) -> None:
+    """Keep three entries of each file at most, sorted by file in one file a bucket; run it while nothing is appended.
+
+    What is kept is staged first, and every bucket is replaced as a whole, so that a run that breaks off
+    can be repeated.
+    """
+    kept = materialise(deciding(read_log(spark, path)), "compacted-log").withColumn("bucket", bucket_of(F.col("file_id")))
+    dealt = kept.repartition("bucket").sortWithinPartitions("bucket", "file_id")
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
 
 def stuck_files(

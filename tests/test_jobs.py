@@ -108,6 +108,20 @@ def test_replace_files(spark, folder):
     assert rows_of(tables.stored_files(spark, path), "source_file_id", "v") == [("a", 9), ("b", 3), ("c=1/x", 5)]
 
 
+def test_a_replacement_evaluates_its_rows_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(50).selectExpr("cast(id % 4 as string) AS source_file_id", "id").mapInPandas(counted, "source_file_id string, id long")
+    counts = tables.replace_files(rows, f"{folder}/t", spark.createDataFrame([(str(i),) for i in range(5)], "source_file_id string"), scattered=False)
+    assert rows_of(counts) == [("0", 13), ("1", 13), ("2", 12), ("3", 12), ("4", 0)]
+    assert seen.value == 50 and tables.stored_files(spark, f"{folder}/t").count() == 50
+
+
 def test_targets(spark, folder, monkeypatch):
     assert [tables.target(at, "county") for at in ("", "s3a://out", "s3a://out/", "db.")] == ["county", "s3a://out/county", "s3a://out/county", "db.county"]
     from pyspark.sql import DataFrameWriter

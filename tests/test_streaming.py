@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from test_sources import HEADER, put
 
 from rosterflow import schemas as S
+from rosterflow import session
 from rosterflow.sinks.tables import stored_files
 from rosterflow.operators.shape import conform
 from rosterflow.plans.submissions import org_provider_rows
 from rosterflow.queries.files import workbook_bytes
-from rosterflow.streaming import intake, route, status
+from rosterflow.streaming import intake, route, state, status
 
 ROW = "1001,Jane,1234567890,PCP,1,D,100 Main St,Boston,MA,02101,Y,Grp,n,Y,high"
 
@@ -177,6 +178,110 @@ def test_a_finished_file_stays_finished(spark):
     assert rows_of(status.latest_status(frame), "file_id", "status") == [("a", "COMPLETED"), ("b", "PENDING"), ("c", "PROCESSING"), ("d", "COMPLETED")]
 
 
+def test_a_file_that_cannot_be_read_fails_alone(spark, folder, site, monkeypatch):
+    put(f"{folder}/bucket", "torn.csv", f"{HEADER}\n{ROW}\n")
+    put(f"{folder}/bucket", ".torn.csv.crc", b"crc\x00\x00\x00\x02\x00\x00\x00\x00\x01")
+    put(f"{folder}/bucket", "late.csv", f"{HEADER}\n{ROW}\n")
+    registry = spark.read.schema(S.ORG_FILES).parquet(site.registry)
+    for name in ("torn", "late"):
+        changed = {"id": F.lit(name), "s3_key": F.lit(f"{name}.csv")}
+        registry.filter("id = 'p1'").withColumns(changed).write.mode("append").parquet(site.registry)
+    load, calls = intake.load_uploads, []
+
+    def deleted_first(*arguments):
+        if not calls:
+            os.remove(f"{folder}/bucket/late.csv")
+        calls.append(1)
+        return load(*arguments)
+
+    monkeypatch.setattr(intake, "load_uploads", deleted_first)
+    intake.process_batch(spark.createDataFrame([(f'{{"fileId": "{i}"}}',) for i in ("p1", "torn", "late", "gone")], "value string"), 3, site)
+    found = states(spark, site)
+    assert found["p1"] == ("COMPLETED", None)
+    assert found["torn"] == ("FAILED", "Unexpected processing error: unreadable file")
+    assert found["late"] == found["gone"] == ("PROCESSING", None)
+    assert stored_files(spark, site.org_provider).count() == 2
+
+
+def test_a_batch_leaves_no_staged_tables(spark, folder, site, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda _: f"{folder}/shared")
+    intake.process_batch(spark.createDataFrame([('{"fileId": "p1"}',)], "value string"), 3, site)
+    assert states(spark, site)["p1"] == ("COMPLETED", None)
+    assert [n for n in os.listdir(f"{folder}/shared") if not n.startswith(".")] == []
+
+
+def test_a_claim_reads_the_buckets_of_its_files(spark, folder):
+    files = spark.range(300).select(F.col("id").cast("string").alias("id"), F.lit("PROVIDER").alias("file_type"), F.lit("PENDING").alias("status"))
+    status.write_registry(conform(files, S.ORG_FILES), f"{folder}/registry")
+    ids = spark.createDataFrame([("7",), ("250",)], "file_id string")
+    for step in range(3):
+        status.append_log(status.log_entries(files.select(F.col("id").alias("file_id")), F.lit("PROCESSING" if step < 2 else "PENDING"), F.lit(None), step, 1), f"{folder}/log")
+    registry, log = status.read_registry(spark, f"{folder}/registry"), status.read_log(spark, f"{folder}/log")
+    claimed = status.claim(ids, registry, log, 9)
+    assert rows_of(claimed, "id") == [("250",), ("7",)]
+    plan = claimed._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "PartitionFilters" in line]
+    assert sum("dynamicpruning" in line for line in scans) == 2, plan
+    status.compact_log(spark, f"{folder}/log")
+    compacted = status.read_log(spark, f"{folder}/log")
+    assert compacted.count() == 300
+    assert rows_of(status.claim(ids, registry, compacted, 9), "id") == [("250",), ("7",)]
+
+
+def test_compaction_keeps_every_state(spark):
+    at = [datetime(2025, 1, 1, h) for h in range(8)]
+    log = []
+    for f in range(60):
+        steps = [("PROCESSING", 1), ("FAILED", 1), ("PENDING", 1), ("PENDING", None), ("PROCESSING", 2), ("COMPLETED", 2), ("PENDING", 2)]
+        log += [(str(f), steps[(f * k) % 7][0], "e" if k % 2 else None, at[(k * f) % 8], steps[(f * k) % 7][1], k) for k in range(f % 7 + 1)]
+    frame = spark.createDataFrame(log, S.STATUS_LOG)
+    kept = status.deciding(frame)
+    assert rows_of(status.latest_status(kept)) == rows_of(status.latest_status(frame))
+    assert kept.groupBy("file_id").count().agg(F.max("count")).first()[0] <= 3
+
+
+def test_states_survive_a_restart_and_timers_send_stuck_files_again(spark, folder):
+    now = datetime.now()
+
+    def append(*rows):
+        entries = spark.createDataFrame([(f, s, e, t, b, q) for f, s, e, t, b, q in rows], S.STATUS_LOG)
+        status.append_log(entries, f"{folder}/log")
+
+    def turn():
+        log = spark.readStream.schema(S.STATUS_LOG).parquet(f"{folder}/log")
+        with state.state_store(spark):
+            state.run_through(state.state_writer(log, f"{folder}/states", f"{folder}/c1"))
+            log = spark.readStream.schema(S.STATUS_LOG).parquet(f"{folder}/log")
+            state.run_through(state.sweep_writer(log, f"{folder}/log", f"{folder}/messages", f"{folder}/c2"))
+        return {r.file_id: (r.status, r.stuck) for r in state.read_states(spark, f"{folder}/states").collect()}
+
+    old = now - timedelta(hours=1)
+    append(("done", "PROCESSING", None, old, 1, 11), ("done", "COMPLETED", None, old, 1, 12), ("old", "PROCESSING", None, old, 1, 11), ("new", "PROCESSING", None, now, 1, 11))
+    assert turn() == {"done": ("COMPLETED", False), "old": ("PROCESSING", True), "new": ("PROCESSING", False)}
+    sent = [json.loads(r[0]) for r in spark.read.text(f"{folder}/messages/*").collect()]
+    assert sent == [{"fileId": "old", "expired": 1}]
+    append(("done", "PENDING", None, now, 1, 13), ("new", "FAILED", "x", now, 1, 12))
+    assert turn() == {"done": ("COMPLETED", False), "old": ("PENDING", False), "new": ("FAILED", False)}
+    log = status.read_log(spark, f"{folder}/log")
+    same = rows_of(status.latest_status(log), "file_id", "status")
+    assert same == [("done", "COMPLETED"), ("new", "FAILED"), ("old", "PENDING")]
+
+
+def test_redelivered_messages_are_dropped_after_a_restart(spark, folder, site, monkeypatch):
+    seen = []
+    monkeypatch.setattr(intake, "process_batch", lambda lines, *_: seen.extend(r[0] for r in lines.collect()))
+
+    def turn():
+        lines = intake.read_messages(spark, f"{folder}/messages")
+        intake.intake_writer(lines, site, f"{folder}/checkpoint", "10 minutes").trigger(availableNow=True).start().awaitTermination()
+
+    send(folder, "a.json", "p1", "p1", "f1", raw=["{broken"])
+    turn()
+    send(folder, "b.json", "p1", "b1", raw=["{broken", '{"fileId": "p1", "expired": 1}'])
+    turn()
+    assert sorted(seen) == sorted(['{"fileId": "p1"}', '{"fileId": "f1"}', "{broken", '{"fileId": "b1"}', '{"fileId": "p1", "expired": 1}'])
+
+
 def test_null_types_and_addresses_fail_alone(spark, folder, site):
     columns = spark.read.parquet(site.registry).columns
     good = spark.read.parquet(site.registry).filter("id = 'p1'")
