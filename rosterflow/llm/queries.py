@@ -181,7 +181,7 @@ def _quoted(pattern: str) -> str:
 
 SQL["op9_url_filter"] = f"""
 WITH RECURSIVE p AS (SELECT page_id, url, html, {_url_parts('url')} FROM pages),
-r AS (SELECT *, CASE WHEN host <> '' THEN host || path || query END AS resource, {_RULE} AS rule FROM p),
+r AS (SELECT * REPLACE (regexp_replace(html, {_quoted(url_filter.NO_MARKUP)}, '', 'g') AS html), CASE WHEN host <> '' THEN host || CASE path WHEN '' THEN '/' ELSE path END || query END AS resource, {_RULE} AS rule FROM p),
 tags AS (
   SELECT resource, host, regexp_extract(t, {_quoted(url_filter.CANONICAL_TARGET)}, 1) AS target
   FROM (SELECT resource, host, unnest(regexp_extract_all(html, {_quoted(url_filter.CANONICAL_TAG)})) AS t FROM r)
@@ -193,7 +193,7 @@ full_target AS (
   SELECT resource AS src, CASE WHEN starts_with(target, '//') THEN 'x:' || target WHEN starts_with(target, '/') THEN 'x://' || host || target ELSE target END AS url FROM tags
 ),
 links AS (
-  SELECT DISTINCT src, host || path || query AS dst FROM (SELECT src, {_url_parts('url')} FROM full_target) WHERE host <> '' AND src IS NOT NULL AND src <> host || path || query
+  SELECT DISTINCT src, dst FROM (SELECT src, host, host || CASE path WHEN '' THEN '/' ELSE path END || query AS dst FROM (SELECT src, {_url_parts('url')} FROM full_target)) WHERE host <> '' AND src IS NOT NULL AND src <> dst
 ),
 both_ways AS (SELECT src, dst FROM links UNION SELECT dst, src FROM links),
 reach AS (SELECT src AS node, src AS seen FROM both_ways UNION SELECT b.dst, reach.seen FROM reach JOIN both_ways b ON reach.node = b.src),
@@ -253,7 +253,8 @@ def op12_phrase_transducers(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op12_phrase_transducers"] = rf"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?
--]')) AS piece FROM documents
+-
+]')) AS piece FROM documents
 ),
 w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
 grams AS (

@@ -41,13 +41,14 @@ class Rule:
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Fixed patterns of the two kinds of links in a page, and of their targets.
-CANONICAL_TAG = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-REFRESH_TAG = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-CANONICAL_TARGET = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH_TARGET = r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)"""
+#: Fixed patterns of what is no markup of the page, of the two kinds of links in it, and of their targets.
+NO_MARKUP = r"""(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"""
+CANONICAL_TAG = r"""(?is)<link\b[^>]*\srel\s*=\s*["']?(?:[^"'>]*\s)?canonical(?:["'\s/][^>]*)?>"""
+REFRESH_TAG = r"""(?is)<meta\b[^>]*\shttp-equiv\s*=\s*["']?refresh(?:["'\s/][^>]*)?>"""
+CANONICAL_TARGET = r"""(?is)\shref\s*=\s*["']?([^"'\s>]+)"""
+REFRESH_TARGET = r"""(?is)[\s;"']url\s*=\s*["']?([^"'\s>]+)"""
 #: The element that names what relative targets are relative to; its target is read as a canonical link's.
-BASE_TAG = r"""(?is)<base\b[^>]*\bhref\s*=[^>]*>"""
+BASE_TAG = r"""(?is)<base\b[^>]*\shref\s*=[^>]*>"""
 #: Character references and what lies between them, and those that are decoded by name.
 _REFERENCES = r"(?s)&#[0-9]{1,7};?|&#[xX][0-9a-fA-F]{1,6};?|&[a-zA-Z]+;|[^&]+|&"
 _NAMED = {"&amp;": "&", "&AMP;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'"}
@@ -62,9 +63,9 @@ def path_of(url: Column) -> Column:
 
 
 def resource_of(url: Column) -> Column:
-    """What names a resource: host, path and query, without scheme and fragment; null if there is no host."""
-    host = host_of(url)
-    return F.when(host != "", F.concat(host, path_of(url), F.coalesce(F.regexp_extract(url, _URL, 3), F.lit(""))))
+    """What names a resource: host, path and query, without scheme and fragment; null if there is no host. No path is ``/``."""
+    host, path = host_of(url), path_of(url)
+    return F.when(host != "", F.concat(host, F.when(path == "", "/").otherwise(path), F.coalesce(F.regexp_extract(url, _URL, 3), F.lit(""))))
 
 
 def fitting_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
@@ -141,9 +142,11 @@ def page_links(pages: DataFrame) -> DataFrame:
     """Distinct ``(src, dst)`` resources tied by a canonical link or a redirect in a page.
 
     Targets may be absolute or relative to the page, or to what its first ``base`` names; character
-    references in them are decoded. Targets with a scheme but no host are left out.
+    references in them are decoded. Targets with a scheme but no host are left out, and so is what looks like a
+    link in a comment, script or style.
     """
-    html = F.col("html")
+    linking = F.col("html").rlike(CANONICAL_TAG) | F.col("html").rlike(REFRESH_TAG)
+    html = F.when(linking, F.regexp_replace("html", NO_MARKUP, ""))
     tags = F.concat(
         F.transform(F.regexp_extract_all(html, F.lit(CANONICAL_TAG), F.lit(0)), lambda t: F.regexp_extract(t, CANONICAL_TARGET, 1)),
         F.transform(F.regexp_extract_all(html, F.lit(REFRESH_TAG), F.lit(0)), lambda t: F.regexp_extract(t, REFRESH_TARGET, 1)),

@@ -1,5 +1,10 @@
 """Queries against their SQL, URL filters, and the pipeline against brute force."""
 
+import os
+import subprocess
+import sys
+
+import duckdb
 import oracle
 import pytest
 import sentencepiece
@@ -24,7 +29,7 @@ def test_query_matches_sql(spark, db, name):
 
 def test_all_operators_are_registered():
     numbers = {name[2:].partition("_")[0] for name in QUERIES}
-    assert numbers == {str(n) for n in range(1, 11)}
+    assert numbers == {str(n) for n in range(1, 14)}
     assert "pipeline" in corpus_pipeline.QUERIES and corpus_pipeline.ORACLE_SQL is None
 
 
@@ -89,6 +94,40 @@ def test_targets_of_links_are_resolved(spark, url, html, dst):
     assert [r["dst"] for r in url_filter.page_links(pages).collect()] == ([dst] if dst else [])
 
 
+@pytest.mark.parametrize(
+    "html, dst",
+    [
+        ("<script>var t = '<link rel=canonical href=http://t.com/a>'</script>", None),
+        ("<!-- <link rel=canonical href='http://t.com/a'> -->", None),
+        ("<style>/* <link rel=canonical href='http://t.com/a'> */", None),
+        ("<link data-rel='canonical' href='http://t.com/a'>", None),
+        ("<link rel='canonical-x' href='http://t.com/a'>", None),
+        ("<link rel='canonical' data-href='http://t.com/a'>", None),
+        ("<link rel='nofollow canonical' href='http://t.com/a'>", "t.com/a"),
+        ("<script src=x></script><link href='http://t.com' rel=canonical>", "t.com/"),
+        ("<meta http-equiv=refresh content='0;url=http://t.com?x'>", "t.com/?x"),
+    ],
+)
+def test_only_markup_ties_pages(spark, html, dst):
+    found = url_filter.page_links(spark.createDataFrame([("http://p.com", html)], "url string, html string")).collect()
+    assert [tuple(r) for r in found] == ([("p.com/", dst)] if dst else [])
+
+
+def test_links_of_the_query_are_those_of_its_sql(spark):
+    rows = [
+        (1, "http://p.com/1", "<!-- <link rel=canonical href='http://a.net/'> -->x"), (2, "http://p.com/2", "<link rel=canonical href='http://t.com'>"),
+        (3, "http://t.com/", "<meta http-equiv=refresh content='1; url=http://bad.net/z'>"), (4, "http://p.com/4", "<link data-rel=canonical href='http://bad.net/z'>"), (5, "http://bad.net", None),
+    ]
+    frame = spark.createDataFrame(rows, "page_id int, url string, html string")
+    db = duckdb.connect()
+    db.execute("CREATE TABLE pages (page_id INT, url VARCHAR, html VARCHAR)")
+    db.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    want = {r[0]: r[1] for r in db.execute(f"SELECT page_id, verdict FROM ({SQL['op9_url_filter']})").fetchall()}
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(frame, URL_RULES).collect()}
+    assert got == want == {1: "allow", 2: "block", 3: "block", 4: "allow", 5: "block"}
+    assert url_filter.judge(frame.limit(0), URL_RULES).isEmpty()
+
+
 def test_an_allowed_alias_wins_over_a_blocked_one(spark):
     pages = spark.createDataFrame([(1, "http://plain.com/"), (2, "http://q.com/")], "page_id int, url string")
     links = spark.createDataFrame([("plain.com/", "bad.net/"), ("plain.com/", "good.org/fr/"), ("q.com/", "bad.net/x")], "src string, dst string")
@@ -134,3 +173,20 @@ def test_stages_take_odd_rows(spark):
         assert set(map(tuple, out.collect())) <= set(map(tuple, docs.collect()))
         assert stage(spark, docs.limit(0), SMALL).isEmpty()
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == len(odd_rows())
+
+
+def test_workers_are_given_the_package(tmp_path):
+    """A session elsewhere, which has the package on the driver's path alone."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"import sys\nsys.path.insert(0, {root!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
+        "from rosterflow.llm import decontaminate, near_dedup\n"
+        "docs = spark.createDataFrame([(1, 'a b c d'), (2, 'a b c d')], 'doc_id long, text string')\n"
+        "print('KEPT', near_dedup.representatives(docs, 2).count(), decontaminate.clean(docs, docs.selectExpr('doc_id AS item_id', 'text')).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    ran = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=280)
+    assert "KEPT 1 0" in ran.stdout, ran.stderr[-2000:]
