@@ -21,7 +21,7 @@ from rosterflow.operators.validate import damaged_issues, header_issues
 from rosterflow.plans import submissions
 from rosterflow.plans.geography import boundary_table
 from rosterflow.plans.geography import gazetteer_table as gazetteer
-from rosterflow.plans.jobs import load_boundaries
+from rosterflow.plans.jobs import load_boundaries, load_uploads
 from rosterflow.queries.registry import Tables, query
 from rosterflow.queries.submissions import PLACES_SQL, places
 from rosterflow.session import fresh_path, ship
@@ -372,6 +372,44 @@ def io_shapefile(t):
     return table.select("geoid", "name", "source_year", corners[0].alias("x0"), corners[1].alias("x1"))
 
 
+def write_books(rows: DataFrame, folder: str, book_rows: int = LAYER_ROWS) -> None:
+    """Rows as workbooks of at most ``book_rows`` each under a header, written where the rows are."""
+    names = rows.columns
+
+    def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = fs.FileSystem.from_uri(plain_address(folder))
+        system.create_dir(root)
+        number, task = 0, TaskContext.get().partitionId()
+        for batch in batches:
+            for start in range(0, len(batch), book_rows):
+                cells = batch.iloc[start : start + book_rows].astype(object).where(lambda df: df.notna(), None).values.tolist()
+                with system.open_output_stream(f"{root}/book-{task}-{number}.xlsx") as out:
+                    out.write(workbook_bytes({"rows": [names, *cells]}))
+                number += 1
+        yield pd.DataFrame({"books": [number]})
+
+    rows.mapInPandas(written, "books long").write.format("noop").mode("overwrite").save()
+
+
+@query("""
+SELECT CASE WHEN length(CAST(c_custkey AS VARCHAR)) <= 5 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') ELSE CAST(c_custkey AS VARCHAR) END AS ssa_state_county_code,
+       c_name AS provider_name, CASE WHEN c_nationkey % 2 = 0 THEN 'csv' ELSE 'xlsx' END AS kind, c_custkey % 2 = 0 AS accepts_new_patients, 'org-' || CASE WHEN c_nationkey % 2 = 0 THEN 'csv' ELSE 'xlsx' END AS organization_id
+FROM customer
+""")
+def io_mixed_uploads(t):
+    """Customers uploaded as CSV files and as workbooks, loaded by one job."""
+    folder, rows = fresh_path(t.spark, "uploads"), customer_upload(t)
+    ship(t.spark)
+    even = F.col("specialty_code").cast("int") % 2 == 0
+    rows.filter(even).write.options(header=True, escape='"').csv(f"{folder}/csv")
+    write_books(rows.filter(~even), f"{folder}/xlsx")
+    files = [(plain_address(f), kind) for kind in ("csv", "xlsx") for f in t.spark.read.format("binaryFile").load(f"{folder}/{kind}").inputFiles()]
+    manifest = t.spark.createDataFrame([(f, kind, f"org-{kind}", f"{kind}-{i}") for i, (f, kind) in enumerate(files)], "source_file string, kind string, organization_id string, source_file_id string")
+    load_uploads(t.spark, manifest, "org_provider", f"{folder}/table", [f for f, _ in files])
+    stored = stored_files(t.spark, f"{folder}/table")
+    return stored.select("ssa_state_county_code", "provider_name", F.substring_index("source_file_id", "-", 1).alias("kind"), "accepts_new_patients", "organization_id")
+
+
 @query("""
 SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'
 AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')

@@ -2,7 +2,8 @@
 
 Spark lists and ships the files; each task unpacks its workbooks and yields rows in
 batches. Cells arrive as text: whole numbers without a fraction, other numbers in
-their shortest form.
+their shortest form, numbers whose style shows a date or a time as such
+(``2025-03-01``, ``2025-03-01 08:30:00``, ``08:30:00``).
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
+from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -29,6 +31,12 @@ _BATCH = 4096
 _DECODED = "path string, sheet_no int, sheet string, row_idx bigint, cells array<string>, error string"
 
 
+#: Numbers of the built-in formats of dates and times.
+_DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+#: What of a format's code is no part of the value: quoted text, escaped characters, colours and conditions.
+_NO_VALUE = re.compile(r'"[^"]*"|\\.|_.|\*.|\[(?![hms]+\])[^\]]*\]')
+
+
 def _text_of(element) -> str:
     """Text of a string item, phonetic hints left out."""
     parts = [t.text or "" for t in element.findall(f"{_MAIN}t")]
@@ -41,7 +49,31 @@ def _number_text(raw: str) -> str:
     return str(int(value)) if value.is_integer() else repr(value)
 
 
-def _cell_text(element, shared: list[str]) -> str | None:
+def _date_styles(book: zipfile.ZipFile) -> set[int]:
+    """Numbers of the cell styles that show a date or a time."""
+    if "xl/styles.xml" not in book.namelist():
+        return set()
+    root = ElementTree.fromstring(book.read("xl/styles.xml"))
+    shown = {int(f.get("numFmtId")): f.get("formatCode") or "" for f in root.iter(f"{_MAIN}numFmt")}
+    dates = _DATE_FORMATS - set(shown) | {n for n, code in shown.items() if re.search("[dmyhs]", _NO_VALUE.sub("", code.lower()))}
+    styles = root.find(f"{_MAIN}cellXfs")
+    return {i for i, style in enumerate(styles if styles is not None else ()) if int(style.get("numFmtId", 0)) in dates}
+
+
+def _date_text(raw: str, epoch: datetime) -> str:
+    """A serial number of days as the date, time or both that it shows, to the second."""
+    days = float(raw)
+    if not 0 <= days < 2_958_466:  # the last day that a workbook can show is of the year 9999
+        return _number_text(raw)
+    if epoch.year < 1900 and 1 <= days < 60:
+        days += 1  # that calendar has a 29 February in 1900
+    at = epoch + timedelta(seconds=round(days * 86_400))
+    if days < 1:
+        return at.strftime("%H:%M:%S")
+    return at.strftime("%Y-%m-%d" if days.is_integer() else "%Y-%m-%d %H:%M:%S")
+
+
+def _cell_text(element, shared: list[str], dates: set[int], epoch: datetime) -> str | None:
     kind = element.get("t", "n")
     if kind == "inlineStr":
         inline = element.find(f"{_MAIN}is")
@@ -53,7 +85,9 @@ def _cell_text(element, shared: list[str]) -> str | None:
         return shared[int(value)]
     if kind == "b":
         return "True" if value == "1" else "False"
-    return _number_text(value) if kind == "n" else value
+    if kind != "n":
+        return value
+    return _date_text(value, epoch) if int(element.get("s", 0)) in dates else _number_text(value)
 
 
 def _column_no(reference: str) -> int:
@@ -63,7 +97,7 @@ def _column_no(reference: str) -> int:
     return n - 1
 
 
-def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator[tuple[int, list[str | None]]]:
+def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str], dates: set[int], epoch: datetime) -> Iterator[tuple[int, list[str | None]]]:
     with book.open(part) as stream:
         row_no = -1
         for _, row in ElementTree.iterparse(stream):
@@ -77,7 +111,7 @@ def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator
             for element in row.findall(f"{_MAIN}c"):
                 column = _column_no(element.get("r")) if element.get("r") else len(cells)
                 cells.extend([None] * (column - len(cells)))
-                cells.append(_cell_text(element, shared))
+                cells.append(_cell_text(element, shared, dates, epoch))
             yield row_no, cells
             row.clear()
 
@@ -91,11 +125,14 @@ def decode_workbook(content: bytes) -> Iterator[tuple[int, str, int, list[str |
             shared = [_text_of(item) for item in root.findall(f"{_MAIN}si")]
         links = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
         targets = {link.get("Id"): link.get("Target") for link in links}
-        sheets = ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{_MAIN}sheet")
-        for number, sheet in enumerate(sheets):
+        described = ElementTree.fromstring(book.read("xl/workbook.xml"))
+        settings = described.find(f"{_MAIN}workbookPr")
+        late = settings is not None and settings.get("date1904") in ("1", "true")
+        epoch, dates = datetime(1904, 1, 1) if late else datetime(1899, 12, 30), _date_styles(book)
+        for number, sheet in enumerate(described.iter(f"{_MAIN}sheet")):
             target = targets[sheet.get(_REL_ID)]
             part = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
-            for row_no, cells in _sheet_rows(book, part, shared):
+            for row_no, cells in _sheet_rows(book, part, shared, dates, epoch):
                 yield number, sheet.get("name"), row_no, cells
 
 

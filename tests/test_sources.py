@@ -1,4 +1,7 @@
+import io
 import struct
+import zipfile
+from xml.sax.saxutils import escape
 
 import pytest
 from conftest import rows_of
@@ -179,6 +182,34 @@ def test_workbook_shared_strings_and_gaps(spark, folder):
     assert [r[2:] for r in rows[:1] + rows[2:4]] == [(0, []), (2, []), (3, [])]  # rows without cells count
 
 
+def styled_workbook(codes, cells, settings=""):
+    """A workbook of one row; ``codes`` are the formats of its styles, by number or by code."""
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    own = [c for c in codes if isinstance(c, str)]
+    formats = "".join(f'<numFmt numFmtId="{164 + i}" formatCode="{escape(c, {chr(34): "&quot;"})}"/>' for i, c in enumerate(own))
+    styles = "".join(f'<xf numFmtId="{164 + own.index(c) if isinstance(c, str) else c}"/>' for c in codes)
+    row = "".join(f'<c s="{s}"><v>{v}</v></c>' for s, v in cells)
+    with zipfile.ZipFile(io.BytesIO(workbook_bytes({"S": []}))) as old:
+        parts = {n: old.read(n) for n in old.namelist()}
+    parts["xl/styles.xml"] = f'<styleSheet {ns}><numFmts>{formats}</numFmts><cellStyleXfs><xf numFmtId="14"/></cellStyleXfs><cellXfs>{styles}</cellXfs></styleSheet>'.encode()
+    parts["xl/worksheets/sheet1.xml"] = f"<worksheet {ns}><sheetData><row>{row}</row></sheetData></worksheet>".encode()
+    parts["xl/workbook.xml"] = parts["xl/workbook.xml"].replace(b"<sheets>", settings.encode() + b"<sheets>")
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as book:
+        for name, content in parts.items():
+            book.writestr(name, content)
+    return out.getvalue()
+
+
+def test_date_cells_are_dates():
+    codes = [0, 14, 22, "yyyy\\-mm", '#,##0 "days"', "[Red]0.00", "[h]:mm", "0_m", "General"]
+    cells = [(0, 45717), (1, 45717), (2, "45717.354166666664"), (3, 45717), (4, 45717), (5, 1.5), (6, 0.25), (7, 3), (8, 7), (1, 1), (1, 59), (1, 61), (1, -2), (2, "45717.99999999")]
+    (row,) = workbook.decode_workbook(styled_workbook(codes, cells))
+    assert row[3] == ["45717", "2025-03-01", "2025-03-01 08:30:00", "2025-03-01", "45717", "1.5", "06:00:00", "3", "7", "1900-01-01", "1900-02-28", "1900-03-01", "-2", "2025-03-02 00:00:00"]
+    (row,) = workbook.decode_workbook(styled_workbook([14], [(0, 0.5), (0, 44255)], '<workbookPr date1904="1"/>'))
+    assert row[3] == ["12:00:00", "2025-03-01"]
+
+
 def test_unreadable_workbook(spark, folder):
     put(folder, "bad.xlsx", b"not a zip")
     with pytest.raises(Exception, match="unreadable workbook"):
