@@ -18,6 +18,12 @@ number of shingles hashed to each: two bitmaps differ in no more bits than the s
 shingles that only one of them has, so that a pair whose bitmaps differ too much cannot be
 linked. Pairs that pass are confirmed on the full sets of both texts.
 
+Buckets of more than ``LARGE`` members that are still in different components, such as pages of one
+template that are no duplicates, are not held against each other. Their members meet by their rarest
+shingles instead: two sets that can be linked have one in common among the rarest fifth (and one
+more) of each, in one order of all shingles by how many members have them. So pages of a template
+meet only if they share more than it.
+
 Rows with a null id are linked with nothing. Empty and null texts have an empty set and are
 linked with nothing. An id with several texts counts as several documents. Columns of the
 documents other than id and text are not looked at.
@@ -30,7 +36,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterflow.llm import arrays
@@ -39,6 +45,8 @@ from rosterflow.session import materialise
 
 PLACES, CHUNKS, MOST_ERRORS = 64, 14, 27
 BITS = 1024
+#: Members of an open bucket that are all held against each other.
+LARGE = 64
 #: Linked if the intersection has at least so many percent of the union.
 PERCENT = 80
 #: Ids that may be broadcast to pick their texts from the documents; beyond, the join shuffles.
@@ -168,6 +176,45 @@ def confirm(pairs: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     return both.mapInArrow(part, both.select("src", "dst").schema).distinct()
 
 
+def rare_shingles(members: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+    """``rep, component, size, hash`` of the rarest shingles of each member (``rep, component``) that can decide its links.
+
+    Sets that share ``PERCENT`` of their union share as much of each of them, hence one of any
+    ``size - ceil(PERCENT * size / 100) + 1`` of either, if both are taken in one order.
+    """
+    texts = _with_text(members.withColumnRenamed("rep", "src"), documents, "src").select("src", "component", "text")
+    texts = texts.withColumn("owner", F.xxhash64("src", "text"))
+    arrays.prepare(documents.sparkSession)
+
+    def part(batches):
+        for batch in batches:
+            for piece in arrays.slices(batch, 2):
+                hashes, first = shingles(arrays.Words(arrays.Texts(piece.column(2)), arrays.SPACED, fold=True), width)
+                size = np.diff(first)
+                row = pa.array(np.repeat(np.arange(len(size)), size))
+                columns = [piece.column(0).take(row), piece.column(1).take(row), piece.column(3).take(row), pa.array(np.repeat(size, size)), pa.array(hashes.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["rep", "component", "owner", "size", "hash"])
+
+    kinds = dict(texts.dtypes)
+    rows = texts.mapInArrow(part, f"rep {kinds['src']}, component {kinds['component']}, owner long, size long, hash long")
+    rows = materialise(rows, "member-shingles")
+    counts = rows.groupBy("hash").agg(F.count("*").alias("held"))
+    rarest = Window.partitionBy("owner").orderBy("held", "hash")
+    ranked = rows.join(counts, "hash").withColumn("place", F.row_number().over(rarest))
+    wanted = F.col("size") - F.ceil(F.col("size") * PERCENT / 100) + 1
+    return ranked.filter((F.col("place") <= wanted) & (F.col("held") > 1)).select("rep", "component", "size", "hash")
+
+
+def rare_pairs(members: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+    """Distinct pairs ``src, dst`` of members in different components that share one of their rarest shingles."""
+    rare = materialise(rare_shingles(members, documents, width), "rare-shingles")
+    a, b = rare.alias("a"), rare.alias("b")
+    sizes = F.col("a.size"), F.col("b.size")
+    similar = 100 * F.least(*sizes) >= PERCENT * F.greatest(*sizes)
+    met = a.join(b, (F.col("a.hash") == F.col("b.hash")) & (F.col("a.component") < F.col("b.component")) & similar)
+    return met.select(F.greatest("a.rep", "b.rep").alias("src"), F.least("a.rep", "b.rep").alias("dst")).filter("src != dst").distinct()
+
+
 def link(documents: DataFrame, width: int) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable, for every row of ``documents``."""
     sketches = materialise(sketch(documents, width), "sketches")
@@ -196,11 +243,16 @@ def link(documents: DataFrame, width: int) -> DataFrame:
 
     # what the stars have not connected: members of one bucket in different components
     placed = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") != F.col("high")).select("key")
-    open_ = materialise(placed.join(mixed, "key", "left_semi").join(codes, "rep"), "open")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).filter(F.col("low") != F.col("high"))
+    mixed = materialise(mixed.select("key", "members"), "mixed")
+    open_ = materialise(placed.join(mixed.filter(F.col("members") <= LARGE), "key", "left_semi").join(codes, "rep"), "open")
     a, b = open_.alias("a"), open_.alias("b")
     across = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & _close("a", "b"))
-    rest = across.select(F.greatest("a.rep", "b.rep").alias("src"), F.least("a.rep", "b.rep").alias("dst")).distinct()
+    rest = across.select(F.greatest("a.rep", "b.rep").alias("src"), F.least("a.rep", "b.rep").alias("dst"))
+    crowded = materialise(placed.join(mixed.filter(F.col("members") > LARGE), "key", "left_semi").select("rep", "component").distinct(), "crowded")
+    if not crowded.isEmpty():
+        rest = rest.unionByName(possible(rare_pairs(crowded, documents, width)))
+    rest = rest.distinct()
     rest = materialise(rest.join(stars, ["src", "dst"], "left_anti"), "rest")
     more = materialise(confirm(rest, documents, width), "links")
     if not more.isEmpty():

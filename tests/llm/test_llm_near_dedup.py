@@ -69,6 +69,31 @@ def test_same_as_all_pairs(spark, seed):
     assert found(spark.createDataFrame(rows, SCHEMA), 2) == brute(rows, 2)
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_large_buckets_by_rare_shingles_give_the_same(spark, monkeypatch, seed):
+    rows = families(seed)
+    monkeypatch.setattr(near_dedup, "LARGE", 2)
+    assert found(spark.createDataFrame(rows, SCHEMA), 2) == brute(rows, 2)
+
+
+def templated(count, seed=1):
+    """Pages of one template that are no duplicates (similarity about 0.57), the first ten of them with a near copy."""
+    chance = random.Random(seed)
+    template = " ".join(f"t{i}" for i in range(120))
+    texts = [template + " " + " ".join(f"o{chance.randrange(10**9)}" for _ in range(45)) for _ in range(count)]
+    return list(enumerate(texts + [t + " end" for t in texts[:10]]))
+
+
+def test_templated_pages_meet_only_their_copies(spark):
+    for count in (300, 1200):
+        rows = templated(count)
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        members = frame.select(F.col("doc_id").alias("rep"), F.col("doc_id").alias("component"))
+        assert sorted(map(tuple, near_dedup.rare_pairs(members, frame, 2).collect())) == [(count + i, i) for i in range(10)]
+    linked = near_dedup.link(frame, 2).filter("doc_id != component_id").collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in linked) == [(1200 + i, i) for i in range(10)]
+
+
 def test_shuffled_ids_give_the_same(spark, monkeypatch):
     rows = families(3)
     monkeypatch.setattr(near_dedup, "BROADCAST_ROWS", 0)
