@@ -1,11 +1,8 @@
-"""Language-model scores of a weighted backoff automaton of word n-grams, evaluated place by place.
+"""Language-model scores of a weighted backoff automaton of word n-grams.
 
-In the automaton every history seen in training is a state, with an arc for each word seen after
-it and a failure arc to the next shorter history, and the log10 weights of the arcs taken add up
-to the score. No states or arcs are built here and no state is carried along a text: the weight at
-every place is interpolated from the counts of the n-grams that end there, order by order over
-whole arrays, which for this smoothing is the weight the automaton gives. The order is
-``Settings.order``, 2 unless told otherwise: one word of context. With counts c and strength S,
+Every history seen in training is a state, with an arc for each word seen after it and a failure
+arc to the next shorter history; a text is walked once from left to right, its state is carried
+along, and the log10 weights of the arcs taken add up to its score. With counts c and strength S,
 
     p(w | h) = (c(h w) + S p(w | shorter h)) / (c(h) + S)
 
@@ -15,9 +12,9 @@ and D V / N for the unknown word. Both sum to 1 over the V known words and the u
 Counts are exact and cover all training texts. The model grows with the corpus, so it is never
 held in one place. Documents are cut into blocks; a block's distinct n-grams, with its own
 training counts, go to buckets of their hash, where the counts of all blocks are added up and
-answered to each block in the order asked. Blocks then meet their answers and are scored, each
-with just the counts of its own n-grams. Common words cost one entry a
-block, so no bucket depends on how often a word occurs.
+answered to each block in the order asked. Blocks then meet their answers; each builds the states
+and arcs that its own texts can reach and walks them. Common words cost one entry a block, so
+no bucket depends on how often a word occurs.
 
 The documents are read twice and must give the same rows in the same partitions both times, as
 tables do; otherwise the query fails rather than scores wrongly. Null and empty texts are just
@@ -26,6 +23,7 @@ the end of a text. The operator's columns replace columns of the same names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +39,8 @@ from rosterflow.session import materialise
 
 #: Text bytes per bucket of n-grams.
 BUCKET_BYTES = 4_000_000
+#: Words of a text walked in one go.
+PIECE = 512
 START, END = np.uint64(0x5374617274), np.uint64(0x456E64)
 
 
@@ -101,32 +101,115 @@ class Block:
             for low, high in zip(heads.tolist(), [*heads[1:].tolist(), len(grams)], strict=True):
                 yield k, int(bucket[low]), grams[low:high], counts[low:high]
 
+    def histories(self, k: int, sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For n-grams of order ``k`` that end at the given tokens: the numbers of their first and of their last
+        ``k - 1`` words among the n-grams of that order; -1 for the start of a text as a history."""
+        before = np.full(len(self.tokens), -1)
+        before[self.has[k - 2]] = self.number[k - 2]
+        own = before[sample]
+        inner = self.place[sample] > 1
+        return np.where(inner, before[sample - 1], -1), own
+
     def scores(self, counts: list[np.ndarray], totals: Totals, settings: Settings) -> list[np.ndarray]:
         """Per text: tokens, known tokens, base score and score, from the training counts of the distinct n-grams."""
-        size = len(self.tokens)
         known = counts[0][self.number[0]]
         base = np.log10((known + settings.added) / (totals.tokens + settings.added * (totals.kinds + 1)))
+        found = Automaton(self, counts, totals, settings).walk(self.number[0], self.first)
+        return [np.diff(self.first), arrays.text_sums(known > 0, self.first), arrays.text_sums(base, self.first), found]
+
+
+class Automaton:
+    """The part of the weighted backoff automaton that the texts of a block can reach.
+
+    A state is a history that was seen in training: state 0 the empty one, state 1 the start of a
+    text, then the seen n-grams of one word, of two, and so on. Every n-gram seen is an arc from
+    its history to the longest history that it leaves, with the log10 of its interpolated
+    probability. The failure arc of a state leads to its history without the first word and
+    weighs what the state gives to all words not seen after it.
+    """
+
+    def __init__(self, block: Block, counts: list[np.ndarray], totals: Totals, settings: Settings):
+        self.words, self.order = len(block.grams[0]), len(counts)
         discount = totals.once / (totals.once + 2 * totals.twice) if totals.once else 0.5
         total = max(totals.tokens, 1)
-        unknown = discount * totals.kinds / total if totals.tokens else 1.0
-        chance = np.where(known > 0, (known - discount) / total, unknown)
-        chance = np.maximum(chance, np.finfo(float).tiny)
+        least = np.finfo(float).tiny
+        self.unknown = math.log10(max(discount * totals.kinds / total if totals.tokens else 1.0, least))
         # the start of a text is a history as often as the end is a token
-        history = np.empty(size, np.int64)
-        history[1:] = known[:-1]
-        history[self.first[:-1]] = known[self.ends]
-        for k in range(2, len(counts) + 1):
-            has, seen = self.has[k - 1], np.zeros(size, np.int64)
-            seen[has] = counts[k - 1][self.number[k - 1]]
-            # a state without a count does not exist: the traversal is in the shorter history already
-            weight = np.where(history > 0, (seen + settings.strength * chance) / (history + settings.strength), chance)
-            chance = np.where(self.place >= k - 1, weight, chance)
-            longer = np.zeros(size, np.int64)
-            longer[1:] = seen[:-1]
-            longer[self.first[:-1]] = 0
-            history = longer
-        lengths = np.diff(self.first)
-        return [lengths, arrays.text_sums(known > 0, self.first), arrays.text_sums(base, self.first), arrays.text_sums(np.log10(chance), self.first)]
+        starts = int(counts[0][block.number[0][block.ends[0]]]) if len(block.ends) else 0
+        state = [np.full(len(c), -1) for c in counts]
+        weight, fails, states = [0.0, math.log10(settings.strength / (starts + settings.strength))], [0, 0], 2
+        keys, chances, targets = [], [], []
+        before = None
+        for k, seen in enumerate(counts, 1):
+            some = np.flatnonzero(seen)
+            if k == 1:
+                from_, back = np.zeros(len(some), np.int64), np.zeros(len(some), np.int64)
+                word, chance = some, np.maximum((seen[some] - discount) / total, least)
+            else:
+                sample = np.empty(len(seen), np.int64)
+                sample[block.number[k - 1]] = block.has[k - 1]
+                history, suffix = block.histories(k, sample[some])
+                held = np.where(history >= 0, counts[k - 2][history], starts)
+                from_ = np.where(history >= 0, state[k - 2][history], 1)
+                word, back = block.number[0][sample[some]], state[k - 2][suffix]
+                chance = (seen[some] + settings.strength * before[suffix]) / (held + settings.strength)
+            if k < self.order:
+                state[k - 1][some] = states + np.arange(len(some))
+                states += len(some)
+                weight.append(np.log10(settings.strength / (seen[some] + settings.strength)))
+                fails.append(back)
+                targets.append(state[k - 1][some])
+            else:
+                targets.append(back)
+            before = np.zeros(len(seen))
+            before[some] = chance
+            keys.append(from_ * self.words + word)
+            chances.append(np.log10(chance))
+        order = np.argsort(key := np.concatenate(keys))
+        self.keys, self.weights, self.targets = key[order], np.concatenate(chances)[order], np.concatenate(targets)[order]
+        self.failed, self.fails = np.hstack(weight), np.hstack(fails).astype(np.int64)
+        self.begin = 1 if starts and self.order > 1 else 0
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log10 probability of a word in each state, and the state it leads to."""
+        gained, state = np.zeros(len(state)), state.copy()
+        open_ = np.arange(len(state))
+        while len(open_):
+            key = state[open_] * self.words + word[open_]
+            at = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+            hit = self.keys[at] == key if len(self.keys) else np.zeros(len(key), bool)
+            gained[open_[hit]] += self.weights[at[hit]]
+            state[open_[hit]] = self.targets[at[hit]]
+            open_ = open_[~hit]
+            lost = state[open_] == 0
+            gained[open_[lost]] += self.unknown
+            open_ = open_[~lost]
+            gained[open_] += self.failed[state[open_]]
+            state[open_] = self.fails[state[open_]]
+        return gained, state
+
+    def walk(self, word: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Log10 probability of each text, walked from left to right, all texts side by side.
+
+        A long text is walked in pieces of ``PIECE`` words. What state a piece begins in
+        follows from the few words before it, which are walked first.
+        """
+        lengths = np.diff(first)
+        pieces = -(-lengths // PIECE)
+        text = np.repeat(np.arange(len(lengths)), pieces)
+        place = PIECE * (np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        size = np.minimum(PIECE, lengths[text] - place)
+        ahead = np.minimum(self.order - 1, place)
+        begin = first[text] + place - ahead
+        order = np.argsort(-(size + ahead), kind="stable")
+        begin, ahead, left = begin[order], ahead[order], (size + ahead)[order]
+        state = np.where(place[order] - ahead > 0, 0, self.begin)
+        total = np.zeros(len(text))
+        for k in range(int(left[0]) if len(left) else 0):
+            now = int(np.searchsorted(-left, -k, "left"))  # pieces of more than k words
+            gained, state[:now] = self.step(state[:now], word[begin[:now] + k])
+            total[:now] += np.where(ahead[:now] <= k, gained, 0.0)
+        return np.bincount(text[order], total, len(lengths))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], column: int, flag: int, settings: Settings) -> Iterator[tuple[int, Block, pa.RecordBatch]]:
