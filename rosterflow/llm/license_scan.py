@@ -21,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rosterflow.llm import arrays
 
@@ -28,6 +29,8 @@ WIDTH = 2
 CONTAINMENT = 0.8
 CERTAINTY = 0.9999
 BLOCK_BYTES = 2_000_000
+#: Bytes of templates that a table may hold.
+TEMPLATE_BYTES = 16_000_000
 
 #: License notices by name, in words that projects publish them with.
 TEMPLATES = {
@@ -161,6 +164,18 @@ def _compute(found: list[Group], retrieve: bool):
     return compute
 
 
+def templates_of(table: DataFrame, most_bytes: int = TEMPLATE_BYTES) -> dict[str, str]:
+    """Templates from a table with ``name`` and ``text``, such as whole license texts; the first text of a name counts.
+
+    Every task has all templates, so a table of more than ``most_bytes`` is refused rather than sent.
+    """
+    named = table.filter(F.col("name").isNotNull() & F.col("text").isNotNull()).groupBy("name").agg(F.min("text").alias("text"))
+    size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > most_bytes:
+        raise ValueError(f"templates of {size} bytes; {most_bytes} may be sent to all tasks")
+    return {r["name"]: r["text"] for r in named.collect()}
+
+
 def match(documents: DataFrame, templates: dict[str, str] | None = None, keep: tuple[str, ...] | None = None, retrieve: bool = True) -> DataFrame:
     """The columns of ``documents`` (or those in ``keep``) and ``matches``, by place and name, in one pass without a shuffle.
 

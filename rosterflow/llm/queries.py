@@ -62,9 +62,10 @@ def piece_model() -> piece_codec.PieceModel:
 
 @query
 def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces of every document, their digest, and the digest of the decoded text."""
+    """Pieces of every document, their digest, those of their spans in the text's bytes and of the decoded text."""
     encoded = piece_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(), keep=("doc_id",))
-    return encoded.select("doc_id", *piece_digests())
+    spans = F.concat_ws(";", *(F.array_join(F.col(c).cast("array<string>"), ",") for c in ("begins", "ends")))
+    return encoded.select("doc_id", *piece_digests(), F.sha2(spans, 256).alias("spans_sha256"))
 
 
 def piece_digests() -> list[Column]:

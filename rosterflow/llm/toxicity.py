@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,10 @@ from rosterflow.llm import arrays
 from rosterflow.llm.learning import sample_texts, training_labels
 
 
+#: Tasks whose counts are added up at a time.
+TOGETHER = 32
+
+
 @dataclass(frozen=True)
 class Settings:
     """``sample_rows`` and ``sample_bytes`` bound what the weights are fitted on."""
@@ -67,12 +72,13 @@ def distinct(keys: np.ndarray) -> np.ndarray:
 def document_counts(labelled: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every bucket the number of documents of label 0 and 1 that have it; and the number of documents.
 
-    Each task adds its documents up; the vectors, cut in chunks, are added up by chunk.
+    Each task adds its documents up; the vectors, cut in chunks, are added up by chunk, first those of
+    ``TOGETHER`` tasks and then the sums, so that no group grows with the number of tasks alone.
     """
     size, cut = 1 << settings.bits, 64
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have, rows = np.zeros((2, size), np.int64), np.zeros(2, np.int64)
+        have, rows, tasks = np.zeros((2, size), np.int64), np.zeros(2, np.int64), TaskContext.get().partitionId() // TOGETHER
         for batch in batches:
             for piece in arrays.slices(batch, 0):
                 found, first = features(arrays.Texts(piece.column(0)), settings)
@@ -84,18 +90,19 @@ def document_counts(labelled: DataFrame, settings: Settings) -> tuple[np.ndarray
         if rows.sum():
             for k in (0, 1):
                 for i, chunk in enumerate(np.split(have[k], cut)):
-                    yield pa.record_batch([pa.array([k * cut + i], pa.int32()), pa.array([rows[k]]), pa.array([chunk.tolist()], pa.list_(pa.int64()))], ["chunk", "rows", "have"])
+                    yield pa.record_batch([pa.array([tasks]), pa.array([k * cut + i], pa.int32()), pa.array([rows[k]]), pa.array([chunk.tolist()], pa.list_(pa.int64()))], ["tasks", "chunk", "rows", "have"])
 
     def summed(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, rows = np.zeros(size // cut, np.int64), 0
-        for frame in frames:
+        for frame in frames:  # the chunk is the last part of the key
             rows += int(frame["rows"].sum())
             total += np.sum(frame["have"].tolist(), axis=0)
-        yield pd.DataFrame({"chunk": [key[0]], "rows": [rows], "have": [total]})
+        yield pd.DataFrame({"chunk": [key[-1]], "rows": [rows], "have": [total]})
 
     schema = "chunk int, rows long, have array<long>"
     arrays.prepare(labelled.sparkSession)
-    parts = labelled.select("text", "label").mapInArrow(part, schema).groupBy("chunk").applyInPandas(summed, schema).collect()
+    sums = labelled.select("text", "label").mapInArrow(part, f"tasks long, {schema}").groupBy("tasks", "chunk").applyInPandas(summed, schema)
+    parts = sums.groupBy("chunk").applyInPandas(summed, schema).collect()
     have, rows = np.zeros((2, size)), np.zeros(2)
     for row in parts:
         k, i = divmod(row["chunk"], cut)

@@ -60,6 +60,26 @@ def brute_counts(text):
     return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(repeated))
 
 
+def test_ratios_come_from_counts_over_all_tasks(spark, monkeypatch):
+    """Counts of documents that have a feature, by hand, in two levels of sums; and their log ratios."""
+    monkeypatch.setattr(toxicity, "TOGETHER", 2)
+    settings = toxicity.Settings()
+    rows = [("bad word", 1), ("bad bad thing", 1), ("good word", 0), ("thing", 0), ("", 0), ("bad", 1), ("good", 0)]
+    negative, positive, counted = toxicity.document_counts(spark.createDataFrame(rows, "text string, label int").repartition(7), settings)
+    assert counted.tolist() == [4, 3]
+    for label, have in ((0, negative), (1, positive)):
+        want = np.zeros(1 << settings.bits)
+        for text, of in rows:
+            if of == label:
+                buckets, _ = toxicity.features(arrays.Texts(pa.array([text])), settings)
+                want[np.unique(buckets)] += 1
+        assert (have == want).all()
+    ratio = toxicity.ratios(negative, positive, settings)
+    p, q = positive + settings.smoothing, negative + settings.smoothing
+    bucket = int(np.argmax(positive - negative))
+    assert math.isclose(ratio[bucket], math.log(p[bucket] / p.sum()) - math.log(q[bucket] / q.sum())) and ratio[bucket] > 0
+
+
 def test_base_counts_and_rule(spark):
     texts = [t for (t,) in small("SELECT text FROM 'SF/documents.parquet'")]
     base, rows = quality_rules.statistics(pa.array(texts))

@@ -216,6 +216,28 @@ def test_retrieved_windows_are_all_that_verify(spark):
     assert license_scan.match(frame, templates={}).filter("size(matches) > 0").isEmpty()
 
 
+def test_licenses_are_those_that_a_plain_count_contains(spark):
+    rng = random.Random(12)
+    notice = {f"l{k}": " ".join(rng.choices([f"v{i}" for i in range(40)], k=rng.choice([20, 45, 90]))) for k in range(5)}
+    templates = license_scan.templates_of(spark.createDataFrame([*notice.items(), ("l0", notice["l0"]), (None, "x y"), ("none", None)], "name string, text string"))
+    assert templates == notice
+    texts = []
+    for i in range(60):
+        name = rng.choice(sorted(notice))
+        kept = [w for w in notice[name].split() if rng.random() > rng.choice([0.0, 0.03, 0.3])]
+        texts.append((i, " ".join([f"a{i}"] * rng.randrange(30) + kept + [f"b{i}"] * rng.randrange(30))))
+    found = {r["doc_id"]: {m["license"] for m in r["matches"]} for r in license_scan.match(spark.createDataFrame(texts, "doc_id int, text string"), templates).collect()}
+    for i, text in texts:
+        words = text.split()
+        pairs = set(zip(words, words[1:], strict=False))
+        for name, own in notice.items():
+            wanted = set(zip(own.split(), own.split()[1:], strict=False))
+            share = len(wanted & pairs) / len(wanted)
+            assert (name in found[i]) == (share >= license_scan.CONTAINMENT), (i, name, share)
+    with pytest.raises(ValueError, match="may be sent"):
+        license_scan.templates_of(spark.createDataFrame([("l", "x" * 100)], "name string, text string"), 50)
+
+
 PAGE = "<html><head><title>t</title></head><body>{}</body></html>"
 
 
