@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from rosterflow.operators import dedupe, joins, quality, sets, shape
 from rosterflow.queries.registry import query
-from rosterflow.sources.codes import constant_codes
+from rosterflow.sources.codes import constant_codes, given_codes
 
 
 @query("SELECT s_suppkey AS geoid, s_name AS name, s_nationkey AS source_year FROM supplier")
@@ -104,6 +104,17 @@ def membership_invalid(t):
     )
 
 
+@query("""
+SELECT s_suppkey, lpad(CAST(s_nationkey AS VARCHAR), 3, '0') AS code FROM supplier
+WHERE s_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 2)
+""")
+def membership_given(t):
+    """Suppliers whose code is not in a set that the caller gives, here that of a region's few nations."""
+    given = [str(r[0]) for r in t.nation.filter("n_regionkey = 2").select("n_nationkey").collect()]
+    suppliers = t.supplier.select("s_suppkey", F.lpad(F.col("s_nationkey").cast("string"), 3, "0").alias("code"))
+    return joins.non_members(suppliers, given_codes(t.spark, given, 3), ["code"])
+
+
 @query("""
 WITH codes AS (SELECT DISTINCT c_mktsegment AS code FROM customer WHERE c_mktsegment = 'NO SUCH SEGMENT'),
      valid AS (SELECT code FROM codes UNION ALL
