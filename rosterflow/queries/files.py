@@ -173,6 +173,19 @@ def io_gazetteer_sniff(t):
     return out.withColumns({"point_lon": F.col("geom.lon"), "point_lat": F.col("geom.lat")}).drop("geom")
 
 
+@query("""
+SELECT c_custkey, c_custkey // 5000 AS file, row_number() OVER (PARTITION BY c_custkey // 5000 ORDER BY c_custkey) AS row_index FROM customer
+""")
+def io_numbered_rows(t):
+    """Customers in files of 5,000 keys each, by key: the number of every row in its file."""
+    folder = fresh_path(t.spark, "csv")
+    key = F.col("ssa_state_county_code").cast("bigint")
+    rows = customer_upload(t).withColumns({"file": F.floor(key / 5000), "key": key})
+    rows.repartition("file").sortWithinPartitions("file", "key").drop("key").write.partitionBy("file").options(header=True, escape='"').csv(folder)
+    staged = data_rows(stage_csv(t.spark, [folder], "provider"))
+    return staged.select(key.alias("c_custkey"), F.regexp_extract("source_file", "/file=([0-9]+)/", 1).cast("bigint").alias("file"), F.col("row_index").cast("bigint").alias("row_index"))
+
+
 @query("""
 SELECT CAST(s_suppkey AS VARCHAR) AS geoid, s_name || '}, {"[' || CAST(s_suppkey % 3 AS VARCHAR) AS name, 2025 AS source_year,
        CASE WHEN s_suppkey % 2 = 0 THEN 1 + 4 + 4 + (1 + 4 + 4 + 4 + 4 * 16) ELSE 1 + 4 + 4 + 2 * (1 + 4 + 4 + 4 + 4 * 16) END AS geom_bytes, 4269 AS srid

@@ -53,6 +53,11 @@ def surrogate_keys(t):
     )
 
 
+@query("SELECT c_custkey, sha256(CAST(c_nationkey AS VARCHAR) || '|' || CAST(c_custkey AS VARCHAR)) AS id FROM customer")
+def stable_keys(t):
+    return t.customer.select("c_custkey", shape.stable_id(F.col("c_nationkey"), F.col("c_custkey")).alias("id"))
+
+
 _LEFT = """SELECT CASE WHEN l_linenumber < 7 THEN l_orderkey END AS ssa, l_linestatus AS specialty,
     CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_quantity AS BIGINT) END AS required, l_suppkey AS ratio FROM lineitem"""
 _RIGHT = """SELECT CASE WHEN o_orderkey % 11 > 0 THEN o_orderkey END AS ssa, o_orderstatus AS specialty,

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,7 +65,8 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"rosterflow-{application}-")
 
 
-_scopes: list[list[str]] = []
+# a thread has its own: a stream's batches run beside the caller's queries and must not delete what these stage
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 @contextmanager
@@ -73,20 +75,22 @@ def staged_tables(spark: SparkSession) -> Iterator[None]:
 
     Frames that still read staged tables must be written or collected before that.
     """
-    _scopes.append([])
+    own: list[str] = []
+    outer = _staged.set(own)
     try:
         yield
     finally:
+        _staged.reset(outer)
         paths = spark._jvm.org.apache.hadoop.fs
-        for path in map(paths.Path, _scopes.pop()):
+        for path in map(paths.Path, own):
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    if (own := _staged.get()) is not None:
+        own.append(path)
     return path
 
 

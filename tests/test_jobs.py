@@ -120,6 +120,9 @@ def test_a_replacement_evaluates_its_rows_once(spark, folder):
     counts = tables.replace_files(rows, f"{folder}/t", spark.createDataFrame([(str(i),) for i in range(5)], "source_file_id string"), scattered=False)
     assert rows_of(counts) == [("0", 13), ("1", 13), ("2", 12), ("3", 12), ("4", 0)]
     assert seen.value == 50 and tables.stored_files(spark, f"{folder}/t").count() == 50
+    only = tables.replace_files(rows.limit(0), f"{folder}/new", spark.createDataFrame([("0",)], "source_file_id string"))
+    assert rows_of(only) == [("0", 0)] and tables.stored_files(spark, f"{folder}/new").isEmpty()
+    assert tables.replace_files(rows.limit(0), f"{folder}/none", spark.createDataFrame([], "source_file_id string")).isEmpty()
 
 
 def test_targets(spark, folder, monkeypatch):
