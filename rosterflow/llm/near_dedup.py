@@ -45,8 +45,8 @@ from rosterflow.session import materialise
 
 PLACES, CHUNKS, MOST_ERRORS = 64, 14, 27
 BITS = 1024
-#: Members of an open bucket that are all held against each other.
-LARGE = 64
+#: Members of an open bucket that are all held against each other: up to some thousands that takes less than their shingles.
+LARGE = 4096
 #: Linked if the intersection has at least so many percent of the union.
 PERCENT = 80
 #: Ids that may be broadcast to pick their texts from the documents; beyond, the join shuffles.
