@@ -14,6 +14,7 @@ from rosterflow.operators.shape import conform
 from rosterflow.plans.submissions import org_provider_rows
 from rosterflow.queries.files import workbook_bytes
 from rosterflow.streaming import intake, route, state, status
+from rosterflow.streaming.processor import FileStatus
 
 ROW = "1001,Jane,1234567890,PCP,1,D,100 Main St,Boston,MA,02101,Y,Grp,n,Y,high"
 
@@ -292,3 +293,89 @@ def test_null_types_and_addresses_fail_alone(spark, folder, site):
     found = states(spark, site)
     assert found["p1"] == ("COMPLETED", None) and found["n1"] == ("FAILED", "Unknown file_type: 'None'")
     assert found["n2"][0] == "FAILED" and "no object address" in found["n2"][1]
+
+
+class Store:
+    """Value, timers and calls of one group's store."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+
+class Clock:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_files_of_a_group_share_a_value_and_a_timer():
+    store, files = Store(), FileStatus(15, status.TERMINAL)
+    files.init(store)
+
+    def take(*entries):
+        return [(r.file_id, r.status, r.stuck) for r in files.handleInputRows((0,), iter([(0, *e) for e in entries]), Clock(0))]
+
+    def expire(now):
+        (gone,) = [t for t in store.timers if t <= now]
+        found = [(r.file_id, r.status, r.stuck) for r in files.handleExpiredTimer((0,), Clock(now), None)]
+        store.timers.discard(gone)  # as Spark does when it is handled
+        return found
+
+    minute = 60_000_000
+    assert len(take(*((str(i), i * minute, i, "PROCESSING", None, 1) for i in range(500)))) == 500
+    assert store.calls == 3 and store.timers == {15 * 60_000}
+    # the first ends, the second is told late that it failed before; the others keep their times
+    assert take(("0", 600 * minute, 900, "COMPLETED", None, 1), ("1", 0, 0, "FAILED", "x", 1)) == [("0", "COMPLETED", False), ("1", "FAILED", False)]
+    assert store.timers == {17 * 60_000}
+    assert expire(18 * 60_000) == [("2", "PROCESSING", True), ("3", "PROCESSING", True)]
+    assert store.timers == {19 * 60_000}
+    assert take(("2", 700 * minute, 901, "PENDING", None, None)) == [("2", "PENDING", False)]
+    assert len(expire(10_000 * 60_000)) == 496 and store.timers == set()
+    assert take(("0", 800 * minute, 902, "PENDING", None, None), ("3", 5 * minute, 903, "PENDING", None, 1)) == [("0", "PENDING", False), ("3", "PENDING", False)]
+
+
+@pytest.mark.parametrize("groups", [1, 7])
+def test_states_of_few_groups_are_those_of_the_log(spark, folder, monkeypatch, groups):
+    monkeypatch.setattr(state, "GROUPS", groups)
+    now = datetime.now()
+    steps = [("PROCESSING", 1), ("FAILED", 1), ("PENDING", 1), ("PENDING", None), ("PROCESSING", 2), ("COMPLETED", 2), ("PROCESSING", None)]
+    log = []
+    for f in range(90):
+        at = now - timedelta(days=1) if f % 2 else now
+        for k in range(f % 7 + 1):
+            name, batch = steps[(f * k + f) % 7]
+            log.append((f"f\"{f}é", name, f"e\\{k}" if k % 2 else None, None if f % 13 == 5 and k == 1 else at + timedelta(microseconds=(k * f) % 5), batch, None if k == 2 else k))
+    log.append((None, "PENDING", None, now, None, 1))
+    for i in range(3):
+        spark.createDataFrame(log[i::3], S.STATUS_LOG).coalesce(1).write.mode("append").parquet(f"{folder}/log")
+    stream = spark.readStream.schema(S.STATUS_LOG).option("maxFilesPerTrigger", 1).parquet(f"{folder}/log")
+    with state.state_store(spark):
+        state.run_through(state.state_writer(stream, f"{folder}/states", f"{folder}/checkpoint"))
+        metadata = spark.read.format("statestore").option("stateVarName", "files").load(f"{folder}/checkpoint")
+        assert metadata.count() <= groups
+    found = state.read_states(spark, f"{folder}/states")
+    whole = status.latest_status(spark.createDataFrame([e for e in log if e[0]], S.STATUS_LOG))
+    columns = ["file_id", "status", "error_message", "updated_at", "batch_id"]
+    assert rows_of(found, *columns) == rows_of(whole, *columns)
+    stuck = whole.filter((F.col("status") == "PROCESSING") & (F.coalesce("updated_at", F.lit(datetime(1, 1, 1))) < F.lit(now - timedelta(hours=1))))
+    assert stuck.count() > 3 and rows_of(found.filter("stuck"), "file_id") == rows_of(stuck, "file_id")
