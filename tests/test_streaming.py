@@ -379,3 +379,28 @@ def test_states_of_few_groups_are_those_of_the_log(spark, folder, monkeypatch, g
     assert rows_of(found, *columns) == rows_of(whole, *columns)
     stuck = whole.filter((F.col("status") == "PROCESSING") & (F.coalesce("updated_at", F.lit(datetime(1, 1, 1))) < F.lit(now - timedelta(hours=1))))
     assert stuck.count() > 3 and rows_of(found.filter("stuck"), "file_id") == rows_of(stuck, "file_id")
+
+
+def test_a_batch_done_again_does_not_end_a_run():
+    class Run:
+        """A stream that goes on with an empty batch of the run before."""
+
+        batches = [None, (5, 0), (5, 0), (6, 3), (7, 0), (8, 0)]
+
+        def start(self):
+            return self
+
+        @property
+        def lastProgress(self):
+            self.at = self.batches.pop(0)
+            return self.at and {"batchId": self.at[0], "numInputRows": self.at[1]}
+
+        def awaitTermination(self, _):
+            return False
+
+        def stop(self):
+            self.stopped = self.at
+
+    run = Run()
+    state.run_through(run)
+    assert run.stopped == (7, 0)
